@@ -15,8 +15,8 @@ ANSWER_SPACE = " \t\n\f\r"
 ANSWER_QUOTES = "\"'`*"
 ANSWER_STOPS = ".!"
 HTML_ENTITY = r"&[a-zA-Z#0-9]+;"
-SOFT_HYPHEN = "­"
-NO_BREAK_SPACE = " "
+SOFT_HYPHEN = "\u00ad"
+NO_BREAK_SPACE = "\u00a0"
 # What Python's str.split() separates on, as a character class both Java and RE2 accept.
 PYTHON_SPACE = (
     r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -41,6 +41,11 @@ def tidy_spaces(text: Column) -> Column:
     return F.trim(F.regexp_replace(plain, PYTHON_SPACE + "+", " "))
 
 
+def strip_python_space(text: Column) -> Column:
+    """Python's ``str.strip()``."""
+    return F.regexp_replace(text, rf"\A{PYTHON_SPACE}+|{PYTHON_SPACE}+\z", "")
+
+
 def has_outer_space(text: Column) -> Column:
     """True when Python's ``str.strip()`` would change the text."""
     return text.rlike(rf"\A{PYTHON_SPACE}|{PYTHON_SPACE}\z")

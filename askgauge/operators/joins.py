@@ -1,0 +1,22 @@
+"""Joining a table of any size to one that is expected to be small."""
+
+from pyspark.sql import DataFrame, functions as F
+
+BROADCAST_ROWS = 100_000
+SALTS = 64
+
+
+def join_small(large: DataFrame, small: DataFrame, on, spread_by, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Inner equi-join that broadcasts ``small`` only after counting it.
+
+    The count stops at ``max_rows + 1``. A larger table is joined through a shuffle in which the
+    rows of ``large`` are spread over salts by ``spread_by`` and ``small`` is repeated once per salt,
+    so that a key held by most rows of ``large`` does not end up in one task.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    if small.limit(max_rows + 1).count() <= max_rows:
+        return large.join(F.broadcast(small), on)
+    spread = [spread_by] if isinstance(spread_by, str) else list(spread_by)
+    salted = large.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [*on, "_salt"]).drop("_salt")

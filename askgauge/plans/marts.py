@@ -147,8 +147,8 @@ def model_profile(enriched: DataFrame) -> DataFrame:
         reduced.withColumn("prompt_accuracy", ratio(right_here, n_here))
         .withColumns(
             {
-                "best": F.min(F.struct(-score, prompt)).over(Window.partitionBy("model_key")),
-                "worst": F.min(F.struct(score, prompt)).over(Window.partitionBy("model_key")),
+                "best": F.min(F.struct((-score).alias("score"), prompt)).over(Window.partitionBy("model_key")),
+                "worst": F.min(F.struct(score.alias("score"), prompt)).over(Window.partitionBy("model_key")),
             }
         )
         .groupBy(*model)
@@ -160,7 +160,7 @@ def model_profile(enriched: DataFrame) -> DataFrame:
     )
     n, right, valid = F.col("n"), F.col("n_correct"), F.col("n_valid")
     accuracy, baseline = ratio(right, n), ratio(F.col("baseline_sum"), F.col("baseline_n"))
-    best_score, worst_score = -F.col("best.col1"), F.col("worst.col1")
+    best_score, worst_score = -F.col("best.score"), F.col("worst.score")
     return models.select(
         *model,
         size_class(F.col("model_params_b")).alias("size_class"),
@@ -517,7 +517,7 @@ def question_insights(enriched: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "counts_model": (F.col("model_rows") == 1) & F.col("model_key").isNotNull(),
-                "ballot": F.when(F.col("is_valid_format"), F.struct(-F.col("votes"), F.col("ai_answer"))),
+                "ballot": F.when(F.col("is_valid_format"), F.struct((-F.col("votes")).alias("votes"), "ai_answer")),
             }
         )
     )
@@ -532,7 +532,7 @@ def question_insights(enriched: DataFrame) -> DataFrame:
 
     n, right = F.col("n"), F.col("n_correct")
     success = ratio(right, n)
-    majority, decoy_votes = F.col("winner.ai_answer"), F.coalesce(-F.col("decoy.col1"), F.lit(0))
+    majority, decoy_votes = F.col("winner.ai_answer"), F.coalesce(-F.col("decoy.votes"), F.lit(0))
 
     def by_success(easy, medium, hard):
         return (
@@ -552,7 +552,7 @@ def question_insights(enriched: DataFrame) -> DataFrame:
         by_success(1, 2, 3).alias("ai_difficulty_level"),
         "n_models_correct_once",
         majority.alias("majority_answer"),
-        (-F.col("winner.col1")).alias("majority_votes"),
+        (-F.col("winner.votes")).alias("majority_votes"),
         F.coalesce(majority == F.col("correct_answer"), F.lit(False)).alias("is_majority_correct"),
         F.col("decoy.ai_answer").alias("top_wrong_answer"),
         decoy_votes.alias("top_wrong_votes"),

@@ -100,7 +100,8 @@ def leaderboard(enriched: DataFrame, quantile: float = 0.95) -> DataFrame:
 
     n, right, valid = F.col("n"), F.col("n_correct"), F.col("n_valid")
     accuracy, baseline = ratio(right, n), ratio(F.col("baseline_sum"), F.col("baseline_n"))
-    below, above = F.col("time_below"), F.col("time_above")
+    beyond = F.col("spot") - F.floor("spot")
+    p_time = F.col("time_below") * (F.lit(1.0) - beyond) + F.col("time_above") * beyond
     return runs.select(
         *run[:8],
         (F.col("temperature") > 0).alias("is_temperature_variant"),
@@ -114,7 +115,7 @@ def leaderboard(enriched: DataFrame, quantile: float = 0.95) -> DataFrame:
         round_to(ratio(right, valid), 4).alias("accuracy_when_valid"),
         round_to(ratio(F.col("n_truncated"), n), 4).alias("truncated_rate"),
         round_to(ratio(F.col("time_sum"), F.col("time_n")), 4).alias("avg_response_time_s"),
-        round_to(below + (above - below) * (F.col("spot") - F.floor("spot")), 4).alias("p95_response_time_s"),
+        round_to(p_time, 4).alias("p95_response_time_s"),
         round_to(ratio(F.col("token_sum"), F.col("token_n")), 2).alias("avg_completion_tokens"),
         round_to(_per_minute(right, F.col("time_sum")), 1).alias("correct_per_minute"),
         _rank_by(accuracy).alias("accuracy_rank"),

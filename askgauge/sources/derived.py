@@ -13,7 +13,7 @@ from askgauge.operators.enrich import enrich_responses
 from askgauge.operators.prompting import render_prompts
 from askgauge.operators.scoring import grade_responses
 from askgauge.operators.staging import stage_questions, stage_responses
-from askgauge.schemas import CLEAN_QUESTIONS, RESPONSES, RUN_CONFIG
+from askgauge.schemas import API_QUESTION, CLEAN_QUESTIONS, RAW_QUESTIONS, RESPONSES, RUN_CONFIG
 
 SAMPLE_SEED = 42
 N_MODELS = 4
@@ -211,3 +211,121 @@ def graded_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_responses(graded_responses(spark, sf_dir), staged_questions(spark, sf_dir))
+
+
+# --- Inputs with something wrong in them ---
+
+MID_PERIOD = "1995-01-01T00:00:00"
+
+
+def _every(n, wrong, right):
+    """Every n-th question gets the wrong value."""
+    return F.when(F.col("seq") % n == 0, wrong).otherwise(right)
+
+
+def faulty_raw_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw questions that break the bronze contract here and there."""
+    wrong = F.col("incorrect_answers")
+    return (
+        question_rows(spark, sf_dir)
+        .withColumns(
+            {
+                "correct_answer": F.when(
+                    (F.col("type") == "boolean") & (F.col("seq") % 127 == 0), "Maybe"
+                ).otherwise(F.col("correct_answer")),
+                "type": _every(101, F.lit("open"), F.col("type")),
+                "difficulty": _every(103, F.lit("extreme"), F.col("difficulty")),
+                "category": _every(107, F.lit(""), F.col("category")),
+                "incorrect_answers": F.when(F.col("seq") % 109 == 0, "not json").otherwise(
+                    F.to_json(_every(113, F.slice(wrong, 1, 2), wrong))
+                ),
+            }
+        )
+        .select(*RAW_QUESTIONS.fieldNames())
+    )
+
+
+def faulty_clean_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean questions that break the silver contract here and there."""
+    wrong, text = F.col("incorrect_answers"), F.col("question")
+    spoiled = F.when(F.col("seq") % 137 == 0, F.concat(text, F.lit(" "))).otherwise(
+        _every(139, F.concat(text, F.lit(" &amp; more")), text)
+    )
+    answer = F.when(F.col("seq") % 149 == 0, "").otherwise(
+        _every(151, F.get(wrong, F.lit(0)), F.col("correct_answer"))
+    )
+    return (
+        questions(spark, sf_dir)
+        .withColumns(
+            {
+                "question_id": _every(131, F.lit("0" * 12), F.col("question_id")),
+                "question": spoiled,
+                "correct_answer": answer,
+                "incorrect_answers": _every(157, F.concat(wrong, F.array(F.upper(F.get(wrong, F.lit(0))))), wrong),
+            }
+        )
+        .select(*CLEAN_QUESTIONS.fieldNames())
+    )
+
+
+def repeated_raw_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw questions asked again and again in slightly different spacing, case and entities."""
+    spaced = F.concat(
+        F.lit("  Which&nbsp;brand makes \t"), F.translate("p_name", " ", " "), F.lit("&#63;­ ")
+    )
+    text = F.when(F.col("p_partkey") % 3 == 0, F.upper(F.concat(F.lit("Which brand makes "), "p_name", F.lit("?"))))
+    names = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("seq"), text.otherwise(spaced).alias("said"))
+    return (
+        question_rows(spark, sf_dir)
+        .join(names, "seq")
+        .select(
+            "type",
+            "difficulty",
+            "category",
+            F.col("said").alias("question"),
+            "correct_answer",
+            F.to_json("incorrect_answers").alias("incorrect_answers"),
+            "seq",
+        )
+    )
+
+
+def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured API pages as JSON text: two questions each, three response codes."""
+    code = F.when(F.col("seq") % 10 == 3, 1).when(F.col("seq") % 10 == 7, 4).otherwise(0)
+
+    def result(suffix):
+        fields = [
+            F.concat("question", F.lit(suffix)).alias("question") if f.name == "question" else F.col(f.name)
+            for f in API_QUESTION
+        ]
+        return F.struct(*fields)
+
+    page = F.struct(code.alias("response_code"), F.array(result(""), result(" (bis)")).alias("results"))
+    return question_rows(spark, sf_dir).select(F.to_json(page).alias("body"))
+
+
+def chatty_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers around a letter in ten wordings, from the line items."""
+    letter = F.substr(F.lit("ABCDE"), (F.col("l_partkey") % 5 + 1).cast("int"), F.lit(1))
+    wordings = (
+        ('{"answer": "', '"}'),
+        ('{"answer": " ', ' "}'),
+        ('{"answer": 1, "note": "', '"}'),
+        ("", ") Mars"),
+        ("(", ")"),
+        ("", " : x\n"),
+        ("The answer is (", "), I think"),
+        ("I would say ANSWER: ", ""),
+        ("Because ", "!"),
+        ('{"reply": "', '"}'),
+    )
+    kind = F.col("l_orderkey") % len(wordings)
+    raw = F.when(F.lit(False), "")
+    for i, (before, after) in enumerate(wordings):
+        raw = raw.when(kind == i, F.concat(F.lit(before), letter, F.lit(after)))
+    return table(spark, sf_dir, "lineitem").select(
+        raw.alias("raw"),
+        F.when(F.col("l_suppkey") % 2 == 0, 2).otherwise(4).alias("nb"),
+        (F.col("l_linenumber") % 2 == 0).alias("structured"),
+    )

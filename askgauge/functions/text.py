@@ -51,17 +51,24 @@ def has_outer_space(text: Column) -> Column:
     return text.rlike(rf"\A{PYTHON_SPACE}|{PYTHON_SPACE}\z")
 
 
-def _decode(batch: pd.Series) -> pd.Series:
-    return batch.map(html.unescape, na_action="ignore")
+def _entity_decoders():
+    """The only Python in the library: Spark has no entity decoder.
 
+    Nested functions are shipped to the workers by value, so the workers need no copy of this package.
+    """
 
-def _decode_lists(batch: pd.Series) -> pd.Series:
-    return batch.map(lambda items: [None if x is None else html.unescape(x) for x in items], na_action="ignore")
+    def decode(batch: pd.Series) -> pd.Series:
+        return batch.map(html.unescape, na_action="ignore")
 
+    def decode_lists(batch: pd.Series) -> pd.Series:
+        return batch.map(
+            lambda items: [None if x is None else html.unescape(x) for x in items], na_action="ignore"
+        )
 
-# Spark has no entity decoder, so these two Arrow-batched functions are the only Python in the library.
-_decode_text = F.pandas_udf(_decode, T.StringType())
-_decode_list = F.pandas_udf(_decode_lists, T.ArrayType(T.StringType()))
+    return F.pandas_udf(decode, T.StringType()), F.pandas_udf(decode_lists, T.ArrayType(T.StringType()))
+
+
+_decode_text, _decode_list = _entity_decoders()
 
 
 def unescape_html(text: Column) -> Column:

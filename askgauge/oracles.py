@@ -236,7 +236,7 @@ block(
   {rnd(div('k', 'n'))} AS accuracy, {ci('k', 'n')}, {rnd('base')} AS random_baseline,
   {rnd(chance(div('k', 'n'), 'base'))} AS chance_corrected_score, {rnd(div('v', 'n'))} AS valid_format_rate,
   {rnd(div('k', 'v'))} AS accuracy_when_valid, {rnd(div('t', 'n'))} AS truncated_rate,
-  {rnd('mean_s')} AS avg_response_time_s, {rnd('p95')} AS p95_response_time_s, {rnd('tok', 2)} AS avg_completion_tokens,
+  {rnd('mean_s')} AS avg_response_time_s, {rnd('round(p95, 9)')} AS p95_response_time_s, {rnd('tok', 2)} AS avg_completion_tokens,
   {rnd(div('k', 'sum_s / 60'), 1)} AS correct_per_minute, rank() OVER (ORDER BY k::DOUBLE / n DESC) AS accuracy_rank
 FROM (SELECT model_key, model_name, model_publisher, model_country, model_params_b, prompt_version, label_style,
     temperature, count(*) AS n, {RIGHT}::BIGINT AS k, count_if(is_valid_format)::BIGINT AS v, count_if(is_truncated)::BIGINT AS t,
@@ -370,11 +370,498 @@ LEFT JOIN (SELECT question_id, arg_min(ai_answer, row(-n, ai_answer)) AS majorit
     "votes",
 )
 
+# --- Contracts and cleaning ---
+
+
+def report_sql(stage, checks, source):
+    """One row per check: how many rows fail its condition."""
+    return "\nUNION ALL ".join(
+        f"""SELECT '{stage}' AS stage, '{name}' AS "check", n AS n_violations, n = 0 AS ok
+FROM (SELECT {count}::BIGINT AS n FROM {source})"""
+        for name, count in checks.items()
+    )
+
+
+def fails(ok):
+    return f"count_if(NOT coalesce({ok}, false))"
+
+
+block(
+    "faulty_raw",
+    """SELECT CASE WHEN seq % 101 = 0 THEN 'open' ELSE type END AS type,
+  CASE WHEN seq % 103 = 0 THEN 'extreme' ELSE difficulty END AS difficulty,
+  CASE WHEN seq % 107 = 0 THEN '' ELSE category END AS category, question,
+  CASE WHEN type = 'boolean' AND seq % 127 = 0 THEN 'Maybe' ELSE correct_answer END AS correct_answer,
+  CASE WHEN seq % 109 <> 0 THEN CASE WHEN seq % 113 = 0 THEN incorrect_answers[1:2] ELSE incorrect_answers END
+    END AS parsed FROM q0""",
+    "q0",
+)
+RAW_CHECKS = {
+    "expected_columns": "min(0)",
+    "no_blank_value": fails("category <> '' AND question <> '' AND correct_answer <> ''"),
+    "known_type": fails("type IN ('multiple', 'boolean')"),
+    "known_difficulty": fails("difficulty IN ('easy', 'medium', 'hard')"),
+    "wrong_answers_are_a_list": fails("parsed IS NOT NULL"),
+    "multiple_has_three_wrong": fails("type <> 'multiple' OR len(parsed) = 3"),
+    "boolean_has_one_wrong": fails("type <> 'boolean' OR len(parsed) = 1"),
+    "boolean_answer_is_true_or_false": fails("type <> 'boolean' OR correct_answer IN ('True', 'False')"),
+}
+block(
+    "faulty_clean",
+    """SELECT * EXCLUDE (question_id, question, correct_answer, incorrect_answers),
+  CASE WHEN seq % 131 = 0 THEN repeat('0', 12) ELSE question_id END AS question_id,
+  question || CASE WHEN seq % 137 = 0 THEN ' ' WHEN seq % 139 = 0 THEN ' &amp; more' ELSE '' END AS question,
+  CASE WHEN seq % 149 = 0 THEN '' WHEN seq % 151 = 0 THEN incorrect_answers[1] ELSE correct_answer END AS correct_answer,
+  incorrect_answers || CASE WHEN seq % 157 = 0 THEN [upper(incorrect_answers[1])] ELSE [] END AS incorrect_answers
+FROM q""",
+    "q",
+)
+
+
+def no_text(condition):
+    """No text column and no wrong answer meets the condition on x."""
+    texts = "[category, question, correct_answer] || incorrect_answers"
+    return fails(f"len(list_filter({texts}, lambda x: {condition})) = 0")
+
+
+CLEAN_CHECKS = {
+    "question_id_unique": "count(*) - count(DISTINCT question_id)",
+    "no_html_entity": no_text("regexp_matches(x, '&[a-zA-Z#0-9]+;')"),
+    "no_outer_space": no_text("x <> trim(x)"),
+    "no_empty_text": no_text("x = ''"),
+    "answer_not_among_wrong": fails("NOT list_contains(incorrect_answers, correct_answer)"),
+    "no_duplicate_option": fails(
+        "len(list_distinct(list_transform(incorrect_answers || [correct_answer], lambda x: lower(x))))"
+        " = len(incorrect_answers) + 1"
+    ),
+    "option_count_matches_type": fails("nb_options = CASE type WHEN 'multiple' THEN 4 WHEN 'boolean' THEN 2 END"),
+}
+READ_BACK_CHECKS = {
+    "row_count": "CASE WHEN count(*) = 0 THEN 0 ELSE 1 END",
+    "columns_kept": "min(0)",
+    "wrong_answers_are_lists": fails("len(incorrect_answers) = nb_options - 1"),
+}
+block(
+    "asked_again",
+    attributes(
+        """(SELECT seq, type, difficulty, category, correct_answer, incorrect_answers,
+      CASE WHEN seq % 3 = 0 THEN upper('Which brand makes ' || p_name || '?')
+        ELSE 'Which brand makes ' || p_name || '?' END AS question
+    FROM q0 JOIN part ON p_partkey = seq)"""
+    ),
+    "q0",
+)
+CLEAN_COLUMNS = """question_id, type, difficulty, difficulty_level, category, category_group, category_name, question,
+  correct_answer, incorrect_answers, nb_options"""
+
+# --- Samples and follow-up ---
+
+
+def permutation(seed):
+    return f"""SELECT *, {seed} AS sample_seed,
+  row_number() OVER (ORDER BY md5('{seed}:' || question_id), question_id) AS sample_rank FROM q"""
+
+
+block("perm42", permutation(42), "q")
+block("perm7", permutation(7), "q")
+block("work", "SELECT run_id, question_id, sample_seed, sample_rank FROM runs JOIN perm42 USING (sample_seed)", "runs", "perm42")
+block(
+    "todo",
+    """SELECT run_id, question_id FROM
+  (SELECT run_id, question_id FROM work WHERE run_id NOT LIKE 'm0%'
+   UNION ALL SELECT run_id, question_id FROM graded WHERE model_key = 'm0')
+WHERE (run_id, question_id) NOT IN (SELECT (run_id, question_id) FROM graded
+  WHERE created_at < TIMESTAMP '1995-01-01' OR run_id = 'm0__v1_letters')""",
+    "work",
+    "graded",
+)
+RUN_SUMMARY = f"""SELECT run_id, CASE WHEN coalesce(t.n, 0) = 0 THEN 'déjà terminée'
+    WHEN lmstudio_id = 'lab/model-3' THEN 'modèle introuvable' WHEN coalesce(g.n, 0) = t.n THEN 'terminée'
+    ELSE 'incomplète' END AS status, coalesce(g.n, 0) AS n_new, {rnd(div('k', 'g.n'))} AS provisional_accuracy,
+  {rnd(div('v', 'g.n'))} AS valid_format_rate, {rnd('seconds / 60.0', 1)} AS duration_min
+FROM runs LEFT JOIN (SELECT run_id, count(*) AS n FROM todo GROUP BY 1) t USING (run_id)
+LEFT JOIN (SELECT run_id, count(*) AS n, {RIGHT} AS k, count_if(is_valid_format) AS v,
+    epoch(max(created_at)) - epoch(min(created_at)) AS seconds
+  FROM graded WHERE created_at >= TIMESTAMP '1995-01-01' AND run_id <> 'm0__v1_letters' GROUP BY 1) g USING (run_id)"""
+
+# --- Lenient letters ---
+
+block(
+    "chatty",
+    r"""SELECT CASE l_orderkey % 10 WHEN 0 THEN '{"answer": "' || x || '"}' WHEN 1 THEN '{"answer": " ' || x || ' "}'
+    WHEN 2 THEN '{"answer": 1, "note": "' || x || '"}' WHEN 3 THEN x || ') Mars' WHEN 4 THEN '(' || x || ')'
+    WHEN 5 THEN x || E' : x\n' WHEN 6 THEN 'The answer is (' || x || '), I think' WHEN 7 THEN 'I would say ANSWER: ' || x
+    WHEN 8 THEN 'Because ' || x || '!' ELSE '{"reply": "' || x || '"}' END AS raw,
+  CASE l_suppkey % 2 WHEN 0 THEN 2 ELSE 4 END AS nb, l_linenumber % 2 = 0 AS structured
+FROM (SELECT *, 'ABCDE'[l_partkey % 5 + 1] AS x FROM lineitem)""",
+)
+LENIENT = r"""SELECT raw, nb, structured, CASE WHEN contains('ABCD'[1:nb], x) AND x <> '' THEN x END AS letter, n
+FROM (SELECT *, CASE WHEN structured AND json_valid(txt) AND txt LIKE '{%}'
+      THEN upper(trim(json_extract_string(txt, '$.answer')))
+    WHEN contains('ABCD'[1:nb], lead) AND lead <> '' THEN lead
+    ELSE upper(regexp_extract(txt, '(?i)answer\s*(?:is)?\s*:?\s*[(]?([A-D])\b', 1)) END AS x
+  FROM (SELECT *, regexp_extract(txt, '^[(]?([A-D])\s*(?:[).:]|$)', 1) AS lead
+    FROM (SELECT raw, nb, structured, trim(raw, E' \t\n\r') AS txt, count(*) AS n FROM chatty GROUP BY 1, 2, 3)))"""
+
+# --- Reports ---
+
+LABELS = {
+    "prompt_version": {
+        "v1_letters": "Lettres (A–D)",
+        "v2_numbers": "Chiffres (1–4)",
+        "v3_text": "Texte de la réponse",
+        "v4_letters_hot": "Lettres, température 1",
+    },
+    "difficulty": {"easy": "Facile", "medium": "Moyen", "hard": "Difficile", "all": "Toutes"},
+    "question_type": {"multiple": "QCM", "boolean": "Vrai/Faux"},
+    "label_style": {"letters": "Lettres", "numbers": "Chiffres", "text": "Texte"},
+}
+
+
+def label(code, alias=None):
+    return labels(code, LABELS[code]) + (f" AS {alias}" if alias else "")
+
+
+SAMPLE_NOTE = """n_questions < 30 AS low_n,
+  CASE WHEN n_questions < 30 THEN 'Échantillon faible : ' ELSE '' END || 'n = ' || n_questions AS sample_note"""
+# Rank of an announced difficulty in display order.
+LEVEL_RANK = "CASE {0} WHEN 'easy' THEN 0 WHEN 'medium' THEN 1 WHEN 'hard' THEN 2 ELSE 3 END"
+
+REPORTS = {
+    "volumes": (
+        """SELECT sum(n_questions)::BIGINT AS n_responses, count(DISTINCT model_key) AS n_models,
+  count(DISTINCT prompt_version) AS n_prompts, count(*) AS n_runs,
+  (SELECT count(*) FROM mart_question_insights) AS n_questions FROM mart_leaderboard""",
+        ("mart_leaderboard", "mart_question_insights"),
+    ),
+    "leaderboard_selection": (
+        f"""SELECT *, {label('prompt_version', 'prompt_label')}, {label('label_style', 'format_label')},
+  model_name || ' · ' || {label('prompt_version')} AS run_label
+FROM mart_leaderboard WHERE model_key IN ('m0', 'm2', 'm3')""",
+        ("mart_leaderboard",),
+    ),
+    "winner_vs_runner_up": (
+        f"""SELECT prompt_version, m[1] AS best_model, a[1] AS best_accuracy, m[2] AS second_model, a[2] AS second_accuracy,
+  {rnd('a[1] - a[2]')} AS gap, lo[1] > hi[2] AS is_significant, n_questions_min, n_questions_max, n_models
+FROM (SELECT prompt_version, list(model_name ORDER BY accuracy DESC, model_key) AS m,
+    list(accuracy ORDER BY accuracy DESC, model_key) AS a, list(accuracy_ci_low ORDER BY accuracy DESC, model_key) AS lo,
+    list(accuracy_ci_high ORDER BY accuracy DESC, model_key) AS hi, min(n_questions) AS n_questions_min,
+    max(n_questions) AS n_questions_max, count(*) AS n_models FROM mart_leaderboard GROUP BY 1)""",
+        ("mart_leaderboard",),
+    ),
+    "status_shares": (
+        f"""SELECT model_name, prompt_version, n_questions, {SAMPLE_NOTE}, s.status, s.share
+FROM (SELECT *, unnest([{{'status': 'Juste', 'share': accuracy}},
+    {{'status': 'Faux', 'share': {rnd('valid_format_rate - accuracy')}}},
+    {{'status': 'Format invalide', 'share': {rnd('1 - valid_format_rate')}}}]) AS s FROM mart_leaderboard)""",
+        ("mart_leaderboard",),
+    ),
+    "profile_report": (
+        """SELECT p.*, random_baseline FROM mart_model_profile p LEFT JOIN (
+  SELECT DISTINCT ON (model_key) model_key, random_baseline FROM mart_leaderboard WHERE temperature = 0
+  ORDER BY model_key, prompt_version) USING (model_key)""",
+        ("mart_model_profile", "mart_leaderboard"),
+    ),
+    "profile_summary": (
+        """SELECT m[1] AS best_model, fast[1] AS fastest_model, big[1] AS largest_model,
+  len(m) > 1 AND s = list_reverse_sort(s) AS size_follows_accuracy
+FROM (SELECT list(model_name ORDER BY accuracy DESC, model_key) AS m, list(model_params_b ORDER BY accuracy DESC, model_key) AS s,
+  list(model_name ORDER BY avg_response_time_s, model_key) AS fast,
+  list(model_name ORDER BY model_params_b DESC, model_key) AS big FROM mart_model_profile)""",
+        ("mart_model_profile",),
+    ),
+    "knowledge_vs_format": (
+        """SELECT model_key, model_name, model_params_b, n_responses, valid_format_rate, 'Précision' AS measure,
+  accuracy AS value FROM mart_model_profile
+UNION ALL SELECT model_key, model_name, model_params_b, n_responses, valid_format_rate, 'Précision si format valide',
+  accuracy_when_valid FROM mart_model_profile""",
+        ("mart_model_profile",),
+    ),
+    "format_report": (
+        f"""SELECT f.*, {label('prompt_version', 'prompt_label')}, {label('label_style', 'format_label')},
+  {SAMPLE_NOTE.replace('n_questions', 'f.n_questions')}, l.accuracy_ci_low, l.accuracy_ci_high, l.random_baseline
+FROM mart_prompt_format f LEFT JOIN (SELECT model_key, prompt_version, accuracy_ci_low, accuracy_ci_high, random_baseline
+  FROM mart_leaderboard) l USING (model_key, prompt_version)""",
+        ("mart_prompt_format", "mart_leaderboard"),
+    ),
+    "format_means": (
+        f"SELECT {label('label_style', 'format_label')}, {rnd('avg(accuracy)')} AS mean_accuracy "
+        "FROM mart_prompt_format GROUP BY 1",
+        ("mart_prompt_format",),
+    ),
+    "most_format_sensitive": (
+        f"""SELECT model_name, {label('label_style', 'format_label')}, accuracy_delta_vs_letters FROM mart_prompt_format
+WHERE label_style <> 'letters' ORDER BY abs(accuracy_delta_vs_letters) DESC, model_key, prompt_version LIMIT 1""",
+        ("mart_prompt_format",),
+    ),
+    "temperature_report": (
+        """SELECT t.*, l.random_baseline FROM mart_temperature_effect t LEFT JOIN mart_leaderboard l
+  ON l.model_key = t.model_key AND l.prompt_version = 'v1_letters' WHERE t.difficulty = 'all'""",
+        ("mart_temperature_effect", "mart_leaderboard"),
+    ),
+    "temperature_extremes": (
+        """SELECT arg_min(model_name, row(accuracy_delta, model_key)) AS worst_model, min(accuracy_delta) AS worst_delta,
+  arg_min(model_name, row(-answer_stability, model_key)) AS steadiest_model, max(answer_stability) AS best_stability
+FROM mart_temperature_effect WHERE difficulty = 'all'""",
+        ("mart_temperature_effect",),
+    ),
+    "cold_hot_long": (
+        """SELECT model_name, n_questions, accuracy_delta, 'Température 0' AS run, accuracy_cold AS accuracy
+FROM mart_temperature_effect WHERE difficulty = 'all'
+UNION ALL SELECT model_name, n_questions, accuracy_delta, 'Température 1', accuracy_hot
+FROM mart_temperature_effect WHERE difficulty = 'all'""",
+        ("mart_temperature_effect",),
+    ),
+    "lost_and_gained": (
+        """SELECT model_name, n_questions, 'Perdues (juste → faux)' AS direction, 0 - rate_correct_to_wrong AS share,
+  rate_correct_to_wrong AS rate FROM mart_temperature_effect WHERE difficulty = 'all'
+UNION ALL SELECT model_name, n_questions, 'Gagnées (faux → juste)', rate_wrong_to_correct, rate_wrong_to_correct
+FROM mart_temperature_effect WHERE difficulty = 'all'""",
+        ("mart_temperature_effect",),
+    ),
+    "family_rollup": (
+        f"""SELECT model_key, model_name, category_group AS category, k AS n_correct, n AS n_questions, own AS model_accuracy,
+  {rnd(div('k', 'n'))} AS accuracy, {rnd(div('k', 'n') + ' - own')} AS delta_vs_model_average,
+  {rnd('everyone')} AS category_accuracy_all_models,
+  rank() OVER (PARTITION BY category_group ORDER BY k::DOUBLE / n DESC) AS rank_in_category,
+  dense_rank() OVER (ORDER BY everyone DESC, category_group) AS theme_order
+FROM (SELECT *, (sum(k) OVER g)::DOUBLE / sum(n) OVER g AS everyone
+  FROM (SELECT model_key, model_name, category_group, sum(n_correct)::BIGINT AS k, sum(n_questions)::BIGINT AS n,
+      any_value(model_accuracy) AS own FROM mart_perf_by_category WHERE prompt_version = 'v1_letters' GROUP BY 1, 2, 3)
+  WINDOW g AS (PARTITION BY category_group))""",
+        ("mart_perf_by_category",),
+    ),
+    "category_wins": (
+        """SELECT model_key, model_name, count(DISTINCT category_name) FILTER (is_best_in_category) AS n_wins
+FROM mart_perf_by_category WHERE prompt_version = 'v1_letters' GROUP BY 1, 2""",
+        ("mart_perf_by_category",),
+    ),
+    "strong_and_weak_categories": (
+        """SELECT model_key, category_group, category_name, delta_vs_model_average, up <= 3 AS is_strong, down <= 3 AS is_weak
+FROM (SELECT *, row_number() OVER (PARTITION BY model_key
+      ORDER BY delta_vs_model_average DESC, category_group, category_name) AS up,
+    row_number() OVER (PARTITION BY model_key
+      ORDER BY delta_vs_model_average, category_group DESC, category_name DESC) AS down
+  FROM mart_perf_by_category WHERE prompt_version = 'v1_letters') WHERE up <= 3 OR down <= 3""",
+        ("mart_perf_by_category",),
+    ),
+    "subgroup_hypothesis": (
+        f"""SELECT model_key, model_name, n AS n_questions, {rnd('acc')} AS subgroup_accuracy, {rnd('acc - own')} AS delta,
+  model_key = 'm2' AS is_target,
+  coalesce(model_key = 'm2' AND acc - own < (min(acc - own) FILTER (model_key <> 'm2') OVER ()), false) AS supports_hypothesis
+FROM (SELECT model_key, model_name, sum(n_questions)::BIGINT AS n, sum(n_correct)::DOUBLE / sum(n_questions) AS acc,
+    any_value(model_accuracy) AS own FROM mart_perf_by_category
+  WHERE prompt_version = 'v1_letters' AND category_name IN ('ECONOMY', 'STANDARD', 'Nature') GROUP BY 1, 2)""",
+        ("mart_perf_by_category",),
+    ),
+    "difficulty_drop": (
+        f"""SELECT model_name, {rnd('e')} AS easy, {rnd('h')} AS hard, {rnd('e - h')} AS "drop"
+FROM (SELECT model_name,
+    sum(n_correct) FILTER (difficulty = 'easy')::DOUBLE / sum(n_questions) FILTER (difficulty = 'easy') AS e,
+    sum(n_correct) FILTER (difficulty = 'hard')::DOUBLE / sum(n_questions) FILTER (difficulty = 'hard') AS h
+  FROM mart_perf_by_difficulty WHERE prompt_version = 'v1_letters' GROUP BY 1)""",
+        ("mart_perf_by_difficulty",),
+    ),
+    "difficulty_pivot": (
+        "SELECT model_name, "
+        + ", ".join(
+            f"max(accuracy) FILTER (difficulty = '{d}' AND question_type = '{t}') * 100 AS {d}_{t}"
+            for t in ("multiple", "boolean")
+            for d in ("easy", "medium", "hard")
+        )
+        + " FROM mart_perf_by_difficulty WHERE prompt_version = 'v1_letters' GROUP BY 1",
+        ("mart_perf_by_difficulty",),
+    ),
+    "facet_baseline": (
+        f"""SELECT {label('question_type', 'type_label')}, {rnd('avg(random_baseline)')} AS mean_baseline
+FROM mart_perf_by_difficulty WHERE prompt_version = 'v1_letters' GROUP BY 1""",
+        ("mart_perf_by_difficulty",),
+    ),
+    "strongest_bias": (
+        """SELECT prompt_version, question_type, model_name, position_label, share_chosen, share_expected, position_bias
+FROM mart_position_bias QUALIFY row_number() OVER (PARTITION BY prompt_version, question_type
+  ORDER BY abs(position_bias) DESC, model_key, position) = 1""",
+        ("mart_position_bias",),
+    ),
+    "true_share": (
+        """SELECT model_name, prompt_version, share_chosen, share_expected, position_bias FROM mart_position_bias
+WHERE question_type = 'boolean' AND position_label = 'True'""",
+        ("mart_position_bias",),
+    ),
+    "position_shares": (
+        "\nUNION ALL ".join(
+            f"""SELECT model_name, prompt_version, question_type, position, position_label, n_chosen, n_correct_here,
+  position_bias, '{text}' AS measure, {column} AS share FROM mart_position_bias"""
+            for column, text in (
+                ("share_chosen", "Réponses du modèle"),
+                ("share_expected", "Bonnes réponses réelles"),
+            )
+        ),
+        ("mart_position_bias",),
+    ),
+    "question_search": (
+        """SELECT * FROM mart_question_insights WHERE category_group IN ('Entertainment', 'Science')
+  AND difficulty IN ('easy', 'hard') AND lower(question_text) LIKE '%small%'""",
+        ("mart_question_insights",),
+    ),
+    "question_explorer": (
+        f"""SELECT * REPLACE (success_rate * 100 AS success_rate), {label('difficulty', 'difficulty_label')},
+  {label('question_type', 'type_label')}, {labels('ai_difficulty', LABELS['difficulty'])} AS ai_difficulty_label
+FROM mart_question_insights""",
+        ("mart_question_insights",),
+    ),
+    "trap_list": (
+        """SELECT question_id, question_text, category_name, difficulty, correct_answer, top_wrong_answer, top_wrong_votes,
+  n_answers FROM mart_question_insights WHERE is_common_trap""",
+        ("mart_question_insights",),
+    ),
+    "trap_summary": (
+        f"""SELECT count(*) AS n_questions, {rnd('avg(is_all_wrong::INT)')} AS all_wrong_share,
+  count_if(is_all_wrong)::BIGINT AS n_all_wrong, count_if(is_common_trap)::BIGINT AS n_traps,
+  {rnd('avg(is_all_correct::INT)')} AS all_correct_share, count_if(is_all_correct)::BIGINT AS n_all_correct
+FROM mart_question_insights""",
+        ("mart_question_insights",),
+    ),
+    "majority_vs_best": (
+        f"""SELECT {rnd('crowd')} AS majority_accuracy, model_name AS best_model, accuracy AS best_accuracy,
+  {rnd('crowd - accuracy')} AS gain, crowd > accuracy AS majority_is_better
+FROM (SELECT avg(is_majority_correct::INT) AS crowd FROM mart_question_insights),
+  (SELECT model_name, accuracy FROM mart_model_profile ORDER BY accuracy DESC, model_key LIMIT 1)""",
+        ("mart_question_insights", "mart_model_profile"),
+    ),
+    "difficulty_crosstab": (
+        f"""SELECT announced, lived, count(i.question_id) AS n,
+  {rnd('count(i.question_id)::DOUBLE / sum(count(i.question_id)) OVER (PARTITION BY announced)')} AS row_share,
+  (SELECT {rnd('avg((difficulty = ai_difficulty)::INT)')} FROM mart_question_insights) AS agreement
+FROM (SELECT DISTINCT difficulty AS announced FROM mart_question_insights) a
+CROSS JOIN (VALUES ('easy'), ('medium'), ('hard')) v(lived)
+LEFT JOIN mart_question_insights i ON i.difficulty = announced AND i.ai_difficulty = lived GROUP BY 1, 2""",
+        ("mart_question_insights",),
+    ),
+    "success_histogram": (
+        f"""SELECT round(success_rate * n_answers)::INT AS score, round(success_rate * n_answers)::INT || '/' || n_answers AS bucket,
+  difficulty, count(*) AS n, {LEVEL_RANK.format('difficulty')} AS color_rank
+FROM mart_question_insights GROUP BY ALL""",
+        ("mart_question_insights",),
+    ),
+    "model_display_order": (
+        """SELECT model_key, model_name, row_number() OVER (ORDER BY model_params_b, model_name, model_key) AS display_order
+FROM mart_model_profile""",
+        ("mart_model_profile",),
+    ),
+    "model_fallback_order": (
+        """SELECT model_key, model_name, row_number() OVER (
+  ORDER BY CASE model_key WHEN 'm3' THEN 0 WHEN 'm1' THEN 1 ELSE 2 END, model_name, model_key) AS display_order
+FROM (SELECT DISTINCT model_key, model_name FROM mart_position_bias)""",
+        ("mart_position_bias",),
+    ),
+    "difficulty_display_order": (
+        f"""SELECT difficulty, row_number() OVER (ORDER BY {LEVEL_RANK.format('difficulty')}, difficulty) AS display_order
+FROM (SELECT DISTINCT difficulty FROM mart_temperature_effect)""",
+        ("mart_temperature_effect",),
+    ),
+    "dimension_labels": (
+        f"""SELECT prompt_version, {label('prompt_version', 'prompt_label')}, difficulty,
+  {label('difficulty', 'difficulty_label')}, question_type, {label('question_type', 'type_label')}, label_style,
+  {label('label_style', 'format_label')}, count(*) AS n FROM enr GROUP BY ALL""",
+        ("enr",),
+    ),
+}
+
+TIDY = f"trim(regexp_replace(translate(text, chr(160) || chr(173), ' '), '{PYTHON_SPACE}+', ' ', 'g'))"
+# The four entities these pages hold; the ampersand comes last so that nothing is decoded twice.
+DECODED = "html"
+for _entity, _code in (("&quot;", 34), ("&middot;", 183), ("&copy;", 169), ("&amp;", 38)):
+    DECODED = f"replace({DECODED}, '{_entity}', chr({_code}))"
+
 ORACLES = {
+    "contract_bronze": oracle(report_sql("bronze", RAW_CHECKS, "faulty_raw"), "faulty_raw"),
+    "contract_silver": oracle(report_sql("silver", CLEAN_CHECKS, "faulty_clean"), "faulty_clean"),
+    "contract_read_back": oracle(report_sql("silver file", READ_BACK_CHECKS, "q"), "q"),
+    "clean_text_documents": f"SELECT doc_id, lang, {TIDY} AS clean_text FROM documents",
+    "clean_html_pages": f"SELECT page_id, {TIDY.replace('(text,', f'({DECODED},')} AS clean_html FROM pages",
+    "flatten_api_pages": oracle(
+        """SELECT type, difficulty, category, question || suffix AS question, correct_answer, incorrect_answers
+FROM q0, (VALUES (''), (' (bis)')) v(suffix) WHERE seq % 10 NOT IN (3, 7)""",
+        "q0",
+    ),
+    "category_split": oracle(
+        "SELECT seq, category, category_group, category_name, difficulty_level, nb_options FROM q", "q"
+    ),
+    "question_ids_dedup": oracle(
+        f"SELECT DISTINCT ON (question_id) {CLEAN_COLUMNS} FROM asked_again ORDER BY question_id, seq", "asked_again"
+    ),
+    "duplicate_groups": oracle(
+        """SELECT question_id, seq, category, question, correct_answer FROM asked_again
+QUALIFY count(*) OVER (PARTITION BY question_id) > 1""",
+        "asked_again",
+    ),
+    "duplicate_summary": oracle(
+        """SELECT sum(n)::BIGINT AS n_rows, count(*) AS n_kept, count_if(n > 1)::BIGINT AS n_duplicated_keys,
+  (sum(n) - count(*))::BIGINT AS n_removed FROM (SELECT count(*) AS n FROM asked_again GROUP BY question_id)""",
+        "asked_again",
+    ),
+    "seeded_permutation": oracle(
+        "SELECT question_id, sample_seed, sample_rank FROM perm42 UNION ALL "
+        "SELECT question_id, sample_seed, sample_rank FROM perm7",
+        "perm42",
+        "perm7",
+    ),
+    "seeded_sample": oracle(
+        "SELECT question_id, difficulty, sample_seed, sample_rank FROM perm42 WHERE sample_rank <= 150", "perm42"
+    ),
+    "first_questions_by_id": oracle("SELECT question_id, question FROM q ORDER BY question_id LIMIT 120", "q"),
+    "resume_work_list": oracle("SELECT * FROM work ANTI JOIN resp USING (run_id, question_id)", "work", "resp"),
+    "resume_on_triple_key": oracle(
+        """SELECT question_id, model_key AS model, prompt_version FROM resp a WHERE NOT EXISTS (FROM resp b
+  WHERE b.created_at < '1995-01-01T00:00:00' AND b.question_id = a.question_id AND b.model_key = a.model_key
+    AND b.prompt_version = a.prompt_version)""",
+        "resp",
+    ),
+    "build_choices": oracle(
+        f"""SELECT question_id, choices, 'ABCD'[place] AS letters_label, place::VARCHAR AS numbers_label,
+  choices[place] AS text_label, array_to_string(list_transform(list_zip(['A','B','C','D'][1:len(choices)], choices),
+    lambda z: z[1] || ') ' || z[2]), E'\\n') AS listing
+FROM (SELECT *, list_position(choices, correct_answer) AS place FROM (SELECT *, {choices()} AS choices FROM q))""",
+        "q",
+    ),
+    "render_prompts": oracle(
+        "SELECT run_id, question_id, choices, correct_label, system_prompt, user_prompt FROM resp", "resp"
+    ),
+    "run_summary": oracle(RUN_SUMMARY, "todo", "graded", "runs"),
+    "projected_minutes": oracle(
+        f"""SELECT lmstudio_id, n_runs, {rnd('pace', 2)} AS seconds_per_question, {rnd('pace * 1000 * n_runs / 60', 1)} AS projected_min
+FROM (SELECT lmstudio_id, count(*) AS n_runs FROM runs GROUP BY 1)
+JOIN (SELECT lmstudio_id, avg(response_time) AS pace FROM resp GROUP BY 1) USING (lmstudio_id)""",
+        "runs",
+        "resp",
+    ),
+    "one_run_per_model": oracle(
+        """SELECT DISTINCT ON (lmstudio_id) * FROM runs WHERE prompt_version = 'v3_text'
+ORDER BY lmstudio_id, run_order""",
+        "runs",
+    ),
+    "invalid_examples": oracle(
+        """SELECT run_id, question_id, raw_response FROM graded WHERE NOT is_valid_format
+ORDER BY run_id, question_id LIMIT 5""",
+        "graded",
+    ),
     "stage_questions": oracle("SELECT * FROM stq", "stq"),
     "stage_responses": oracle("SELECT * FROM str", "str"),
     "grade_responses": oracle("SELECT * FROM graded", "graded"),
+    "grade_stream": oracle("SELECT * FROM graded", "graded"),
+    "lenient_letters": oracle(LENIENT, "chatty"),
     "enriched": oracle("SELECT * FROM enr", "enr"),
+    "answer_option_table": oracle(
+        """SELECT question_id, correct_answer AS option_text, true AS is_correct FROM stq
+UNION ALL SELECT question_id, unnest(incorrect_answers), false FROM stq""",
+        "stq",
+    ),
+    "quality_by_source": f"""SELECT source, n AS n_labelled, k AS n_good, {rnd(div('k', 'n'))} AS share_good,
+  {rnd(wilson('k', 'n', '-'))} AS ci_low, {rnd(wilson('k', 'n', '+'))} AS ci_high
+FROM (SELECT source, count(*) AS n, sum(quality)::BIGINT AS k FROM labels JOIN documents USING (doc_id) GROUP BY 1)""",
 }
-for _mart in [name for name in BLOCKS if name.startswith("mart_")]:
-    ORACLES[_mart.removeprefix("mart_")] = oracle(f"SELECT * FROM {_mart}", _mart)
+for _name in [name for name in BLOCKS if name.startswith("mart_")]:
+    ORACLES[_name.removeprefix("mart_")] = oracle(f"SELECT * FROM {_name}", _name)
+for _name, (_sql, _needs) in REPORTS.items():
+    ORACLES[_name] = oracle(_sql, *_needs)

@@ -12,16 +12,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from askgauge.functions.metrics import chance_corrected, ratio, round_to, wilson_high, wilson_low
 from askgauge.schemas import SIZE_CLASSES
 
-N_CORRECT = F.count_if("ai_correct").alias("n_correct")
-N_VALID = F.count_if("is_valid_format").alias("n_valid")
-BASELINE_PARTS = (
-    F.sum("random_baseline").alias("baseline_sum"),
-    F.count("random_baseline").alias("baseline_n"),
-)
-TIME_PARTS = (
-    F.sum("response_time_s").alias("time_sum"),
-    F.count("response_time_s").alias("time_n"),
-)
+
+def _counts():
+    """Responses, right ones and readable ones."""
+    return [
+        F.count("*").alias("n"),
+        F.count_if("ai_correct").alias("n_correct"),
+        F.count_if("is_valid_format").alias("n_valid"),
+    ]
+
+
+def _mean_parts(column, name):
+    """Sum and non-null count of a column: a mean that can be summed up further."""
+    return [F.sum(column).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
 
 
 def _sums(*names):
@@ -68,13 +71,10 @@ def leaderboard(enriched: DataFrame, quantile: float = 0.95) -> DataFrame:
         "temperature",
     )
     per_time = enriched.groupBy(*run, "response_time_s").agg(
-        F.count("*").alias("n"),
-        N_CORRECT,
-        N_VALID,
+        *_counts(),
         F.count_if("is_truncated").alias("n_truncated"),
-        *BASELINE_PARTS,
-        F.sum("completion_tokens").alias("token_sum"),
-        F.count("completion_tokens").alias("token_n"),
+        *_mean_parts("random_baseline", "baseline"),
+        *_mean_parts("completion_tokens", "token"),
     )
 
     timed = F.when(F.col("response_time_s").isNotNull(), F.col("n")).otherwise(F.lit(0))
@@ -115,7 +115,8 @@ def leaderboard(enriched: DataFrame, quantile: float = 0.95) -> DataFrame:
         round_to(ratio(right, valid), 4).alias("accuracy_when_valid"),
         round_to(ratio(F.col("n_truncated"), n), 4).alias("truncated_rate"),
         round_to(ratio(F.col("time_sum"), F.col("time_n")), 4).alias("avg_response_time_s"),
-        round_to(p_time, 4).alias("p95_response_time_s"),
+        # Rounded twice: an interpolated value halfway between two roundings carries double noise.
+        round_to(round_to(p_time, 9), 4).alias("p95_response_time_s"),
         round_to(ratio(F.col("token_sum"), F.col("token_n")), 2).alias("avg_completion_tokens"),
         round_to(_per_minute(right, F.col("time_sum")), 1).alias("correct_per_minute"),
         _rank_by(accuracy).alias("accuracy_rank"),
@@ -140,7 +141,7 @@ def model_profile(enriched: DataFrame) -> DataFrame:
     reduced = (
         enriched.where((F.col("temperature") == 0) & F.col("model_key").isNotNull())
         .groupBy(*model, "prompt_version")
-        .agg(F.count("*").alias("n"), N_CORRECT, N_VALID, *BASELINE_PARTS, *TIME_PARTS)
+        .agg(*_counts(), *_mean_parts("random_baseline", "baseline"), *_mean_parts("response_time_s", "time"))
     )
     n_here, right_here = _over(("model_key", "prompt_version"), "n", "n_correct")
     prompt, score = F.col("prompt_version"), F.col("prompt_accuracy")
@@ -192,9 +193,7 @@ def prompt_format(enriched: DataFrame) -> DataFrame:
         enriched.where(F.col("temperature") == 0)
         .groupBy(*keys)
         .agg(
-            F.count("*").alias("n"),
-            N_CORRECT,
-            N_VALID,
+            *_counts(),
             F.count_if(F.col("is_valid_format") & F.col("ai_correct")).alias("n_correct_valid"),
             F.avg(F.col("is_truncated").cast("int")).alias("truncated"),
             F.avg("completion_tokens").alias("tokens"),
@@ -261,7 +260,7 @@ def temperature_effect(enriched: DataFrame, with_grouping_id: bool = False) -> D
             "temperature",
         )
         .groupBy("model_key", "question_id", "hot", *described, "ai_position")
-        .agg(F.count("*").alias("n"), N_CORRECT, N_VALID, F.min("temperature").alias("temperature"))
+        .agg(*_counts(), F.min("temperature").alias("temperature"))
     )
 
     pair = Window.partitionBy("model_key", "question_id")
@@ -342,7 +341,7 @@ def perf_by_category(enriched: DataFrame) -> DataFrame:
         "category_group",
         "category_name",
     )
-    reduced = enriched.groupBy(*keys).agg(F.count("*").alias("n"), N_CORRECT)
+    reduced = enriched.groupBy(*keys).agg(*_counts())
     category = ("prompt_version", "category_group", "category_name")
     model_n, model_right = _over(("model_key", "prompt_version"), "n", "n_correct")
     all_n, all_right = _over(category, "n", "n_correct")
@@ -389,7 +388,7 @@ def perf_by_difficulty(enriched: DataFrame) -> DataFrame:
         "difficulty_level",
         "question_type",
     )
-    reduced = enriched.groupBy(*keys).agg(F.count("*").alias("n"), N_CORRECT, N_VALID, *BASELINE_PARTS)
+    reduced = enriched.groupBy(*keys).agg(*_counts(), *_mean_parts("random_baseline", "baseline"))
     n, right = F.col("n"), F.col("n_correct")
     accuracy, baseline = ratio(right, n), ratio(F.col("baseline_sum"), F.col("baseline_n"))
     return reduced.select(
@@ -414,7 +413,7 @@ def position_bias(enriched: DataFrame) -> DataFrame:
     block = ("model_key", "prompt_version", "question_type")
     described = ("model_name", "label_style", "temperature")
     counted = enriched.groupBy(*block, *described, "correct_position", "ai_position", "is_valid_format").agg(
-        F.count("*").alias("n"), N_CORRECT
+        *_counts()
     )
 
     def part(position, here, found, chosen, valid):
@@ -499,7 +498,7 @@ def question_insights(enriched: DataFrame) -> DataFrame:
     cells = (
         enriched.where(F.col("temperature") == 0)
         .groupBy("question_id", *attributes, "model_key", "ai_answer", "is_valid_format")
-        .agg(F.count("*").alias("n"), N_CORRECT)
+        .agg(*_counts())
     )
 
     per_model = Window.partitionBy("question_id", "model_key")

@@ -510,7 +510,7 @@ def majority_vs_best(insights: DataFrame, profile: DataFrame) -> DataFrame:
 def difficulty_crosstab(insights: DataFrame) -> DataFrame:
     """Announced against experienced difficulty: counts, row shares, and the overall agreement."""
     levels = list(DIFFICULTY_LEVELS)
-    counts = insights.groupBy("difficulty").pivot("ai_difficulty", levels).agg(F.count("*")).na.fill(0, levels)
+    counts = insights.groupBy("difficulty").pivot("ai_difficulty", levels).agg(F.count(F.lit(1))).na.fill(0, levels)
     everything = Window.partitionBy()
     total = sum((F.col(c) for c in levels), F.lit(0))
     diagonal = F.coalesce(*(F.when(F.col("difficulty") == c, F.col(c)) for c in levels), F.lit(0))

@@ -271,7 +271,7 @@ def faulty_clean_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated_raw_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw questions asked again and again in slightly different spacing, case and entities."""
     spaced = F.concat(
-        F.lit("  Which&nbsp;brand makes \t"), F.translate("p_name", " ", " "), F.lit("&#63;­ ")
+        F.lit("  Which&nbsp;brand makes \t"), F.translate("p_name", " ", "\u00a0"), F.lit("&#63;\u00ad ")
     )
     text = F.when(F.col("p_partkey") % 3 == 0, F.upper(F.concat(F.lit("Which brand makes "), "p_name", F.lit("?"))))
     names = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("seq"), text.otherwise(spaced).alias("said"))

@@ -4,7 +4,9 @@ Each function takes the enriched responses and returns one table. All of them fo
 response table is scanned once and reduced, with map-side combining, to a table whose size depends
 on the number of models, prompts, categories and options, not on the number of responses. Totals,
 reference rows and ranks are then windows over that reduced table. Nothing joins the responses to
-themselves, so an over-represented model or question never meets a second large side.
+themselves, so an over-represented model or question never meets a second large side. Where several
+windows share a key, the reduced table is repartitioned on that key once; left alone, Spark would
+shuffle it for each window.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -82,9 +84,13 @@ def leaderboard(enriched: DataFrame, quantile: float = 0.95) -> DataFrame:
     upto = by_run.orderBy(F.col("response_time_s").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    placed = per_time.withColumns(
-        {"time_n": F.sum(timed).over(by_run), "seen": F.sum(timed).over(upto)}
-    ).withColumn("spot", F.lit(quantile) * (F.col("time_n") - 1))
+    placed = (
+        # One shuffle on two of the keys serves both windows and the last aggregation.
+        per_time.repartition("model_key", "prompt_version")
+        .withColumn("seen", F.sum(timed).over(upto))
+        .withColumn("time_n", F.sum(timed).over(by_run))
+        .withColumn("spot", F.lit(quantile) * (F.col("time_n") - 1))
+    )
 
     def time_at(index):
         return F.min(F.when(F.col("seen") > index, F.col("response_time_s")))
@@ -146,7 +152,8 @@ def model_profile(enriched: DataFrame) -> DataFrame:
     n_here, right_here = _over(("model_key", "prompt_version"), "n", "n_correct")
     prompt, score = F.col("prompt_version"), F.col("prompt_accuracy")
     models = (
-        reduced.withColumn("prompt_accuracy", ratio(right_here, n_here))
+        reduced.repartition("model_key")
+        .withColumn("prompt_accuracy", ratio(right_here, n_here))
         .withColumns(
             {
                 "best": F.min(F.struct((-score).alias("score"), prompt)).over(Window.partitionBy("model_key")),
@@ -271,7 +278,8 @@ def temperature_effect(enriched: DataFrame, with_grouping_id: bool = False) -> D
         return F.coalesce(F.sum(F.when(is_hot, F.col(name))).over(window), F.lit(0))
 
     weighted = (
-        answers.withColumns(
+        answers.repartition("model_key", "question_id")
+        .withColumns(
             {
                 "hot_n": hot_sum("n"),
                 "hot_correct": hot_sum("n_correct"),
@@ -426,7 +434,7 @@ def position_bias(enriched: DataFrame) -> DataFrame:
         )
 
     n, none, valid_n = F.col("n"), F.lit(0).cast("bigint"), F.when(F.col("is_valid_format"), F.col("n")).otherwise(0)
-    parts = counted.select(
+    parts = counted.repartition(*block).select(
         *block,
         *described,
         F.inline(
@@ -506,7 +514,9 @@ def question_insights(enriched: DataFrame) -> DataFrame:
     is_right = F.col("ai_answer") == F.col("correct_answer")
     per_answer = Window.partitionBy("question_id", "is_valid_format", "ai_answer", "is_right")
     flagged = (
-        cells.withColumn("is_right", is_right)
+        # One shuffle of the reduced rows serves both windows and the last aggregation.
+        cells.repartition("question_id")
+        .withColumn("is_right", is_right)
         .withColumns(
             {
                 "model_rows": F.row_number().over(in_model),

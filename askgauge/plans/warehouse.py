@@ -89,7 +89,7 @@ def available_marts(spark: SparkSession, gold: str = GOLD) -> set[str]:
     """Names of the tables in the gold layer."""
     if not spark.catalog.databaseExists(gold):
         return set()
-    return {t.name for t in spark.catalog.listTables(gold)}
+    return {t.name for t in spark.catalog.listTables(gold) if not t.isTemporary}
 
 
 def load_mart(spark: SparkSession, name: str, gold: str = GOLD) -> DataFrame:

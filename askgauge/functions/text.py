@@ -16,11 +16,9 @@ ANSWER_QUOTES = "\"'`*"
 ANSWER_STOPS = ".!"
 HTML_ENTITY = r"&[a-zA-Z#0-9]+;"
 SOFT_HYPHEN = "\u00ad"
-NO_BREAK_SPACE = "\u00a0"
-# What Python's str.split() separates on, as a character class both Java and RE2 accept.
-PYTHON_SPACE = (
-    r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
+# What Python's str.split() separates on, for patterns that start with the (?U) flag: Unicode white
+# space and the four ASCII separators. Java tests it several times faster than a list of ranges.
+PYTHON_SPACE = r"[\s\x1c-\x1f]"
 
 
 def strip_whitespace(text: Column) -> Column:
@@ -36,19 +34,19 @@ def normalize_answer(text: Column) -> Column:
 
 
 def tidy_spaces(text: Column) -> Column:
-    """Drop soft hyphens, turn no-break spaces into spaces, collapse and trim all whitespace."""
-    plain = F.translate(text, NO_BREAK_SPACE + SOFT_HYPHEN, " ")
-    return F.trim(F.regexp_replace(plain, PYTHON_SPACE + "+", " "))
+    """Drop soft hyphens, then collapse and trim all whitespace, no-break spaces included."""
+    plain = F.replace(text, F.lit(SOFT_HYPHEN), F.lit(""))
+    return F.trim(F.regexp_replace(plain, rf"(?U){PYTHON_SPACE}+", " "))
 
 
 def strip_python_space(text: Column) -> Column:
     """Python's ``str.strip()``."""
-    return F.regexp_replace(text, rf"\A{PYTHON_SPACE}+|{PYTHON_SPACE}+\z", "")
+    return F.regexp_replace(text, rf"(?U)\A{PYTHON_SPACE}+|{PYTHON_SPACE}+\z", "")
 
 
 def has_outer_space(text: Column) -> Column:
     """True when Python's ``str.strip()`` would change the text."""
-    return text.rlike(rf"\A{PYTHON_SPACE}|{PYTHON_SPACE}\z")
+    return text.rlike(rf"(?U)\A{PYTHON_SPACE}|{PYTHON_SPACE}\z")
 
 
 def _entity_decoders():

@@ -28,9 +28,14 @@ STATUS_CORRECT, STATUS_INCORRECT, STATUS_INVALID = "correct", "incorrect", "inva
 
 
 def clean_response(raw: Column) -> Column:
-    """The answer without reasoning, without an ``Answer:`` prefix, trimmed."""
-    text = F.regexp_replace(raw, REASONING_BLOCK, "")
-    text = F.regexp_replace(text, REASONING_MARKER, "")
+    """The answer without reasoning, without an ``Answer:`` prefix, trimmed.
+
+    The reasoning patterns run only on answers that hold one of their fixed parts. Both run then:
+    removing a block may bring the halves of a marker together.
+    """
+    unreasoned = F.regexp_replace(F.regexp_replace(raw, REASONING_BLOCK, ""), REASONING_MARKER, "")
+    reasoned = F.contains(raw, F.lit("<think>")) | F.contains(raw, F.lit("_REASONING_END_"))
+    text = F.when(reasoned, unreasoned).otherwise(raw)
     return strip_whitespace(F.regexp_replace(text, ANSWER_PREFIX, ""))
 
 
@@ -76,7 +81,7 @@ def grade(responses: DataFrame) -> DataFrame:
 
     slot, rest = F.col("_slot"), F.col("_rest")
     same_option = normalize_answer(rest) == normalize_answer(item_at(choices, slot))
-    by_label = F.when((rest == "") | same_option, slot)
+    by_label = F.when(slot.isNotNull() & ((rest == "") | same_option), slot)
     by_text = position_of(
         F.transform(choices, normalize_answer), normalize_answer(F.regexp_extract(text, FIRST_LINE, 1))
     )
@@ -113,8 +118,8 @@ def grade_responses(staged: DataFrame) -> DataFrame:
 
 
 # --- Fixed values: patterns of the lenient letter reader ---
-LEADING_LETTER = rf"\A\(?([A-D]){PYTHON_SPACE}*(?:[).:]|\z)"
-ANNOUNCED_LETTER = rf"(?i)answer{PYTHON_SPACE}*(?:is)?{PYTHON_SPACE}*:?{PYTHON_SPACE}*\(?([A-D])\b"
+LEADING_LETTER = rf"(?U)\A\(?([A-D]){PYTHON_SPACE}*(?:[).:]|\z)"
+ANNOUNCED_LETTER = rf"(?iU)answer{PYTHON_SPACE}*(?:is)?{PYTHON_SPACE}*:?{PYTHON_SPACE}*\(?([A-D])\b"
 
 
 def lenient_letter(raw: Column, nb_choices: Column, structured: Column) -> Column:

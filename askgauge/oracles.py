@@ -4,7 +4,10 @@ Each building block is a common table expression; ``oracle(sql, *blocks)`` prepe
 statement needs, together with the blocks those rest on.
 """
 
-from askgauge.functions.text import PYTHON_SPACE
+# What Python's str.split() separates on, as a character class for DuckDB's patterns.
+PYTHON_SPACE = (
+    r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 
 # name -> (SQL, names of the blocks it reads)
 BLOCKS: dict[str, tuple[str, tuple[str, ...]]] = {}

@@ -3,6 +3,7 @@
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ def query(fn):
     return fn
 
 
+@lru_cache(maxsize=4)
 class Tables:
     """The evaluation tables of one source directory, each planned on first use."""
 
@@ -165,7 +167,13 @@ def build_choices(spark, sf_dir):
 @query
 def render_prompts(spark, sf_dir):
     return derived.responses(spark, sf_dir).select(
-        "run_id", "question_id", "choices", "correct_label", "system_prompt", "user_prompt"
+        "run_id",
+        "question_id",
+        "choices",
+        "correct_label",
+        "system_prompt",
+        "user_prompt",
+        prompting.prompt_text(F.col("system_prompt"), F.col("user_prompt")).alias("prompt_text"),
     )
 
 
@@ -211,9 +219,8 @@ QUERIES["enriched"] = derived.enriched_responses
 
 @query
 def lenient_letters(spark, sf_dir):
-    answers = derived.chatty_answers(spark, sf_dir)
-    letter = lenient_letter(F.col("raw"), F.col("nb"), F.col("structured"))
-    return answers.groupBy("raw", "nb", "structured", letter.alias("letter")).agg(F.count("*").alias("n"))
+    answers = derived.chatty_answers(spark, sf_dir).groupBy("raw", "nb", "structured").agg(F.count("*").alias("n"))
+    return answers.withColumn("letter", lenient_letter(F.col("raw"), F.col("nb"), F.col("structured")))
 
 
 @query
@@ -290,9 +297,11 @@ report(
     "temperature_extremes",
     lambda t: reports.temperature_extremes(t.temperature_effect.where(F.col("difficulty") == "all")),
 )
+report("temperature_by_difficulty", lambda t: reports.temperature_by_difficulty(t.temperature_effect))
 report("cold_hot_long", lambda t: reports.cold_hot_long(t.temperature_effect.where(F.col("difficulty") == "all")))
 report("lost_and_gained", lambda t: reports.lost_and_gained(t.temperature_effect.where(F.col("difficulty") == "all")))
 report("family_rollup", lambda t: reports.family_rollup(t.perf_by_category))
+report("category_order", lambda t: reports.category_order(t.perf_by_category))
 report("category_wins", lambda t: reports.category_wins(t.perf_by_category))
 report("strong_and_weak_categories", lambda t: reports.strong_and_weak_categories(t.perf_by_category))
 report(
@@ -325,8 +334,7 @@ report(
 )
 report(
     "dimension_labels",
-    lambda t: reports.with_labels(t.enriched).groupBy(
-        "prompt_version", "prompt_label", "difficulty", "difficulty_label", "question_type", "type_label",
-        "label_style", "format_label",
-    ).agg(F.count("*").alias("n")),
+    lambda t: reports.with_labels(
+        t.enriched.groupBy(*reports.DIMENSION_LABELS).agg(F.count("*").alias("n"))
+    ),
 )

@@ -131,6 +131,12 @@ def final_system_prompt(system_prompt: Column, disable_thinking: Column) -> Colu
     return F.concat(system_prompt, F.when(off, NO_THINKING_SUFFIX).otherwise(""))
 
 
+def prompt_text(system_prompt: Column, user_prompt: Column) -> Column:
+    """What is sent, as one text: a blank system prompt is left out of the conversation."""
+    parts = F.array(F.when(F.trim(system_prompt) != "", system_prompt), user_prompt)
+    return F.array_join(parts, "\n\n")
+
+
 def render_prompts(work: DataFrame) -> DataFrame:
     """Add ``choices``, ``correct_label`` and the final prompts to a work list."""
     style = F.col("label_style")

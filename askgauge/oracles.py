@@ -93,8 +93,8 @@ def attributes(source):
   CASE grp WHEN 'Science & Nature' THEN 'Science' ELSE grp END AS category_group,
   CASE nam WHEN 'Science & Nature' THEN 'Nature' ELSE nam END AS category_name
 FROM (SELECT *, trim(string_split(category, ':')[1]) AS grp, trim(string_split(category, ':')[-1]) AS nam,
-  CASE difficulty WHEN 'easy' THEN 1 WHEN 'medium' THEN 2 WHEN 'hard' THEN 3 END AS difficulty_level,
-  len(incorrect_answers) + 1 AS nb_options,
+  (CASE difficulty WHEN 'easy' THEN 1 WHEN 'medium' THEN 2 WHEN 'hard' THEN 3 END)::TINYINT AS difficulty_level,
+  (len(incorrect_answers) + 1)::TINYINT AS nb_options,
   left(md5(lower(question) || '||' || lower(correct_answer)), 12) AS question_id FROM {source})"""
 
 
@@ -107,7 +107,7 @@ block(
 )
 block(
     "runs",
-    r"""SELECT m * 4 + p + 1 AS run_order, concat('m', m, '__', ver) AS run_id, concat('m', m) AS model_key,
+    r"""SELECT (m * 4 + p + 1)::INT AS run_order, concat('m', m, '__', ver) AS run_id, concat('m', m) AS model_key,
   concat('lab/model-', m) AS lmstudio_id, concat('Model ', m) AS model_name, concat('Lab ', m % 3) AS publisher,
   (['US','US','CN','FR'])[m + 1] AS country, ([1.0, 1.2, 3.0, 8.0])[m + 1]::DOUBLE AS params_b,
   CASE m WHEN 2 THEN 'true' ELSE 'false' END AS disable_thinking, ver AS prompt_version, sty AS label_style,
@@ -288,7 +288,7 @@ FROM fmt0 f LEFT JOIN fmt0 l ON l.label_style = 'letters' AND l.model_key = f.mo
 block(
     "mart_temperature_effect",
     f"""SELECT model_key, model_name, model_params_b, coalesce(difficulty, 'all') AS difficulty,
-  coalesce(difficulty_level, 0) AS difficulty_level, min(tc) AS temperature_cold, min(th) AS temperature_hot,
+  coalesce(difficulty_level::INT, 0) AS difficulty_level, min(tc) AS temperature_cold, min(th) AS temperature_hot,
   count(*) AS n_questions, {rnd('avg(cc)')} AS accuracy_cold, {rnd('avg(ch)')} AS accuracy_hot,
   {rnd('avg(ch) - avg(cc)')} AS accuracy_delta, {rnd('avg(vc)')} AS valid_format_rate_cold,
   {rnd('avg(vh)')} AS valid_format_rate_hot, {rnd('avg(same)')} AS answer_stability,
@@ -462,7 +462,7 @@ CLEAN_COLUMNS = """question_id, type, difficulty, difficulty_level, category, ca
 
 def permutation(seed):
     return f"""SELECT *, {seed} AS sample_seed,
-  row_number() OVER (ORDER BY md5('{seed}:' || question_id), question_id) AS sample_rank FROM q"""
+  (row_number() OVER (ORDER BY md5('{seed}:' || question_id), question_id))::INT AS sample_rank FROM q"""
 
 
 block("perm42", permutation(42), "q")
@@ -608,6 +608,11 @@ WHERE label_style <> 'letters' ORDER BY abs(accuracy_delta_vs_letters) DESC, mod
 FROM mart_temperature_effect WHERE difficulty = 'all'""",
         ("mart_temperature_effect",),
     ),
+    "temperature_by_difficulty": (
+        f"""SELECT *, {label('difficulty', 'difficulty_label')}, {SAMPLE_NOTE} FROM mart_temperature_effect
+WHERE difficulty <> 'all'""",
+        ("mart_temperature_effect",),
+    ),
     "cold_hot_long": (
         """SELECT model_name, n_questions, accuracy_delta, 'Température 0' AS run, accuracy_cold AS accuracy
 FROM mart_temperature_effect WHERE difficulty = 'all'
@@ -634,6 +639,11 @@ FROM (SELECT *, (sum(k) OVER g)::DOUBLE / sum(n) OVER g AS everyone
   WINDOW g AS (PARTITION BY category_group))""",
         ("mart_perf_by_category",),
     ),
+    "category_order": (
+        """SELECT DISTINCT category_group, category_name, category_accuracy_all_models FROM mart_perf_by_category
+WHERE prompt_version = 'v1_letters'""",
+        ("mart_perf_by_category",),
+    ),
     "category_wins": (
         """SELECT model_key, model_name, count(DISTINCT category_name) FILTER (is_best_in_category) AS n_wins
 FROM mart_perf_by_category WHERE prompt_version = 'v1_letters' GROUP BY 1, 2""",
@@ -829,7 +839,9 @@ FROM (SELECT *, list_position(choices, correct_answer) AS place FROM (SELECT *,
         "q",
     ),
     "render_prompts": oracle(
-        "SELECT run_id, question_id, choices, correct_label, system_prompt, user_prompt FROM resp", "resp"
+        """SELECT run_id, question_id, choices, correct_label, system_prompt, user_prompt,
+  system_prompt || E'\\n\\n' || user_prompt AS prompt_text FROM resp""",
+        "resp",
     ),
     "run_summary": oracle(RUN_SUMMARY, "todo", "graded", "runs"),
     "projected_minutes": oracle(

@@ -211,6 +211,11 @@ def temperature_overall(effect: DataFrame, leaderboard: DataFrame, prompt: str =
     return effect.where(F.col("difficulty") == "all").join(baseline, "model_key", "left")
 
 
+def temperature_by_difficulty(effect: DataFrame) -> DataFrame:
+    """Rows of one difficulty each, labelled, with the sample note."""
+    return with_sample_note(with_labels(effect.where(F.col("difficulty") != "all")))
+
+
 def temperature_extremes(overall: DataFrame) -> DataFrame:
     """The model that loses most accuracy, and the one that repeats its answers most."""
     steady = F.struct((-F.col("answer_stability")).alias("s"), "model_key")
@@ -290,6 +295,16 @@ def family_rollup(perf: DataFrame, prompt: str = REFERENCE_PROMPT) -> DataFrame:
     )
 
 
+def category_order(perf: DataFrame, prompt: str = REFERENCE_PROMPT) -> DataFrame:
+    """Categories from the best answered to the worst over all models."""
+    return (
+        perf.where(F.col("prompt_version") == prompt)
+        .groupBy("category_group", "category_name")
+        .agg(F.max("category_accuracy_all_models").alias("category_accuracy_all_models"))
+        .orderBy(F.desc("category_accuracy_all_models"), "category_group", "category_name")
+    )
+
+
 def category_wins(perf: DataFrame, prompt: str = REFERENCE_PROMPT) -> DataFrame:
     """Number of categories each model leads, zero included."""
     return (

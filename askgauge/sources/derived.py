@@ -3,9 +3,12 @@
 The library is exercised on tables that hold no quiz questions, so questions come from ``part`` and
 answers from ``lineitem``: every part becomes a question, every line item a model's answer to the
 question about its part. All expressions are row-wise or keyed, so the derived tables grow with the
-source tables. ``oracles.py`` states the same derivation in SQL.
+source tables. ``oracles.py`` states the same derivation in SQL. Plans, not data, are remembered per
+session and directory.
 """
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from askgauge.operators.cleaning import derive_attributes
@@ -58,11 +61,13 @@ def question_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=4)
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean questions in their file layout, plus ``seq``."""
     return derive_attributes(question_rows(spark, sf_dir)).select(*CLEAN_QUESTIONS.fieldNames(), "seq")
 
 
+@lru_cache(maxsize=4)
 def run_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The runs whose answers ``lineitem`` holds: one per (supplier, line number) class."""
     model, prompt = F.col("m"), F.col("p")
@@ -128,6 +133,7 @@ def _raw_answer():
     return result
 
 
+@lru_cache(maxsize=4)
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw responses in their file layout: one per run and question."""
     line_order = (
@@ -197,18 +203,22 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*RESPONSES.fieldNames())
 
 
+@lru_cache(maxsize=4)
 def staged_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_questions(questions(spark, sf_dir).drop("seq"))
 
 
+@lru_cache(maxsize=4)
 def staged_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_responses(responses(spark, sf_dir))
 
 
+@lru_cache(maxsize=4)
 def graded_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_responses(staged_responses(spark, sf_dir))
 
 
+@lru_cache(maxsize=4)
 def enriched_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_responses(graded_responses(spark, sf_dir), staged_questions(spark, sf_dir))
 

@@ -6,6 +6,7 @@ from askgauge.functions.metrics import ratio, round_to
 from askgauge.operators.joins import join_small
 from askgauge.schemas import (
     BOOLEAN_CHOICES,
+    NO_THINKING_SUFFIX,
     OPTION_LABELS,
     RUN_COMPLETE,
     RUN_DONE_BEFORE,
@@ -13,8 +14,6 @@ from askgauge.schemas import (
     RUN_MODEL_MISSING,
 )
 
-NO_THINKING_SUFFIX = " /no_think"
-
 
 # --- Samples and work lists ---
 

@@ -114,7 +114,7 @@ block(
   concat('Answer by ', sty) AS prompt_description, concat('Reply with ', sty, ' only.') AS system_prompt,
   E'Question: {question}\n{options}\nAnswer:' AS user_template,
   CASE p WHEN 3 THEN 1 ELSE 0 END::DOUBLE AS temperature, CASE p WHEN 2 THEN 40 ELSE 5 END AS max_tokens,
-  1000 AS n_questions, 42 AS sample_seed
+  1000 AS n_questions, (42 + m // 4)::INT AS sample_seed
 FROM (SELECT *, (['v1_letters','v2_numbers','v3_text','v4_letters_hot'])[p + 1] AS ver,
         (['letters','numbers','text','letters'])[p + 1] AS sty
   FROM (SELECT DISTINCT l_suppkey % 4 AS m, l_linenumber % 4 AS p FROM lineitem))""",
@@ -782,10 +782,12 @@ FROM (SELECT DISTINCT difficulty FROM mart_temperature_effect)""",
 }
 
 TIDY = f"trim(regexp_replace(translate(text, chr(160) || chr(173), ' '), '{PYTHON_SPACE}+', ' ', 'g'))"
-# The four entities these pages hold; the ampersand comes last so that nothing is decoded twice.
+# The entities these pages hold. The ampersand comes last so that nothing is decoded twice; like other
+# old entities it also counts without its semicolon.
 DECODED = "html"
-for _entity, _code in (("&quot;", 34), ("&middot;", 183), ("&copy;", 169), ("&amp;", 38)):
+for _entity, _code in (("&quot;", 34), ("&middot;", 183), ("&copy;", 169)):
     DECODED = f"replace({DECODED}, '{_entity}', chr({_code}))"
+DECODED = f"regexp_replace({DECODED}, '&amp;?', '&', 'g')"
 
 ORACLES = {
     "contract_bronze": oracle(report_sql("bronze", RAW_CHECKS, "faulty_raw"), "faulty_raw"),

@@ -10,13 +10,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from askgauge.functions.labels import label_or_code, rank_in
 from askgauge.functions.metrics import ratio, round_to, share_of
 from askgauge.schemas import (
+    ANSWERS_GAINED,
+    ANSWERS_LOST,
     DIFFICULTY_LABELS,
     DIFFICULTY_LEVELS,
     FORMAT_LABELS,
+    KNOWLEDGE_MEASURES,
+    POSITION_MEASURES,
     PROMPT_LABELS,
     QUESTION_TYPE_LABELS,
     QUESTION_TYPES,
+    SAMPLE_NOTE,
     SMALL_SAMPLE,
+    SMALL_SAMPLE_NOTE,
+    STATUS_SHARES,
+    TEMPERATURE_RUNS,
 )
 
 REFERENCE_PROMPT = "v1_letters"
@@ -45,7 +53,7 @@ def with_labels(df: DataFrame) -> DataFrame:
 def with_sample_note(df: DataFrame) -> DataFrame:
     """Flag rows resting on few questions and say on how many."""
     low, size = F.col("n_questions") < SMALL_SAMPLE, F.col("n_questions").cast("string")
-    note = F.when(low, F.concat(F.lit("Échantillon faible : n = "), size)).otherwise(F.concat(F.lit("n = "), size))
+    note = F.concat(F.when(low, SMALL_SAMPLE_NOTE).otherwise(SAMPLE_NOTE), size)
     return df.withColumns({"low_n": low, "sample_note": note})
 
 
@@ -122,18 +130,10 @@ def winner_vs_runner_up(leaderboard: DataFrame) -> DataFrame:
 def status_shares(leaderboard: DataFrame) -> DataFrame:
     """Right, wrong and unreadable shares of each run, long form, with the sample note."""
     valid, right = F.col("valid_format_rate"), F.col("accuracy")
-    parts = with_sample_note(leaderboard).select(
-        "model_name",
-        "prompt_version",
-        "n_questions",
-        "low_n",
-        "sample_note",
-        right.alias("Juste"),
-        round_to(valid - right, 4).alias("Faux"),
-        round_to(F.lit(1.0) - valid, 4).alias("Format invalide"),
-    )
     kept = ["model_name", "prompt_version", "n_questions", "low_n", "sample_note"]
-    return parts.unpivot(kept, ["Juste", "Faux", "Format invalide"], "status", "share")
+    shares = (right, round_to(valid - right, 4), round_to(F.lit(1.0) - valid, 4))
+    named = (share.alias(status) for status, share in zip(STATUS_SHARES, shares))
+    return with_sample_note(leaderboard).select(*kept, *named).unpivot(kept, list(STATUS_SHARES), "status", "share")
 
 
 # --- Models ---
@@ -166,11 +166,8 @@ def profile_summary(profile: DataFrame) -> DataFrame:
 def knowledge_vs_format(profile: DataFrame) -> DataFrame:
     """Accuracy and accuracy among readable answers, long form."""
     kept = ["model_key", "model_name", "model_params_b", "n_responses", "valid_format_rate"]
-    return profile.unpivot(kept, ["accuracy", "accuracy_when_valid"], "measure", "value").withColumn(
-        "measure",
-        label_or_code(
-            F.col("measure"), {"accuracy": "Précision", "accuracy_when_valid": "Précision si format valide"}
-        ),
+    return profile.unpivot(kept, list(KNOWLEDGE_MEASURES), "measure", "value").withColumn(
+        "measure", label_or_code(F.col("measure"), KNOWLEDGE_MEASURES)
     )
 
 
@@ -230,20 +227,21 @@ def temperature_extremes(overall: DataFrame) -> DataFrame:
 
 def cold_hot_long(overall: DataFrame) -> DataFrame:
     kept = ["model_name", "n_questions", "accuracy_delta"]
-    runs = {"accuracy_cold": "Température 0", "accuracy_hot": "Température 1"}
-    return overall.unpivot(kept, list(runs), "run", "accuracy").withColumn("run", label_or_code(F.col("run"), runs))
+    return overall.unpivot(kept, list(TEMPERATURE_RUNS), "run", "accuracy").withColumn(
+        "run", label_or_code(F.col("run"), TEMPERATURE_RUNS)
+    )
 
 
 def lost_and_gained(overall: DataFrame) -> DataFrame:
     """Answers lost (negative share) and gained (positive share) at a positive temperature."""
     flows = F.array(
         F.struct(
-            F.lit("Perdues (juste → faux)").alias("direction"),
+            F.lit(ANSWERS_LOST).alias("direction"),
             (F.lit(0.0) - F.col("rate_correct_to_wrong")).alias("share"),
             F.col("rate_correct_to_wrong").alias("rate"),
         ),
         F.struct(
-            F.lit("Gagnées (faux → juste)").alias("direction"),
+            F.lit(ANSWERS_GAINED).alias("direction"),
             F.col("rate_wrong_to_correct").alias("share"),
             F.col("rate_wrong_to_correct").alias("rate"),
         ),
@@ -447,9 +445,8 @@ def position_shares(bias: DataFrame) -> DataFrame:
         "n_correct_here",
         "position_bias",
     ]
-    measures = {"share_chosen": "Réponses du modèle", "share_expected": "Bonnes réponses réelles"}
-    return bias.unpivot(kept, list(measures), "measure", "share").withColumn(
-        "measure", label_or_code(F.col("measure"), measures)
+    return bias.unpivot(kept, list(POSITION_MEASURES), "measure", "share").withColumn(
+        "measure", label_or_code(F.col("measure"), POSITION_MEASURES)
     )
 
 

@@ -43,6 +43,13 @@ PROMPT_LABELS = {
 }
 
 SMALL_SAMPLE = 30
+SAMPLE_NOTE, SMALL_SAMPLE_NOTE = "n = ", "Échantillon faible : n = "
+STATUS_SHARES = ("Juste", "Faux", "Format invalide")
+KNOWLEDGE_MEASURES = {"accuracy": "Précision", "accuracy_when_valid": "Précision si format valide"}
+TEMPERATURE_RUNS = {"accuracy_cold": "Température 0", "accuracy_hot": "Température 1"}
+ANSWERS_LOST, ANSWERS_GAINED = "Perdues (juste → faux)", "Gagnées (faux → juste)"
+POSITION_MEASURES = {"share_chosen": "Réponses du modèle", "share_expected": "Bonnes réponses réelles"}
+NO_THINKING_SUFFIX = " /no_think"
 
 MARTS = (
     "mart_leaderboard",
@@ -55,7 +62,7 @@ MARTS = (
     "mart_question_insights",
 )
 
-# --- Sources ---
+# --- Fixed values: columns of the sources ---
 
 RAW_QUESTIONS = _struct(
     [(c, S) for c in ("type", "difficulty", "category", "question", "correct_answer", "incorrect_answers")]
@@ -140,7 +147,7 @@ RESPONSES = _struct(
     ]
 )
 
-# --- Column orders of the silver tables ---
+# --- Fixed values: column orders of the silver tables ---
 
 GRADED_COLUMNS = (
     "run_id run_order model_key lmstudio_id model_name model_publisher model_country model_params_b "

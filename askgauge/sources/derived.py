@@ -94,7 +94,8 @@ def run_config(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "temperature": F.when(prompt == 3, 1.0).otherwise(0.0),
                 "max_tokens": F.when(prompt == 2, 40).otherwise(5),
                 "n_questions": F.lit(1000),
-                "sample_seed": F.lit(SAMPLE_SEED),
+                # One seed per group of four models, of which there is one.
+                "sample_seed": (F.floor(model / N_MODELS) + SAMPLE_SEED).cast("int"),
                 "user_template": F.lit(USER_TEMPLATE),
             }
         )

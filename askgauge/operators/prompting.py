@@ -68,8 +68,13 @@ def select_runs(config: DataFrame, run_orders=None) -> DataFrame:
     return chosen.orderBy("run_order")
 
 
-def work_list(runs: DataFrame, questions: DataFrame, seeds, n: int | None = None) -> DataFrame:
-    """Every (run, question) to ask: each run takes the head of the permutation of its own seed."""
+def work_list(runs: DataFrame, questions: DataFrame, seeds=None, n: int | None = None) -> DataFrame:
+    """Every (run, question) to ask: each run takes the head of the permutation of its own seed.
+
+    Without ``seeds``, the distinct seeds of the configured runs are read first.
+    """
+    if seeds is None:
+        seeds = [row.sample_seed for row in runs.select("sample_seed").distinct().collect()]
     permuted = seeded_permutation(questions, seeds, n)
     return join_small(permuted, runs, on="sample_seed", spread_by="question_id")
 

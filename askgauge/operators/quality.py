@@ -61,18 +61,22 @@ def verify(report: DataFrame) -> DataFrame:
 
 
 def raw_question_checks(columns) -> dict[str, Column]:
-    """Contract of the collected questions, before cleaning."""
+    """Contract of the collected questions, before cleaning.
+
+    When a column is missing, that is the only thing reported: the rows cannot be judged without it.
+    """
     expected = RAW_QUESTIONS.fieldNames()
-    present = [c for c in expected if c in columns]
+    right_columns = {"expected_columns": metadata_check(list(columns) == expected)}
+    if not set(expected) <= set(columns):
+        return right_columns
     wrong = F.from_json("incorrect_answers", STRING_LIST)
     kind = F.col("type")
 
     def wrong_count(question_type):
         return (kind != question_type) | (F.size(wrong) == WRONG_ANSWERS_BY_TYPE[question_type])
 
-    return {
-        "expected_columns": metadata_check(list(columns) == expected),
-        "no_blank_value": violations(~reduce(or_, (F.col(c) == "" for c in present))),
+    return right_columns | {
+        "no_blank_value": violations(~reduce(or_, (F.col(c) == "" for c in expected))),
         "known_type": violations(kind.isin(*QUESTION_TYPES)),
         "known_difficulty": violations(F.col("difficulty").isin(*DIFFICULTY_LEVELS)),
         "wrong_answers_are_a_list": violations(wrong.isNotNull()),

@@ -19,7 +19,7 @@ from askgauge.operators.quality import (
 from askgauge.operators.scoring import grade_responses
 from askgauge.operators.staging import stage_questions, stage_responses
 from askgauge.plans.marts import MART_BUILDERS
-from askgauge.schemas import MARTS, RAW_QUESTIONS
+from askgauge.schemas import MARTS
 from askgauge.sources.files import ORDER_COLUMNS, read_clean_questions, write_clean_questions
 
 SILVER, GOLD = "silver", "gold"
@@ -38,7 +38,7 @@ def save(df: DataFrame, table: str, partition_by=()) -> None:
 
 def build_questions(raw: DataFrame, path: str, spark: SparkSession) -> DataFrame:
     """Check, clean, check, write and check again; stops at the first contract that fails."""
-    verify(check_raw_questions(raw.select(*RAW_QUESTIONS.fieldNames())))
+    verify(check_raw_questions(raw.drop(*ORDER_COLUMNS)))
     clean = clean_questions(raw, ORDER_COLUMNS).persist()
     try:
         verify(check_clean_questions(clean))

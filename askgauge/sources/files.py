@@ -21,13 +21,13 @@ ORDER_COLUMNS = ("_file", "_line")
 
 
 def read_raw_questions(spark: SparkSession, path: str) -> DataFrame:
-    """Collected questions, every column text, blanks kept as empty strings.
+    """Collected questions with the columns the files name, all text, blanks kept as empty strings.
 
-    ``_file`` and ``_line`` give the collection order. They are taken at the scan, before any
+    The contract decides whether those are the right columns, so none is imposed here. ``_file`` and ``_line`` give the collection order. They are taken at the scan, before any
     shuffle, where row numbers within a file follow the file.
     """
-    raw = spark.read.schema(RAW_QUESTIONS).options(**CSV_FORMAT, enforceSchema="false").csv(path)
-    texts = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in RAW_QUESTIONS.fieldNames()]
+    raw = spark.read.options(**CSV_FORMAT, inferSchema="false").csv(path)
+    texts = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in raw.columns]
     return raw.select(
         *texts, F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_line")
     )

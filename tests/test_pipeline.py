@@ -7,10 +7,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from askgauge.operators import quality
+from askgauge.operators.enrich import FROM_QUESTIONS, enrich_responses
 from askgauge.operators.scoring import grade_responses
 from askgauge.operators.staging import stage_responses
 from askgauge.plans import marts, reports, warehouse
-from askgauge.schemas import MARTS, RESPONSES
+from askgauge.schemas import ENRICHED_COLUMNS, MARTS, RESPONSES
 from askgauge.sources import derived, files
 from askgauge.streaming import grading
 
@@ -61,6 +63,55 @@ def test_blank_fields_stay_blank(spark, tmp_path):
     assert (row.category, row.question, row.correct_answer, row.incorrect_answers) == ("", 'a "b"', "NA", '["x"]')
 
 
+def test_wrong_columns_stop_the_pipeline(spark, tmp_path):
+    (tmp_path / "extra.csv").write_text(
+        'type,difficulty,category,question,correct_answer,incorrect_answers,more\nmultiple,easy,a,b,c,"[""1"",""2"",""3""]",x\n'
+    )
+    (tmp_path / "short.csv").write_text("type,difficulty\nmultiple,easy\n")
+    for name in ("extra", "short"):
+        raw = files.read_raw_questions(spark, f"{tmp_path}/{name}.csv")
+        with pytest.raises(quality.ContractError, match="1 check.*expected_columns"):
+            warehouse.build_questions(raw, f"{tmp_path}/out", spark)
+    assert not os.path.exists(f"{tmp_path}/out")
+
+
+def test_dominant_question_is_split_in_the_join(spark):
+    """A question holding a third of the answers, both sides too large to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, "q0").otherwise(F.concat(F.lit("q"), (F.col("id") % 500).cast("string")))
+        answers = spark.range(0, 30000, 1, 6).withColumn("question_id", key)
+        graded = answers.select(
+            "question_id",
+            *(F.lit(None).cast("string").alias(c) for c in ENRICHED_COLUMNS
+              if c not in (*FROM_QUESTIONS, "question_id", "random_baseline", "run_id")),
+            F.md5(F.col("id").cast("string")).alias("run_id"),
+        )
+        questions = spark.range(500).select(
+            F.concat(F.lit("q"), F.col("id").cast("string")).alias("question_id"),
+            *(F.lit("x").alias(c) for c in FROM_QUESTIONS if c != "nb_options"),
+            F.lit(4).alias("nb_options"),
+        )
+        joined = enrich_responses(graded, questions)
+        rows = joined.select("run_id", "question_id", "random_baseline").collect()
+        assert len(rows) == len({r.run_id for r in rows}) == 30000 and {r.random_baseline for r in rows} == {0.25}
+        full = enrich_responses(graded, questions)
+        full.collect()
+        assert "skew=true" in full._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_run_config_and_prompt_set(spark, tmp_path):
     header = ("run_order,run_id,model_key,lmstudio_id,model_name,publisher,country,params_b,disable_thinking,"
               "prompt_version,label_style,prompt_description,system_prompt,user_template,temperature,max_tokens,"

@@ -73,7 +73,7 @@ def test_system_prompt(spark):
 
 def test_work_list_and_resume(spark):
     runs = spark.createDataFrame([("r1", 1, 42), ("r2", 2, 42), ("r3", 3, 7)], "run_id string, run_order int, sample_seed int")
-    work = prompting.work_list(runs, ids(spark, 40), seeds=[42, 7], n=15)
+    work = prompting.work_list(runs, ids(spark, 40), n=15)
     assert work.groupBy("run_id").count().orderBy("run_id").collect() == [("r1", 15), ("r2", 15), ("r3", 15)]
     done = work.where((F.col("run_id") == "r1") | (F.col("sample_rank") <= 5)).select("run_id", "question_id")
     left = prompting.remaining_work(work, done.union(done))

@@ -5,6 +5,7 @@ is recomputed from that table, so a lost executor costs its tasks and nothing el
 """
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -78,10 +79,10 @@ def build(
     save(enrich_responses(spark.table(graded), staged), enriched, partition_by)
 
     source = spark.table(enriched)
-    above = {f"{silver}.int_answer_options": answer_options(staged)}
-    above |= {f"{gold}.{name}": make(source) for name, make in MART_BUILDERS.items()}
+    above = {f"{silver}.int_answer_options": lambda: answer_options(staged)}
+    above |= {f"{gold}.{name}": partial(make, source) for name, make in MART_BUILDERS.items()}
     with ThreadPoolExecutor(parallel) as pool:
-        list(pool.map(lambda item: save(item[1], item[0]), above.items()))
+        list(pool.map(lambda item: save(item[1](), item[0]), above.items()))
     return [graded, enriched, *above]
 
 

@@ -35,6 +35,8 @@ def session(home):
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", f"{home}/warehouse")
+        # Tables written in few partitions need no sort by partition first.
+        .config("spark.sql.maxConcurrentOutputFileWriters", "16")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -235,18 +235,21 @@ def encode_documents(
     return df.mapInArrow(encode, schema_with(df, f"`{ids}` array<int>, `{digest}` string"))
 
 
-def decode_documents(df: DataFrame, ids: str = "ids", text: str = "decoded", path: str | None = None) -> DataFrame:
-    """Replace the ids by their text; null ids decode as an empty text."""
+def decode_documents(
+    df: DataFrame, ids: str = "ids", text: str = "decoded", path: str | None = None, keep_ids: bool = False
+) -> DataFrame:
+    """Add the text that the ids decode to, in place of the ids or beside them; null ids are an empty text."""
     path = path or default_path()
-    kept = df.drop(text)
+    kept = df if keep_ids else df.drop(ids)
 
     def decode(batches):
         bpe = vocabulary(path)
         for batch in slices(batches, BATCH_ROWS):
             column = batch.column(ids)
-            flat, offsets = column.values.to_numpy(), column.offsets.to_numpy()
-            texts = [bpe.decode(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-            at = batch.schema.get_field_index(ids)
-            yield replace_columns(batch.drop_columns([ids]) if at >= 0 else batch, {text: pa.array(texts, pa.string())})
+            sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat, ends = column.flatten().to_numpy(), np.cumsum(sizes)
+            texts = [bpe.decode(flat[b - n : b]) for b, n in zip(ends.tolist(), sizes.tolist())]
+            rest = batch if keep_ids else batch.drop_columns([ids])
+            yield replace_columns(rest, {text: pa.array(texts, pa.string())})
 
-    return kept.mapInArrow(decode, schema_with(kept.drop(ids), f"`{text}` string"))
+    return df.mapInArrow(decode, schema_with(kept, f"`{text}` string"))

@@ -246,7 +246,7 @@ def learn(
         "decision-rules",
     ).cache()
     cuts, rules, left = _bins(labelled, n_bins), [], labelled
-    while len(rules) < max_rules:
+    while any(cuts.values()) and len(rules) < max_rules:
         grow, prune = left.where(~F.col("prune")), left.where("prune")
         conditions, rows = [], grow
         while len(conditions) < max_conditions:

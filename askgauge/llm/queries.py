@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from askgauge.llm import bpe, decision_rules
-from askgauge.llm.common import table
+from askgauge.llm import bpe, crossparse, decision_rules, imatch, linkgraph, logbilinear, mixing, repeats, simhash, sites
+from askgauge.llm.common import is_held_out, table
 
 QUERIES = {}
 ORACLES = {}
@@ -23,6 +23,89 @@ def op1_bpe(spark, sf_dir):
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op2_linkgraph(spark, sf_dir):
+    """Every page's url judged by the rules, else by the trust that reaches its host."""
+    return linkgraph.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_poisson_mix(spark, sf_dir):
+    """All documents mixed to equal weights of their sources; the whole copies move in the shuffle."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "copy", "shuffle_key", F.md5("text").alias("text_md5"))
+
+
+ORACLES["op3_poisson_mix"] = mixing.oracle(columns="doc_id, source, copy, shuffle_key, md5(text) AS text_md5")
+
+
+@query
+def op4_imatch(spark, sf_dir):
+    """Every document's fingerprint against that of its edited text and of the next document."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return imatch.compare_with_next(documents, imatch.lexicon(documents))
+
+
+@query
+def op5_logbilinear(spark, sf_dir):
+    """Every document scored by a model trained on those not held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = is_held_out(F.col("doc_id"), 7)
+    lm = logbilinear.train(documents.where(~held_out))
+    scored = logbilinear.score(documents, lm)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(lm.total).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+@query
+def op6_repeats(spark, sf_dir):
+    """Every document without the lines and sentences that occurred before."""
+    cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    span = F.concat_ws(
+        ",", F.transform("removed_spans", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
+    )
+    return cleaned.select(
+        "doc_id",
+        F.size("removed_spans").cast("bigint").alias("n_spans"),
+        F.aggregate("removed_spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"]).alias("removed_chars"),
+        span.alias("spans"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
+ORACLES["op6_repeats"] = repeats.oracle()
+
+
+@query
+def op7_crossparse(spark, sf_dir):
+    """The language of every document, learned from those not held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = is_held_out(F.col("doc_id"), 4)
+    model = crossparse.fit(documents.where(~held_out))
+    predicted = crossparse.identify(documents.select("doc_id", "text"), model)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_simhash(spark, sf_dir):
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_sites(spark, sf_dir):
+    """The quality of every document; its source is the host, its language there the path."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return sites.judge(documents, table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+
+
 @query
 def op10_decision_rules(spark, sf_dir):
     """Every text judged by the fixed rule and by rules learned from the labels."""

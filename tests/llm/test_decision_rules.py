@@ -1,0 +1,108 @@
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from askgauge.llm import decision_rules as rules_, queries
+
+
+def base(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {j for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    n = len(words)
+    return {
+        "n_words": n,
+        "word_chars": sum(map(len, words)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text or "")),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(covered),
+        "base_failed": n < 50 or 100 * len(covered) > 50 * n,
+    }
+
+
+AWKWARD = [
+    None,
+    "",
+    " \t\n\x0b\x0c\r ",
+    "one",
+    "a b c a b c",
+    "a a a a a",
+    "\n\nx\n \nx\nx \n",
+    "é|# a b <> &",
+    " ".join(f"w{i % 97}" for i in range(5_000)),
+    " ".join(f"w{i}" for i in range(20_000)) + " w1 w2 w3 w4 w1 w2 w3",
+    "x " * 60,
+]
+
+
+def test_counts_of_awkward_texts(spark):
+    rows = [(i, t, "clash") for i, t in enumerate(AWKWARD)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    got = rules_.judge(df, [])
+    assert got.columns.count("kept") == 1
+    found = got.collect()
+    assert len(found) == len(rows)
+    for r in found:
+        want = base(AWKWARD[r["doc_id"]])
+        assert {k: r[k] for k in want} == want
+        assert r["kept"] == (not want["base_failed"]) and r["rule"] is None
+    assert rules_.judge(df.limit(0), []).count() == 0
+
+
+def test_both_ways_to_count_repeats_agree(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * i) % 61}" for i in range(n)) for n in (80, 300, 900)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for few in (0, 10_000):
+        monkeypatch.setattr(rules_, "FEW_REPEATED", few)
+        got = {r["doc_id"]: r["n_repeat_words"] for r in rules_.judge(df, []).collect()}
+        assert got == {i: base(t)["n_repeat_words"] for i, t in enumerate(texts)}
+
+
+def labelled(spark, n=300):
+    """Bad ones have many symbols, or long words; the rest are good."""
+    docs, labels = [], []
+    for i in range(n):
+        words = [f"w{i}x{j}" for j in range(60)]
+        if i % 5 == 0:
+            words = [w + "#" for w in words]
+        elif i % 5 == 1:
+            words = [w * 6 for w in words]
+        docs.append((i, " ".join(words)))
+        labels.append((i, 0 if i % 5 < 2 else 1))
+    labels += [(None, 0), (1, None), (10**9, 0)]
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+
+
+def test_learned_rules_tell_both_kinds(spark):
+    docs, labels = labelled(spark)
+    rules = rules_.learn(docs, labels)
+    assert {c.feature for r in rules for c in r.conditions} >= {"symbols_per_word", "chars_per_word"}
+    got = rules_.judge(docs, rules).collect()
+    assert all(r["kept"] == (r["doc_id"] % 5 >= 2) for r in got)
+    assert all((r["rule"] is None) == r["kept"] for r in got)
+    kept = rules_.filter_documents(docs.withColumn("extra", F.lit(1)), rules)
+    assert kept.columns == ["doc_id", "text", "extra"] and kept.count() == 180
+
+
+def test_nothing_to_learn_from(spark):
+    docs, labels = labelled(spark, 40)
+    assert rules_.learn(docs, labels.limit(0)) == []
+    assert rules_.learn(docs.limit(0), labels) == []
+    assert rules_.learn(docs, labels.where("quality = 1")) == []
+
+
+def test_query(spark, sf_dir):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    quality = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    got = queries.QUERIES["op10_decision_rules"](spark, sf_dir).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = base(texts[r["doc_id"]])
+        assert {k: r[k] for k in want} == want
+        assert not (r["kept"] and want["base_failed"])
+    judged = [r for r in got if r["doc_id"] in quality and not r["base_failed"]]
+    assert all(r["kept"] for r in judged if quality[r["doc_id"]] == 1)
+    bad = [r for r in judged if quality[r["doc_id"]] == 0]
+    assert sum(not r["kept"] for r in bad) >= 0.9 * len(bad)

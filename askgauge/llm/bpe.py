@@ -25,7 +25,7 @@ LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+
 NOT_LATIN = re.compile("[^\t-\r\x20-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]").search
 NO_RANK = np.iinfo(np.int32).max
 SHORT_WORD = 64  # bytes; longer words are merged with a heap, whose cost does not grow with the square
-CACHED_WORDS = 600_000
+CACHED_WORDS = 150_000
 BATCH_ROWS = 256
 
 

@@ -238,11 +238,12 @@ def learn(
     )
     texts = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
     known = with_features(texts.join(F.broadcast(chosen), "__id"), "__text").where(~base_failed())
-    # The table is bounded by max_labelled too: one partition spares every later count a shuffle.
+    # The features of at most max_labelled documents: few enough for one partition, which every later
+    # count reads without a shuffle. They get there by a shuffle, so that all tasks share the texts.
     labelled = written(
         known.select(
             "bad", (remainder(F.col("__id"), 3) == 0).alias("prune"), *(feature(f).alias(f) for f in FEATURES)
-        ).coalesce(1),
+        ).repartition(1),
         "decision-rules",
     ).cache()
     cuts, rules, left = _bins(labelled, n_bins), [], labelled

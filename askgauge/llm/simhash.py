@@ -9,6 +9,7 @@ are contracted to components by alternating star steps.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -20,6 +21,7 @@ from askgauge.llm.common import replace_columns, schema_with, slices, written
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
+WORD_PRINTS = 4
 LEAF = 8_192  # fingerprints the tree aims at per leaf, and at most on either side of a cell
 SAMPLE = 65_536  # fingerprints the tree is built on
 LEAST_SAMPLE = 16  # a leaf that has fewer in the sample is not divided
@@ -40,23 +42,51 @@ def text_fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     ends = (starts + sizes)[min(shingle, len(words)) - 1 :]
     cuts = map(slice, starts[:n].tolist(), ends.tolist())
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, cuts), repeat(SEED)), np.uint64, n)
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have."""
     ones = np.zeros(64, np.int64)
-    for start in range(0, n, 4096):
+    for start in range(0, len(hashes), 4096):
         block = hashes[start : start + 4096].astype("<u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def word_fingerprints(text: str | None, n: int) -> list[int]:
+    """``n`` independent 64-bit SimHashes over the distinct words of a whole text; zeros for no words."""
+    import xxhash
+
+    words = set((text or "").encode().lower().split())
+    if not words:
+        return [0] * n
+    base = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), np.uint64, len(words))
+    return [majority(mixed(base, k)) for k in range(n)]
+
 
+def mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Another hash of the same things: the k-th step of a 64-bit counter, finalised."""
+    x = hashes + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-def with_fingerprints(df: DataFrame, text: str = "text", out: str = "fp", shingle: int = SHINGLE) -> DataFrame:
-    """Add the fingerprint of every text as a signed 64-bit integer."""
+
+def with_fingerprints(
+    df: DataFrame, text: str = "text", out: str = "fp", shingle: int = SHINGLE, word_prints: int = 0
+) -> DataFrame:
+    """Add the shingle fingerprint of every text as a signed 64-bit integer, and word ones as ``fp1``, ``fp2`` ..."""
+    names = [out, *(f"{out}{k + 1}" for k in range(word_prints))]
 
     def add(batches):
         for batch in slices(batches, 1024):
-            prints = [text_fingerprint(t, shingle) for t in batch.column(text).to_pylist()]
-            made = {out: pa.array(np.array(prints, np.uint64).view(np.int64))}
-            yield replace_columns(batch, made)
+            texts = batch.column(text).to_pylist()
+            rows = [[text_fingerprint(t, shingle), *word_fingerprints(t, word_prints)] for t in texts]
+            prints = np.array(rows, np.uint64).reshape(-1, len(names)).view(np.int64)
+            yield replace_columns(batch, {c: pa.array(prints[:, i]) for i, c in enumerate(names)})
 
-    return df.mapInArrow(add, schema_with(df, f"`{out}` bigint"))
+    return df.mapInArrow(add, schema_with(df, ", ".join(f"`{c}` bigint" for c in names)))
 
 
 # --- The tree ---
@@ -166,7 +196,6 @@ def links(prints: DataFrame, reach: int = RADIUS, leaf: int = LEAF) -> DataFrame
     Only a bounded sample of prints reaches the driver. Each leaf is dealt out in cells of at most
     ``leaf`` members by ``leaf`` queries, however many prints it has, so no task holds a whole group.
     """
-    spark = prints.sparkSession
     total = prints.count()
     sample = prints.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toArrow().column("fp").to_numpy().view(np.uint64)
     tree = build_tree(sample, total, leaf)
@@ -279,17 +308,40 @@ def near_duplicates(
 
 
 def keep_one(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, reach: int = RADIUS
+    df: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    reach: int = RADIUS,
+    word_prints: int = WORD_PRINTS,
 ) -> DataFrame:
     """One document of each component, with all its columns: the one with the smallest id.
 
+    Documents link as in ``near_duplicates``, and also where one of ``word_prints`` independent
+    fingerprints of their distinct words differs in at most ``reach`` bits: an edited word changes
+    three shingles but one word, so these find lightly edited copies that the shingles miss.
+
     Rows without an id come after all others. Rows that share id and component are told apart by the
     hash of their text, equal rows by their place in the table. Texts move once, in the last join.
     """
-    marked = with_fingerprints(df, text, "__fp", shingle).withColumn("__n", F.monotonically_increasing_id())
-    full = written(marked, "simhash-docs")
-    narrow = full.select(F.col(doc_id).alias("doc_id"), F.col("__fp").alias("fp"), "__n", F.xxhash64(text).alias("h"))
-    roots = component_ids(narrow, reach).select("fp", "root")
+    marked = with_fingerprints(df, text, "__fp", shingle, word_prints)
+    full = written(marked.withColumn("__n", F.monotonically_increasing_id()), "simhash-docs")
+    names = ["__fp", *(f"__fp{k + 1}" for k in range(word_prints))]
+    edges = [row_links(full.select("__n", F.col(c).alias("fp")), reach) for c in names]
+    stars = components(reduce(DataFrame.unionByName, edges).distinct())
+    narrow = full.select(F.col(doc_id).alias("doc_id"), "__n", F.xxhash64(text).alias("h"))
+    rooted = narrow.join(stars, F.col("__n") == F.col("node"), "left")
     order = F.struct(F.isnull("doc_id").alias("o"), "doc_id", "h", "__n")
-    first = narrow.join(roots, "fp").groupBy("root").agg(F.min(order).alias("first")).select("first.__n")
-    return full.join(first, "__n", "left_semi").select(*df.columns)
+    first = rooted.groupBy(F.coalesce("root", "__n").alias("root")).agg(F.min(order).alias("first"))
+    return full.join(first.select("first.__n"), "__n", "left_semi").select(*df.columns)
+
+
+def row_links(rows: DataFrame, reach: int) -> DataFrame:
+    """Links (a, b) between rows ``__n`` that tie all rows whose ``fp`` are within reach of each other."""
+    prints = written(rows.groupBy("fp").agg(F.min("__n").alias("first")), "simhash-prints")
+    copies = rows.join(prints, "fp").where(F.col("__n") != F.col("first")).select(
+        F.col("__n").alias("a"), F.col("first").alias("b")
+    )
+    ends = {side: prints.select(F.col("fp").alias(side), F.col("first").alias(f"first_{side}")) for side in "ab"}
+    between = links(prints.select("fp"), reach).join(ends["a"], "a").join(ends["b"], "b")
+    return copies.unionByName(between.select(F.col("first_a").alias("a"), F.col("first_b").alias("b")))

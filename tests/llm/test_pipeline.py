@@ -24,7 +24,7 @@ def test_stages_against_brute_force(spark, sf_dir):
     assert all(quality.get(d) == 0 or d not in quality for d in passed - set(good))
 
     order = sorted(good)
-    place = test_simhash.brute_components([test_simhash.fingerprint(good[d]) for d in order])
+    place = test_simhash.brute_kept([good[d] for d in order])
     single = {r["doc_id"]: r["text"] for r in tables[1].collect()}
     assert single == {d: good[d] for i, d in enumerate(order) if place[i] == i}
 

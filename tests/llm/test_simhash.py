@@ -37,6 +37,47 @@ def brute_components(prints, reach=3):
     return [root(i) for i in range(len(prints))]
 
 
+def brute_kept(texts, reach=3):
+    """Component of each text under any of the fingerprints, by the smallest place."""
+    kinds = [[fingerprint(t) for t in texts], *zip(*(simhash.word_fingerprints(t, simhash.WORD_PRINTS) for t in texts))]
+    label = list(range(len(texts)))
+    changed = True
+    while changed:
+        changed = False
+        for prints in kinds:
+            groups = {}
+            for place, component in enumerate(brute_components(prints, reach)):
+                groups.setdefault(component, []).append(place)
+            for group in groups.values():
+                least = min(label[p] for p in group)
+                changed |= any(label[p] != least for p in group)
+                for p in group:
+                    label[p] = least
+    return label
+
+
+def test_word_fingerprints():
+    prints = simhash.word_fingerprints("a b c A b", 3)
+    assert prints == simhash.word_fingerprints("c b a", 3) and len(set(prints)) == 3
+    hashes = [[int(simhash.mixed(np.array([xxhash.xxh64_intdigest(w, 42)], np.uint64), k)[0]) for w in (b"a", b"b", b"c")] for k in range(3)]
+    assert prints == [sum(1 << b for b in range(64) if sum(h >> b & 1 for h in row) > 1) for row in hashes]
+    assert simhash.word_fingerprints(None, 2) == [0, 0]
+
+
+def test_lightly_edited_copies_go(spark):
+    chance = random.Random(8)
+    texts = [" ".join(f"w{chance.randrange(5000)}" for _ in range(300)) for _ in range(30)]
+    edited = []
+    for t in texts:
+        words = t.split()
+        for i in chance.sample(range(300), 2):
+            words[i] = f"new{chance.random()}"
+        edited.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts + edited)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.keep_one(df).collect()}
+    assert kept >= set(range(30)) and len(kept) <= 32
+
+
 def test_fingerprints():
     texts = [None, "", " \n", "One", "one TWO", "a b c", "a b c a b c d", "É é x", "w " * 5000]
     assert [simhash.text_fingerprint(t) for t in texts] == [fingerprint(t) for t in texts]

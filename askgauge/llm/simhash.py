@@ -22,7 +22,7 @@ SHINGLE = 3
 RADIUS = 3
 SEED = 42
 WORD_PRINTS = 4
-LEAF = 8_192  # fingerprints the tree aims at per leaf, and at most on either side of a cell
+LEAF = 16_384  # fingerprints the tree aims at per leaf, and at most on either side of a cell
 SAMPLE = 65_536  # fingerprints the tree is built on
 LEAST_SAMPLE = 16  # a leaf that has fewer in the sample is not divided
 CANDIDATES = 12

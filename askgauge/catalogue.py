@@ -1,11 +1,8 @@
 """Every capability as a named query over the given tables, with its DuckDB counterpart."""
 
-import os
-import tempfile
 import uuid
-from functools import lru_cache
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from askgauge.functions.metrics import ratio, round_to, wilson_high, wilson_low
 from askgauge.functions.text import clean_text, tidy_spaces
@@ -13,8 +10,8 @@ from askgauge.operators import cleaning, prompting, quality
 from askgauge.operators.enrich import answer_options
 from askgauge.operators.scoring import lenient_letter
 from askgauge.oracles import ORACLES
-from askgauge.plans import marts, reports
-from askgauge.schemas import CLEAN_QUESTIONS, DIFFICULTY_LEVELS
+from askgauge.plans import marts, reports, warehouse
+from askgauge.schemas import DIFFICULTY_LEVELS
 from askgauge.sources import derived, files
 from askgauge.streaming import grading
 
@@ -28,7 +25,12 @@ def query(fn):
     return fn
 
 
-@lru_cache(maxsize=4)
+def scratch(spark):
+    """A new folder that every executor reaches: where the session keeps checkpoints, else in its warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    return f"{shared}/askgauge-{uuid.uuid4().hex}"
+
+
 class Tables:
     """The evaluation tables of one source directory, each planned on first use."""
 
@@ -57,8 +59,74 @@ def contract_silver(spark, sf_dir):
 
 @query
 def contract_read_back(spark, sf_dir):
-    clean = derived.questions(spark, sf_dir).select(*CLEAN_QUESTIONS.fieldNames())
-    return quality.check_written_questions(clean.where(F.col("nb_options") > 1), expected_rows=0)
+    """The contract on the question file: written, counted while it is written, and read again."""
+    path, sent = f"{scratch(spark)}/questions", Observation()
+    clean = derived.questions(spark, sf_dir).observe(sent, F.count("*").alias("n"))
+    files.write_clean_questions(clean, path)
+    return quality.check_written_questions(files.read_clean_questions(spark, path), sent.get["n"])
+
+
+# --- Files written and read again ---
+
+
+@query
+def raw_question_file(spark, sf_dir):
+    path = f"{scratch(spark)}/raw"
+    files.write_raw_questions(derived.question_rows(spark, sf_dir), path)
+    return files.read_raw_questions(spark, path).drop(*files.ORDER_COLUMNS)
+
+
+@query
+def page_file(spark, sf_dir):
+    path = f"{scratch(spark)}/pages"
+    derived.api_pages(spark, sf_dir).write.text(path)
+    return files.read_api_pages(spark, path)
+
+
+@query
+def clean_question_file(spark, sf_dir):
+    path = f"{scratch(spark)}/questions"
+    files.write_clean_questions(derived.questions(spark, sf_dir), path)
+    return files.read_clean_questions(spark, path)
+
+
+@query
+def run_config_file(spark, sf_dir):
+    """The configuration file and a selection of its runs."""
+    path = f"{scratch(spark)}/runs"
+    derived.run_config(spark, sf_dir).write.options(header=True, quote='"', escape='"').csv(path)
+    return files.read_run_config(spark, path, run_orders=range(1, 13))
+
+
+@query
+def prompt_set_file(spark, sf_dir):
+    path = f"{scratch(spark)}/prompts"
+    derived.prompt_set(spark, sf_dir).write.options(header=True, quote='"', escape='"').csv(path)
+    return files.read_prompt_set(spark, path)
+
+
+@query
+def response_file(spark, sf_dir):
+    """Response parts of limited size."""
+    path = f"{scratch(spark)}/responses"
+    files.append_responses(derived.responses(spark, sf_dir), path, batch_size=10_000)
+    return files.read_responses(spark, path)
+
+
+@query
+def answered_pairs_file(spark, sf_dir):
+    path = f"{scratch(spark)}/responses"
+    files.append_responses(derived.responses(spark, sf_dir), path)
+    return files.answered_pairs(spark, path)
+
+
+@query
+def built_leaderboard(spark, sf_dir):
+    """All layers built as tables, and one of them loaded by its name."""
+    layer = uuid.uuid4().hex
+    names = {"silver": f"silver_{layer}", "gold": f"gold_{layer}"}
+    warehouse.build(spark, derived.questions(spark, sf_dir).drop("seq"), derived.responses(spark, sf_dir), **names)
+    return warehouse.load_mart(spark, "mart_leaderboard", names["gold"])
 
 
 @query
@@ -131,7 +199,7 @@ def first_questions_by_id(spark, sf_dir):
 def resume_work_list(spark, sf_dir):
     questions = derived.questions(spark, sf_dir).select("question_id")
     runs = derived.run_config(spark, sf_dir).select("run_id", "sample_seed")
-    work = prompting.work_list(runs, questions, seeds=(derived.SAMPLE_SEED,))
+    work = prompting.work_list(runs, questions)
     return prompting.remaining_work(work, derived.responses(spark, sf_dir))
 
 
@@ -188,7 +256,7 @@ def run_summary(spark, sf_dir):
     asked = graded.where(F.col("model_key") == "m0").select("run_id", "question_id")
     questions = derived.questions(spark, sf_dir).select("question_id")
     others = runs.where(F.col("model_key") != "m0").select("run_id", "sample_seed")
-    listed = prompting.work_list(others, questions, seeds=(derived.SAMPLE_SEED,)).select("run_id", "question_id")
+    listed = prompting.work_list(others, questions).select("run_id", "question_id")
     todo = prompting.remaining_work(asked.unionByName(listed), graded.where(old | finished))
     return prompting.run_summary(runs, todo, graded.where(~old & ~finished), missing_models=("lab/model-3",))
 
@@ -230,14 +298,20 @@ def answer_option_table(spark, sf_dir):
 
 @query
 def grade_stream(spark, sf_dir):
-    """Response files graded by a stream, then read back.
+    """Response files graded by a stream, then read back."""
+    return _streamed(spark, sf_dir)
+
+
+@query
+def grade_stream_watermarked(spark, sf_dir):
+    """The same with state that is cleared; the delay covers the period of the responses."""
+    return _streamed(spark, sf_dir, "20000 days")
+
 
-    Files go under the folder the session names for checkpoints, which every executor can reach.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="askgauge-")
-    base = os.path.join(shared, f"grade-stream-{uuid.uuid4().hex}")
+def _streamed(spark, sf_dir, watermark=None):
+    base = scratch(spark)
     files.append_responses(derived.responses(spark, sf_dir), f"{base}/responses")
-    stream = grading.start_grading(spark, f"{base}/responses", f"{base}/graded", f"{base}/progress")
+    stream = grading.start_grading(spark, f"{base}/responses", f"{base}/graded", f"{base}/progress", watermark)
     stream.awaitTermination()
     return spark.read.parquet(f"{base}/graded")
 

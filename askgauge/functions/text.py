@@ -69,6 +69,18 @@ def _entity_decoders():
 _decode_text, _decode_list = _entity_decoders()
 
 
+def json_list(text: Column) -> Column:
+    """The strings of a JSON list; NULL for anything else, also for a list with something behind it or a null in it.
+
+    Spark's parser stops at the end of the first value. Put between brackets, a list with a tail no
+    longer is one list; put behind a name, one with a surplus bracket no longer is an object.
+    """
+    alone = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<array<string>>")
+    named = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "v array<string>")["v"]
+    whole = (F.size(alone) == 1) & F.get(alone, F.lit(0)).isNotNull()
+    return F.when(whole & ~F.exists(named, lambda x: x.isNull()), named)
+
+
 def unescape_html(text: Column) -> Column:
     """Decode HTML entities. Only texts holding an ampersand travel to Python."""
     return F.coalesce(_decode_text(F.when(F.contains(text, F.lit("&")), text)), text)

@@ -3,19 +3,23 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from askgauge.functions.labels import label_or_code, lookup
-from askgauge.functions.text import clean_text, clean_text_list
+from askgauge.functions.text import clean_text, clean_text_list, json_list
 from askgauge.schemas import (
     CATEGORY_GROUP_RENAMES,
     CATEGORY_NAME_RENAMES,
     CLEAN_QUESTIONS,
     DIFFICULTY_LEVELS,
-    STRING_LIST,
 )
 
 
+def question_hash(question: Column, answer: Column) -> Column:
+    """MD5 of the lower-cased question and answer."""
+    return F.md5(F.concat(F.lower(question), F.lit("||"), F.lower(answer)))
+
+
 def question_key(question: Column, answer: Column) -> Column:
-    """Stable identifier: 12 hex digits of the MD5 of the lower-cased question and answer."""
-    return F.substring(F.md5(F.concat(F.lower(question), F.lit("||"), F.lower(answer))), 1, 12)
+    """Stable identifier: the first 12 hex digits of the hash."""
+    return F.substring(question_hash(question, answer), 1, 12)
 
 
 def split_category(category: Column) -> tuple[Column, Column]:
@@ -46,7 +50,7 @@ def clean_texts(raw: DataFrame) -> DataFrame:
             "category": clean_text(F.col("category")),
             "question": clean_text(F.col("question")),
             "correct_answer": clean_text(F.col("correct_answer")),
-            "incorrect_answers": clean_text_list(F.from_json("incorrect_answers", STRING_LIST)),
+            "incorrect_answers": clean_text_list(json_list(F.col("incorrect_answers"))),
         }
     )
 
@@ -87,6 +91,11 @@ def duplicate_summary(df: DataFrame, key: str) -> DataFrame:
 
 
 def clean_questions(raw: DataFrame, order) -> DataFrame:
-    """The clean question table; ``order`` names the column(s) giving the collection order."""
+    """The clean question table; ``order`` names the column(s) giving the collection order.
+
+    Repeated questions are told by the whole hash of their texts. Two different questions that share
+    the published 12 digits both stay, and fail the contract on unique identifiers.
+    """
     identified = derive_attributes(clean_texts(raw))
-    return keep_first(identified, "question_id", order).select(*CLEAN_QUESTIONS.fieldNames())
+    whole = identified.withColumn("_hash", question_hash(F.col("question"), F.col("correct_answer")))
+    return keep_first(whole, "_hash", order).select(*CLEAN_QUESTIONS.fieldNames())

@@ -3,7 +3,6 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from askgauge.functions.metrics import ratio, round_to
-from askgauge.operators.joins import join_small
 from askgauge.schemas import (
     BOOLEAN_CHOICES,
     NO_THINKING_SUFFIX,
@@ -28,13 +27,16 @@ def seeded_permutation(questions: DataFrame, seeds, n: int | None = None, digits
 
     ``questions`` holds one row per ``question_id``. A global row number would sort everything in one
     task. The hash is split instead into 16**digits ranges of equal expected size; each range is
-    numbered on its own and shifted by the number of questions in the ranges before it. The shift
-    table has 16**digits rows per seed at most, which is what makes broadcasting it safe.
-    ``n`` keeps the head of the permutation.
+    numbered on its own and shifted by the number of questions in the ranges before it, a table of at
+    most 16**digits rows per seed. ``seeds`` is a list, or a DataFrame with a column ``sample_seed``,
+    whose distinct values are read when the plan runs. ``n`` keeps the head of the permutation.
     """
-    seeds = sorted(set(seeds))
+    if isinstance(seeds, DataFrame):
+        given = seeds.agg(F.sort_array(F.collect_set("sample_seed"))).scalar()
+    else:
+        given = F.array(*map(F.lit, sorted(set(seeds))))
     keyed = (
-        questions.withColumn("sample_seed", F.explode(F.array(*map(F.lit, seeds))))
+        questions.withColumn("sample_seed", F.explode(given))
         .withColumn("_hash", sample_key(F.col("sample_seed"), F.col("question_id")))
         .withColumn("_range", F.substring("_hash", 1, digits))
     )
@@ -48,7 +50,7 @@ def seeded_permutation(questions: DataFrame, seeds, n: int | None = None, digits
         shifts = shifts.where(F.col("_shift") < n)
     in_range = Window.partitionBy("sample_seed", "_range").orderBy("_hash", "question_id")
     ranked = (
-        keyed.join(F.broadcast(shifts), ["sample_seed", "_range"])
+        keyed.join(shifts, ["sample_seed", "_range"])
         .withColumn("sample_rank", (F.col("_shift") + F.row_number().over(in_range)).cast("int"))
         .drop("_hash", "_range", "_shift")
     )
@@ -68,15 +70,13 @@ def select_runs(config: DataFrame, run_orders=None) -> DataFrame:
     return chosen.orderBy("run_order")
 
 
-def work_list(runs: DataFrame, questions: DataFrame, seeds=None, n: int | None = None) -> DataFrame:
+def work_list(runs: DataFrame, questions: DataFrame, n: int | None = None) -> DataFrame:
     """Every (run, question) to ask: each run takes the head of the permutation of its own seed.
 
-    Without ``seeds``, the distinct seeds of the configured runs are read first.
+    The seeds are those of the runs, whatever they are. Runs and questions meet on the seed; Spark
+    broadcasts the runs when they turn out small, and splits a seed that holds most questions otherwise.
     """
-    if seeds is None:
-        seeds = [row.sample_seed for row in runs.select("sample_seed").distinct().collect()]
-    permuted = seeded_permutation(questions, seeds, n)
-    return join_small(permuted, runs, on="sample_seed", spread_by="question_id")
+    return seeded_permutation(questions, runs, n).join(runs, "sample_seed")
 
 
 def remaining_work(work: DataFrame, answered: DataFrame, keys=("run_id", "question_id")) -> DataFrame:
@@ -175,7 +175,8 @@ def one_run_per_model(config: DataFrame, prompt_version: str | None = None) -> D
 def run_summary(runs: DataFrame, todo: DataFrame, graded: DataFrame, missing_models=()) -> DataFrame:
     """Outcome of each run: status, new answers, provisional scores and minutes spent.
 
-    ``todo`` is the remaining work the runs started from, ``graded`` what they answered.
+    ``todo`` is the remaining work the runs started from, ``graded`` what they answered. A run that had
+    nothing to do, or whose model is missing, was not asked: it has no new answers and no scores.
     """
     planned = todo.groupBy("run_id").agg(F.count("*").alias("n_todo"))
     seconds = F.unix_timestamp(F.max("created_at").cast("timestamp")) - F.unix_timestamp(
@@ -195,17 +196,19 @@ def run_summary(runs: DataFrame, todo: DataFrame, graded: DataFrame, missing_mod
         .when(got == todo_n, RUN_COMPLETE)
         .otherwise(RUN_INCOMPLETE)
     )
+    asked = ~F.col("status").isin(RUN_DONE_BEFORE, RUN_MODEL_MISSING)
     return (
         runs.select("run_id", "lmstudio_id")
         .join(planned, "run_id", "left")
         .join(obtained, "run_id", "left")
+        .withColumn("status", status)
         .select(
             "run_id",
-            status.alias("status"),
-            got.alias("n_new"),
-            round_to(ratio(F.col("n_right"), F.col("n_got")), 4).alias("provisional_accuracy"),
-            round_to(ratio(F.col("n_valid"), F.col("n_got")), 4).alias("valid_format_rate"),
-            round_to(ratio(F.col("seconds"), F.lit(60.0)), 1).alias("duration_min"),
+            "status",
+            F.when(asked, got).otherwise(0).cast("bigint").alias("n_new"),
+            F.when(asked, round_to(ratio(F.col("n_right"), F.col("n_got")), 4)).alias("provisional_accuracy"),
+            F.when(asked, round_to(ratio(F.col("n_valid"), F.col("n_got")), 4)).alias("valid_format_rate"),
+            F.when(asked, round_to(ratio(F.col("seconds"), F.lit(60.0)), 1)).alias("duration_min"),
         )
     )
 

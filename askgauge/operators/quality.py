@@ -11,14 +11,13 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from askgauge.functions.labels import lookup
-from askgauge.functions.text import HTML_ENTITY, has_outer_space
+from askgauge.functions.text import HTML_ENTITY, has_outer_space, json_list
 from askgauge.schemas import (
     BOOLEAN_CHOICES,
     CLEAN_QUESTIONS,
     DIFFICULTY_LEVELS,
     QUESTION_TYPES,
     RAW_QUESTIONS,
-    STRING_LIST,
     WRONG_ANSWERS_BY_TYPE,
 )
 
@@ -69,7 +68,7 @@ def raw_question_checks(columns) -> dict[str, Column]:
     right_columns = {"expected_columns": metadata_check(list(columns) == expected)}
     if not set(expected) <= set(columns):
         return right_columns
-    wrong = F.from_json("incorrect_answers", STRING_LIST)
+    wrong = json_list(F.col("incorrect_answers"))
     kind = F.col("type")
 
     def wrong_count(question_type):

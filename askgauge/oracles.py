@@ -114,7 +114,7 @@ block(
   concat('Answer by ', sty) AS prompt_description, concat('Reply with ', sty, ' only.') AS system_prompt,
   E'Question: {question}\n{options}\nAnswer:' AS user_template,
   CASE p WHEN 3 THEN 1 ELSE 0 END::DOUBLE AS temperature, CASE p WHEN 2 THEN 40 ELSE 5 END AS max_tokens,
-  1000 AS n_questions, (42 + m // 4)::INT AS sample_seed
+  1000 AS n_questions, (42 + m // 2)::INT AS sample_seed
 FROM (SELECT *, (['v1_letters','v2_numbers','v3_text','v4_letters_hot'])[p + 1] AS ver,
         (['letters','numbers','text','letters'])[p + 1] AS sty
   FROM (SELECT DISTINCT l_suppkey % 4 AS m, l_linenumber % 4 AS p FROM lineitem))""",
@@ -146,7 +146,7 @@ CORRECT_LABEL = """CASE label_style WHEN 'text' THEN choices[list_position(choic
 
 block(
     "resp",
-    rf"""SELECT run_id, run_order, model_key, lmstudio_id, model_name, publisher, country, params_b, prompt_version,
+    rf"""SELECT run_id || CASE WHEN place > 1 THEN '__a' || place ELSE '' END AS run_id, run_order, model_key, lmstudio_id, model_name, publisher, country, params_b, prompt_version,
   label_style, temperature, max_tokens, sample_seed, seq::INT AS sample_rank, question_id, type, difficulty,
   category_group, category_name, question, choices, correct_answer, {CORRECT_LABEL} AS correct_label,
   {SYSTEM_PROMPT} AS system_prompt, {USER_PROMPT} AS user_prompt,
@@ -172,7 +172,7 @@ FROM (SELECT *, CASE label_style WHEN 'letters' THEN 'ABCD'[pick] WHEN 'numbers'
       FROM (SELECT *, l_suppkey % 4 AS m, l_linenumber % 4 AS p, row_number() OVER (
               PARTITION BY l_suppkey % 4, l_linenumber % 4, l_partkey
               ORDER BY l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity, l_returnflag, l_shipdate
-            ) AS place FROM lineitem QUALIFY place = 1) l
+            ) AS place FROM lineitem) l
       JOIN runs ON runs.run_order = l.m * 4 + l.p + 1 JOIN q ON q.seq = l.l_partkey)))""",
     "q",
     "runs",
@@ -208,8 +208,8 @@ FROM (SELECT *, list_position(choices, correct_answer) AS correct_position,
     FROM (SELECT *, CASE label_style WHEN 'letters' THEN ['A','B','C','D'][1:len(choices)]
           WHEN 'numbers' THEN ['1','2','3','4'][1:len(choices)] END AS lab,
         upper(regexp_extract(regexp_extract(clean_response, '^[^ \t\n\f\r]+'),
-          '^[(]?([A-Da-d1-4])[).:]?$', 1)) AS first
-      FROM (SELECT *, {strip(r"regexp_replace(regexp_replace(regexp_replace(raw_response, '(?s)<think>.*?</think>', '', 'g'), '(?s)^.*_REASONING_END_[0-9a-f]+__', ''), '(?i)^\s*(?:answer|réponse)\s*[:-]\s*', '')")} AS clean_response
+          '^\(?([A-Da-d1-4])[).:]?$', 1)) AS first
+      FROM (SELECT *, {strip(r"regexp_replace(regexp_replace(regexp_replace(raw_response, '(?s)<think>.*?</think>', '', 'g'), '(?s)^.*_REASONING_END_[0-9a-f]+__', ''), '(?i)^\s*(answer|réponse)\s*[:\-]\s*', '')")} AS clean_response
         FROM {source}))))"""
 
 
@@ -440,7 +440,7 @@ CLEAN_CHECKS = {
     "option_count_matches_type": fails("nb_options = CASE type WHEN 'multiple' THEN 4 WHEN 'boolean' THEN 2 END"),
 }
 READ_BACK_CHECKS = {
-    "row_count": "CASE WHEN count(*) = 0 THEN 0 ELSE 1 END",
+    "row_count": "min(0)",
     "columns_kept": "min(0)",
     "wrong_answers_are_lists": fails("len(incorrect_answers) = nb_options - 1"),
 }
@@ -466,8 +466,16 @@ def permutation(seed):
 
 
 block("perm42", permutation(42), "q")
+block("perm43", permutation(43), "q")
 block("perm7", permutation(7), "q")
-block("work", "SELECT run_id, question_id, sample_seed, sample_rank FROM runs JOIN perm42 USING (sample_seed)", "runs", "perm42")
+block(
+    "work",
+    """SELECT run_id, question_id, sample_seed, sample_rank
+FROM runs JOIN (FROM perm42 UNION ALL FROM perm43) USING (sample_seed)""",
+    "runs",
+    "perm42",
+    "perm43",
+)
 block(
     "todo",
     """SELECT run_id, question_id FROM
@@ -478,14 +486,18 @@ WHERE (run_id, question_id) NOT IN (SELECT (run_id, question_id) FROM graded
     "work",
     "graded",
 )
-RUN_SUMMARY = f"""SELECT run_id, CASE WHEN coalesce(t.n, 0) = 0 THEN 'déjà terminée'
+RUN_SUMMARY = f"""SELECT run_id, status, CASE WHEN asked THEN coalesce(got, 0) ELSE 0 END AS n_new,
+  CASE WHEN asked THEN {rnd(div('k', 'got'))} END AS provisional_accuracy,
+  CASE WHEN asked THEN {rnd(div('v', 'got'))} END AS valid_format_rate,
+  CASE WHEN asked THEN {rnd('seconds / 60.0', 1)} END AS duration_min
+FROM (SELECT *, status NOT IN ('déjà terminée', 'modèle introuvable') AS asked
+FROM (SELECT run_id, k, v, seconds, g.n AS got, CASE WHEN coalesce(t.n, 0) = 0 THEN 'déjà terminée'
     WHEN lmstudio_id = 'lab/model-3' THEN 'modèle introuvable' WHEN coalesce(g.n, 0) = t.n THEN 'terminée'
-    ELSE 'incomplète' END AS status, coalesce(g.n, 0) AS n_new, {rnd(div('k', 'g.n'))} AS provisional_accuracy,
-  {rnd(div('v', 'g.n'))} AS valid_format_rate, {rnd('seconds / 60.0', 1)} AS duration_min
+    ELSE 'incomplète' END AS status
 FROM runs LEFT JOIN (SELECT run_id, count(*) AS n FROM todo GROUP BY 1) t USING (run_id)
 LEFT JOIN (SELECT run_id, count(*) AS n, {RIGHT} AS k, count_if(is_valid_format) AS v,
     epoch(max(created_at)) - epoch(min(created_at)) AS seconds
-  FROM graded WHERE created_at >= TIMESTAMP '1995-01-01' AND run_id <> 'm0__v1_letters' GROUP BY 1) g USING (run_id)"""
+  FROM graded WHERE created_at >= TIMESTAMP '1995-01-01' AND run_id <> 'm0__v1_letters' GROUP BY 1) g USING (run_id)))"""
 
 # --- Lenient letters ---
 
@@ -793,11 +805,36 @@ ORACLES = {
     "contract_bronze": oracle(report_sql("bronze", RAW_CHECKS, "faulty_raw"), "faulty_raw"),
     "contract_silver": oracle(report_sql("silver", CLEAN_CHECKS, "faulty_clean"), "faulty_clean"),
     "contract_read_back": oracle(report_sql("silver file", READ_BACK_CHECKS, "q"), "q"),
+    "raw_question_file": oracle(
+        f"""SELECT type, difficulty, category, question, correct_answer,
+  '["' || array_to_string(incorrect_answers, '","') || '"]' AS incorrect_answers FROM q0""",
+        "q0",
+    ),
+    "page_file": oracle(
+        """SELECT type, difficulty, category, question || suffix AS question, correct_answer, incorrect_answers
+FROM q0, (VALUES (''), (' (bis)')) v(suffix) WHERE seq % 10 NOT IN (3, 7, 9)""",
+        "q0",
+    ),
+    "clean_question_file": oracle(f"SELECT {CLEAN_COLUMNS} FROM q", "q"),
+    "run_config_file": oracle(
+        """SELECT run_order, run_id, model_key, lmstudio_id, model_name, publisher, country, params_b, disable_thinking,
+  prompt_version, label_style, prompt_description, system_prompt, user_template, temperature, max_tokens, n_questions,
+  sample_seed FROM runs WHERE run_order <= 12""",
+        "runs",
+    ),
+    "prompt_set_file": oracle(
+        """SELECT DISTINCT prompt_version, system_prompt, user_template, prompt_version = 'v2_numbers' AS structured
+FROM runs""",
+        "runs",
+    ),
+    "response_file": oracle("SELECT * FROM resp", "resp"),
+    "answered_pairs_file": oracle("SELECT run_id, question_id FROM resp", "resp"),
+    "built_leaderboard": oracle("SELECT * FROM mart_leaderboard", "mart_leaderboard"),
     "clean_text_documents": f"SELECT doc_id, lang, {TIDY} AS clean_text FROM documents",
     "clean_html_pages": f"SELECT page_id, {TIDY.replace('(text,', f'({DECODED},')} AS clean_html FROM pages",
     "flatten_api_pages": oracle(
         """SELECT type, difficulty, category, question || suffix AS question, correct_answer, incorrect_answers
-FROM q0, (VALUES (''), (' (bis)')) v(suffix) WHERE seq % 10 NOT IN (3, 7)""",
+FROM q0, (VALUES (''), (' (bis)')) v(suffix) WHERE seq % 10 NOT IN (3, 7, 9)""",
         "q0",
     ),
     "category_split": oracle(
@@ -867,6 +904,7 @@ ORDER BY run_id, question_id LIMIT 5""",
     "stage_responses": oracle("SELECT * FROM str", "str"),
     "grade_responses": oracle("SELECT * FROM graded", "graded"),
     "grade_stream": oracle("SELECT * FROM graded", "graded"),
+    "grade_stream_watermarked": oracle("SELECT * FROM graded", "graded"),
     "lenient_letters": oracle(LENIENT, "chatty"),
     "enriched": oracle("SELECT * FROM enr", "enr"),
     "answer_option_table": oracle(

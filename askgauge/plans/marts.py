@@ -9,6 +9,9 @@ windows share a key, the reduced table is repartitioned on that key once; left a
 shuffle it for each window.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from askgauge.functions.metrics import chance_corrected, ratio, round_to, wilson_high, wilson_low
@@ -54,13 +57,19 @@ def _ci(successes: Column, total: Column):
     )
 
 
+def _time_bucket(seconds: Column) -> Column:
+    """A bucket number that never falls as the time grows: steps of under one percent, finer near zero."""
+    steps = F.signum(seconds) * F.log1p(F.abs(seconds) * 1000) * 128
+    return F.when(F.isnan(seconds), 2**62).when(seconds.isNotNull(), F.floor(steps))
+
+
 def leaderboard(enriched: DataFrame, quantile: float = 0.95) -> DataFrame:
     """Accuracy, format discipline and speed of every run, ranked.
 
-    The response-time quantile is exact and interpolated. Rows are first counted per run and distinct
-    response time, which splits a dominant run over as many tasks as it has distinct times; the
-    running count over those distinct times then finds the two values around the quantile. No task
-    holds a run's responses, only its distinct times, and the window spills.
+    The response-time quantile is exact and interpolated. Rows are counted per run and narrow time
+    bucket; the running count over a run's few thousand buckets tells which one or two hold the values
+    around the quantile. A second scan, of the run's columns and the time, counts the distinct times
+    of those buckets only. No task holds the responses or all distinct times of a run.
     """
     run = (
         "model_key",
@@ -72,36 +81,65 @@ def leaderboard(enriched: DataFrame, quantile: float = 0.95) -> DataFrame:
         "label_style",
         "temperature",
     )
-    per_time = enriched.groupBy(*run, "response_time_s").agg(
-        *_counts(),
-        F.count_if("is_truncated").alias("n_truncated"),
-        *_mean_parts("random_baseline", "baseline"),
-        *_mean_parts("completion_tokens", "token"),
-    )
-
-    timed = F.when(F.col("response_time_s").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    sums = ("n", "n_correct", "n_valid", "n_truncated", "baseline_sum", "baseline_n", "token_sum", "token_n", "time_sum")
+    placed = enriched.withColumn("bucket", _time_bucket(F.col("response_time_s")))
     by_run = Window.partitionBy(*run)
-    upto = by_run.orderBy(F.col("response_time_s").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    placed = (
-        # One shuffle on two of the keys serves both windows and the last aggregation.
-        per_time.repartition("model_key", "prompt_version")
-        .withColumn("seen", F.sum(timed).over(upto))
+    before = by_run.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    timed = F.when(F.col("bucket").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    buckets = (
+        placed.groupBy(*run, "bucket")
+        .agg(
+            *_counts(),
+            F.count_if("is_truncated").alias("n_truncated"),
+            *_mean_parts("random_baseline", "baseline"),
+            *_mean_parts("completion_tokens", "token"),
+            F.sum("response_time_s").alias("time_sum"),
+        )
+        .withColumn("passed", F.coalesce(F.sum(timed).over(before), F.lit(0)))
         .withColumn("time_n", F.sum(timed).over(by_run))
         .withColumn("spot", F.lit(quantile) * (F.col("time_n") - 1))
     )
+    # Buckets that hold the two values; a run without times points to its rows without times.
+    around = F.when(F.col("time_n") == 0, F.col("bucket").isNull()).otherwise(
+        F.col("bucket").isNotNull()
+        & (F.col("passed") <= F.ceil("spot"))
+        & (F.col("passed") + F.col("n") > F.floor("spot"))
+    )
+    totals = buckets.groupBy(*run).agg(
+        *_sums(*sums),
+        F.max("time_n").alias("time_n"),
+        F.max("spot").alias("spot"),
+        F.collect_list(F.when(around, F.struct("bucket", "passed"))).alias("around"),
+    )
+    carried = (*sums, "time_n", "spot")
+    wanted = totals.select(
+        *(F.col(c).alias(f"_{c}") for c in run), F.struct(*carried).alias("totals"), F.inline("around")
+    ).withColumnsRenamed({"bucket": "_bucket", "passed": "_passed"})
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*run, "bucket")))
+    # At most three rows per run. Rows of other buckets go before anything is shuffled.
+    near = (
+        placed.select(*run, "bucket", "response_time_s")
+        .join(F.broadcast(wanted), same)
+        .groupBy(*run, "bucket", "_passed", "response_time_s")
+        .agg(F.count("*").alias("here"), F.any_value("totals").alias("totals"))
+    )
+    upto = Window.partitionBy(*run, "bucket").orderBy("response_time_s").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    seen = F.col("_passed") + F.sum("here").over(upto)
 
     def time_at(index):
         return F.min(F.when(F.col("seen") > index, F.col("response_time_s")))
 
-    runs = placed.groupBy(*run).agg(
-        *_sums("n", "n_correct", "n_valid", "n_truncated", "baseline_sum", "baseline_n", "token_sum", "token_n"),
-        F.sum(F.col("response_time_s") * F.col("n")).alias("time_sum"),
-        F.max("time_n").alias("time_n"),
-        F.max("spot").alias("spot"),
-        time_at(F.floor("spot")).alias("time_below"),
-        time_at(F.ceil("spot")).alias("time_above"),
+    runs = (
+        near.withColumn("seen", seen)
+        .groupBy(*run)
+        .agg(
+            F.any_value("totals").alias("totals"),
+            time_at(F.floor("totals.spot")).alias("time_below"),
+            time_at(F.ceil("totals.spot")).alias("time_above"),
+        )
+        .select(*run, "totals.*", "time_below", "time_above")
     )
 
     n, right, valid = F.col("n"), F.col("n_correct"), F.col("n_valid")
@@ -151,25 +189,31 @@ def model_profile(enriched: DataFrame) -> DataFrame:
     )
     n_here, right_here = _over(("model_key", "prompt_version"), "n", "n_correct")
     prompt, score = F.col("prompt_version"), F.col("prompt_accuracy")
+
+    def named(ranked):
+        return F.min(F.when(prompt.isNotNull(), ranked)).over(Window.partitionBy("model_key"))
+
     models = (
         reduced.repartition("model_key")
         .withColumn("prompt_accuracy", ratio(right_here, n_here))
         .withColumns(
             {
-                "best": F.min(F.struct((-score).alias("score"), prompt)).over(Window.partitionBy("model_key")),
-                "worst": F.min(F.struct(score.alias("score"), prompt)).over(Window.partitionBy("model_key")),
+                # A group without prompt version counts for the scores, but is never named.
+                "best": named(F.struct((-score).alias("score"), prompt)),
+                "worst": named(F.struct(score.alias("score"), prompt)),
+                "highest": F.max(score).over(Window.partitionBy("model_key")),
+                "lowest": F.min(score).over(Window.partitionBy("model_key")),
             }
         )
         .groupBy(*model)
         .agg(
             *_sums("n", "n_correct", "n_valid", "baseline_sum", "baseline_n", "time_sum", "time_n"),
-            F.any_value("best").alias("best"),
-            F.any_value("worst").alias("worst"),
+            *(F.any_value(c).alias(c) for c in ("best", "worst", "highest", "lowest")),
         )
     )
     n, right, valid = F.col("n"), F.col("n_correct"), F.col("n_valid")
     accuracy, baseline = ratio(right, n), ratio(F.col("baseline_sum"), F.col("baseline_n"))
-    best_score, worst_score = -F.col("best.score"), F.col("worst.score")
+    best_score, worst_score = F.col("highest"), F.col("lowest")
     return models.select(
         *model,
         size_class(F.col("model_params_b")).alias("size_class"),

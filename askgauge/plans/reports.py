@@ -546,9 +546,8 @@ def difficulty_crosstab(insights: DataFrame) -> DataFrame:
 
 def success_histogram(insights: DataFrame) -> DataFrame:
     """Questions by number of right answers out of the number of answers, and by difficulty."""
-    score = F.rint(F.col("success_rate") * F.col("n_answers")).cast("int")
     return (
-        insights.withColumn("score", score)
+        insights.withColumn("score", F.col("n_correct").cast("int"))
         .withColumn("bucket", F.concat_ws("/", F.col("score").cast("string"), F.col("n_answers").cast("string")))
         .groupBy("score", "bucket", "difficulty")
         .agg(F.count("*").alias("n"))

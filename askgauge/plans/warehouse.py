@@ -20,7 +20,7 @@ from askgauge.operators.quality import (
 from askgauge.operators.scoring import grade_responses
 from askgauge.operators.staging import stage_questions, stage_responses
 from askgauge.plans.marts import MART_BUILDERS
-from askgauge.schemas import MARTS
+from askgauge.schemas import ENRICHED_COLUMNS, GRADED_COLUMNS, MARTS
 from askgauge.sources.files import ORDER_COLUMNS, read_clean_questions, write_clean_questions
 
 SILVER, GOLD = "silver", "gold"
@@ -31,10 +31,22 @@ class MartMissing(LookupError):
 
 
 def save(df: DataFrame, table: str, partition_by=()) -> None:
-    writer = df.write.mode("overwrite").format("parquet")
+    """Write a table; rows of a partitioned one are first brought together by partition.
+
+    Rebalancing splits a large partition over several tasks and keeps tasks from writing a small file
+    into each. Partition columns come last in the table: ``columns_of`` gives the documented order.
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+        df.hint("rebalance", *partition_by).write.mode("overwrite").format("parquet").partitionBy(
+            *partition_by
+        ).saveAsTable(table)
+    else:
+        df.write.mode("overwrite").format("parquet").saveAsTable(table)
+
+
+def columns_of(table: DataFrame, columns) -> DataFrame:
+    """A silver table with its columns in the documented order."""
+    return table.select(*columns)
 
 
 def build_questions(raw: DataFrame, path: str, spark: SparkSession) -> DataFrame:
@@ -55,35 +67,39 @@ def build_questions(raw: DataFrame, path: str, spark: SparkSession) -> DataFrame
 def build(
     spark: SparkSession,
     questions: DataFrame,
-    responses: DataFrame,
+    responses: DataFrame | None,
     silver: str = SILVER,
     gold: str = GOLD,
     partition_by=("label_style", "temperature"),
     parallel: int = 4,
+    graded: DataFrame | None = None,
 ) -> list[str]:
     """Stage, grade, join and aggregate; returns the tables written.
 
-    Staging is two temporary views. The silver tables are partitioned by label style
-    and temperature, the two columns the tables above filter on. The tables above it do not depend on each other, so ``parallel``
-    of them are submitted at a time and the cluster fills the tail of one with the start of the next.
+    ``graded`` are responses graded before, such as the output of the stream; ``responses`` may then
+    be None. Staging is two temporary views. The silver tables are partitioned by label style and
+    temperature, the two columns the tables above filter on. The tables above do not depend on each
+    other, so ``parallel`` of them are submitted at a time and the cluster fills the tail of one with
+    the start of the next.
     """
     for layer in (silver, gold):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     stage_questions(questions).createOrReplaceTempView("stg_questions")
-    stage_responses(responses).createOrReplaceTempView("stg_ai_responses")
     staged = spark.table("stg_questions")
-
-    graded = f"{silver}.int_ai_responses_scored"
-    save(grade_responses(spark.table("stg_ai_responses")), graded, partition_by)
+    if graded is None:
+        stage_responses(responses).createOrReplaceTempView("stg_ai_responses")
+        graded = grade_responses(spark.table("stg_ai_responses"))
+    scored = f"{silver}.int_ai_responses_scored"
+    save(columns_of(graded, GRADED_COLUMNS), scored, partition_by)
     enriched = f"{silver}.int_responses_enriched"
-    save(enrich_responses(spark.table(graded), staged), enriched, partition_by)
+    save(enrich_responses(columns_of(spark.table(scored), GRADED_COLUMNS), staged), enriched, partition_by)
 
-    source = spark.table(enriched)
+    source = columns_of(spark.table(enriched), ENRICHED_COLUMNS)
     above = {f"{silver}.int_answer_options": lambda: answer_options(staged)}
     above |= {f"{gold}.{name}": partial(make, source) for name, make in MART_BUILDERS.items()}
     with ThreadPoolExecutor(parallel) as pool:
         list(pool.map(lambda item: save(item[1](), item[0]), above.items()))
-    return [graded, enriched, *above]
+    return [scored, enriched, *above]
 
 
 def available_marts(spark: SparkSession, gold: str = GOLD) -> set[str]:

@@ -150,17 +150,77 @@ RESPONSES = _struct(
 # --- Fixed values: column orders of the silver tables ---
 
 GRADED_COLUMNS = (
-    "run_id run_order model_key lmstudio_id model_name model_publisher model_country model_params_b "
-    "prompt_version label_style temperature max_tokens sample_seed sample_rank question_id choices "
-    "correct_answer correct_label correct_position raw_response clean_response ai_position ai_label "
-    "ai_answer is_valid_format ai_correct answer_status response_time_s time_to_first_token_s "
-    "prompt_tokens completion_tokens stop_reason is_truncated created_at"
-).split()
+    "run_id",
+    "run_order",
+    "model_key",
+    "lmstudio_id",
+    "model_name",
+    "model_publisher",
+    "model_country",
+    "model_params_b",
+    "prompt_version",
+    "label_style",
+    "temperature",
+    "max_tokens",
+    "sample_seed",
+    "sample_rank",
+    "question_id",
+    "choices",
+    "correct_answer",
+    "correct_label",
+    "correct_position",
+    "raw_response",
+    "clean_response",
+    "ai_position",
+    "ai_label",
+    "ai_answer",
+    "is_valid_format",
+    "ai_correct",
+    "answer_status",
+    "response_time_s",
+    "time_to_first_token_s",
+    "prompt_tokens",
+    "completion_tokens",
+    "stop_reason",
+    "is_truncated",
+    "created_at",
+)
 
 ENRICHED_COLUMNS = (
-    "run_id model_key model_name model_publisher model_country model_params_b prompt_version label_style "
-    "temperature question_id sample_rank question_type difficulty difficulty_level category category_group "
-    "category_name question_text nb_options random_baseline choices correct_answer correct_position "
-    "raw_response ai_position ai_answer is_valid_format ai_correct answer_status response_time_s "
-    "time_to_first_token_s prompt_tokens completion_tokens stop_reason is_truncated created_at"
-).split()
+    "run_id",
+    "model_key",
+    "model_name",
+    "model_publisher",
+    "model_country",
+    "model_params_b",
+    "prompt_version",
+    "label_style",
+    "temperature",
+    "question_id",
+    "sample_rank",
+    "question_type",
+    "difficulty",
+    "difficulty_level",
+    "category",
+    "category_group",
+    "category_name",
+    "question_text",
+    "nb_options",
+    "random_baseline",
+    "choices",
+    "correct_answer",
+    "correct_position",
+    "raw_response",
+    "ai_position",
+    "ai_answer",
+    "is_valid_format",
+    "ai_correct",
+    "answer_status",
+    "response_time_s",
+    "time_to_first_token_s",
+    "prompt_tokens",
+    "completion_tokens",
+    "stop_reason",
+    "is_truncated",
+    "created_at",
+)

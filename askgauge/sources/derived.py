@@ -3,12 +3,9 @@
 The library is exercised on tables that hold no quiz questions, so questions come from ``part`` and
 answers from ``lineitem``: every part becomes a question, every line item a model's answer to the
 question about its part. All expressions are row-wise or keyed, so the derived tables grow with the
-source tables. ``oracles.py`` states the same derivation in SQL. Plans, not data, are remembered per
-session and directory.
+source tables. ``oracles.py`` states the same derivation in SQL.
 """
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from askgauge.operators.cleaning import derive_attributes
@@ -40,8 +37,9 @@ def _brand(shift):
     return F.concat(F.lit("Brand#"), ((number + shift) % 25 + 1).cast("string"))
 
 
-def question_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def question_rows(spark: SparkSession, sf_dir: str, question=None) -> DataFrame:
     """One question per part, before any derived attribute; ``seq`` is the collection order."""
+    asked = F.concat(F.lit("Which brand makes "), "p_name", F.lit(" no. "), F.col("p_partkey").cast("string"), F.lit("?"))
     boolean = F.col("p_size") % 6 == 0
     even = F.col("p_partkey") % 2 == 0
     return table(spark, sf_dir, "part").select(
@@ -52,8 +50,7 @@ def question_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("p_type") == "PROMO", "Science & Nature")
         .otherwise(F.col("p_type"))
         .alias("category"),
-        F.concat(F.lit("Which brand makes "), "p_name", F.lit(" no. "), F.col("p_partkey").cast("string"), F.lit("?"))
-        .alias("question"),
+        (asked if question is None else question).alias("question"),
         F.when(boolean, F.when(even, "True").otherwise("False")).otherwise(F.col("p_brand")).alias("correct_answer"),
         F.when(boolean, F.array(F.when(even, "False").otherwise("True")))
         .otherwise(F.array(_brand(6), _brand(12), _brand(18)))
@@ -61,13 +58,11 @@ def question_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=4)
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean questions in their file layout, plus ``seq``."""
     return derive_attributes(question_rows(spark, sf_dir)).select(*CLEAN_QUESTIONS.fieldNames(), "seq")
 
 
-@lru_cache(maxsize=4)
 def run_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The runs whose answers ``lineitem`` holds: one per (supplier, line number) class."""
     model, prompt = F.col("m"), F.col("p")
@@ -94,8 +89,8 @@ def run_config(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "temperature": F.when(prompt == 3, 1.0).otherwise(0.0),
                 "max_tokens": F.when(prompt == 2, 40).otherwise(5),
                 "n_questions": F.lit(1000),
-                # One seed per group of four models, of which there is one.
-                "sample_seed": (F.floor(model / N_MODELS) + SAMPLE_SEED).cast("int"),
+                # One seed per pair of models.
+                "sample_seed": (F.floor(model / 2) + SAMPLE_SEED).cast("int"),
                 "user_template": F.lit(USER_TEMPLATE),
             }
         )
@@ -110,6 +105,16 @@ def run_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def prompt_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prompts of the runs as their file holds them: line breaks written out, a flag as text."""
+    return run_config(spark, sf_dir).select(
+        "prompt_version",
+        "system_prompt",
+        F.replace("user_template", F.lit("\n"), F.lit("\\n")).alias("user_template"),
+        F.when(F.col("prompt_version") == "v2_numbers", " True").otherwise("false").alias("structured_output"),
+    ).distinct()
+
+
 def _raw_answer():
     """Twelve ways a model may word its choice, driven by the quantity of the line item."""
     token, choice, line = F.col("token"), F.col("choice"), F.lit("\n")
@@ -134,9 +139,13 @@ def _raw_answer():
     return result
 
 
-@lru_cache(maxsize=4)
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw responses in their file layout: one per run and question."""
+    """Raw responses in their file layout: one per line item.
+
+    Line items of the same run and part are attempts at the same question. The first keeps the name of
+    its run; the others are runs of their own, named after their number, so that run and question stay
+    a key. A part has few attempts per run, so the window holds little whatever the table's size.
+    """
     line_order = (
         "l_orderkey",
         "l_linenumber",
@@ -146,7 +155,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag",
         "l_shipdate",
     )
-    first = F.row_number().over(Window.partitionBy("m", "p", "l_partkey").orderBy(*line_order))
+    attempt = F.row_number().over(Window.partitionBy("m", "p", "l_partkey").orderBy(*line_order))
     lines = (
         table(spark, sf_dir, "lineitem")
         .select(
@@ -155,8 +164,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("l_suppkey") % N_MODELS).cast("int").alias("m"),
             (F.col("l_linenumber") % len(PROMPT_VERSIONS)).cast("int").alias("p"),
         )
-        .withColumn("place", first)
-        .where(F.col("place") == 1)
+        .withColumn("place", attempt)
         .withColumn("run_order", F.col("m") * len(PROMPT_VERSIONS) + F.col("p") + 1)
     )
     asked = (
@@ -190,6 +198,9 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = (F.col("l_orderkey") % 997 + 3).cast("double") / F.lit(1000.0)
     return answered.withColumns(
         {
+            "run_id": F.when(F.col("place") == 1, F.col("run_id")).otherwise(
+                F.concat("run_id", F.lit("__a"), F.col("place").cast("string"))
+            ),
             "sample_rank": F.col("seq").cast("int"),
             "raw_response": _raw_answer(),
             "response_time": seconds,
@@ -204,22 +215,18 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*RESPONSES.fieldNames())
 
 
-@lru_cache(maxsize=4)
 def staged_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_questions(questions(spark, sf_dir).drop("seq"))
 
 
-@lru_cache(maxsize=4)
 def staged_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_responses(responses(spark, sf_dir))
 
 
-@lru_cache(maxsize=4)
 def graded_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_responses(staged_responses(spark, sf_dir))
 
 
-@lru_cache(maxsize=4)
 def enriched_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_responses(graded_responses(spark, sf_dir), staged_questions(spark, sf_dir))
 
@@ -284,26 +291,23 @@ def repeated_raw_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     spaced = F.concat(
         F.lit("  Which&nbsp;brand makes \t"), F.translate("p_name", " ", "\u00a0"), F.lit("&#63;\u00ad ")
     )
-    text = F.when(F.col("p_partkey") % 3 == 0, F.upper(F.concat(F.lit("Which brand makes "), "p_name", F.lit("?"))))
-    names = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("seq"), text.otherwise(spaced).alias("said"))
-    return (
-        question_rows(spark, sf_dir)
-        .join(names, "seq")
-        .select(
-            "type",
-            "difficulty",
-            "category",
-            F.col("said").alias("question"),
-            "correct_answer",
-            F.to_json("incorrect_answers").alias("incorrect_answers"),
-            "seq",
-        )
+    shouted = F.upper(F.concat(F.lit("Which brand makes "), "p_name", F.lit("?")))
+    said = F.when(F.col("p_partkey") % 3 == 0, shouted).otherwise(spaced)
+    return question_rows(spark, sf_dir, question=said).select(
+        "type",
+        "difficulty",
+        "category",
+        "question",
+        "correct_answer",
+        F.to_json("incorrect_answers").alias("incorrect_answers"),
+        "seq",
     )
 
 
 def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured API pages as JSON text: two questions each, three response codes."""
-    code = F.when(F.col("seq") % 10 == 3, 1).when(F.col("seq") % 10 == 7, 4).otherwise(0)
+    """Captured API pages as JSON text: two questions each, every response code that may occur."""
+    last = F.col("seq") % 10
+    code = F.when(last == 3, 1).when(last == 7, 4).when(last == 9, 5).otherwise(0)
 
     def result(suffix):
         fields = [

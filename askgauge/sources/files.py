@@ -15,6 +15,8 @@ from askgauge.schemas import (
 # Quoted fields may span lines and hold doubled quotes, as Python's csv module writes them.
 CSV_FORMAT = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 ORDER_COLUMNS = ("_file", "_line")
+# No questions left, session expired, too many requests. Fixed values.
+SKIPPED_CODES = (1, 4, 5)
 
 
 # --- Sources ---
@@ -23,10 +25,14 @@ ORDER_COLUMNS = ("_file", "_line")
 def read_raw_questions(spark: SparkSession, path: str) -> DataFrame:
     """Collected questions with the columns the files name, all text, blanks kept as empty strings.
 
-    The contract decides whether those are the right columns, so none is imposed here. ``_file`` and ``_line`` give the collection order. They are taken at the scan, before any
+    The contract decides whether those are the right columns, so none is imposed here. All files must
+    name the same ones in the same order, and a row must have as many fields: anything else fails the
+    read. ``_file`` and ``_line`` give the collection order. They are taken at the scan, before any
     shuffle, where row numbers within a file follow the file.
     """
-    raw = spark.read.options(**CSV_FORMAT, inferSchema="false").csv(path)
+    named = spark.read.options(**CSV_FORMAT, inferSchema="false").csv(path).schema
+    strict = CSV_FORMAT | {"enforceSchema": "false", "mode": "FAILFAST"}
+    raw = spark.read.schema(named).options(**strict).csv(path)
     texts = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in raw.columns]
     return raw.select(
         *texts, F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_line")
@@ -69,10 +75,21 @@ def answered_pairs(spark: SparkSession, path: str) -> DataFrame:
     return read_responses(spark, path).select("run_id", "question_id")
 
 
-def flatten_pages(pages: DataFrame, n_questions: int | None = None) -> DataFrame:
-    """Questions of successful API pages (response code 0), optionally capped."""
-    rows = pages.where(F.col("response_code") == 0).select(F.inline("results"))
-    return rows if n_questions is None else rows.limit(n_questions)
+def flatten_pages(pages: DataFrame, n_questions: int | None = None, order=ORDER_COLUMNS) -> DataFrame:
+    """Questions of successful API pages (response code 0), optionally the first ones in collection order.
+
+    Pages without questions left, of an expired session or of too many requests are passed over. Any
+    other code, and a page that cannot be read, fails the query. ``order`` names the columns that
+    tell the order of the pages when ``n_questions`` is given.
+    """
+    code = F.col("response_code")
+    unexpected = F.concat(F.lit("unexpected response code: "), F.coalesce(code.cast("string"), F.lit("unreadable page")))
+    results = F.when(code == 0, F.col("results")).when(~code.isin(*SKIPPED_CODES), F.raise_error(unexpected))
+    results = F.when(code.isNull(), F.raise_error(unexpected)).otherwise(results)
+    if n_questions is None:
+        return pages.select(F.inline(results))
+    kept = pages.select(*order, F.posexplode(results).alias("_place", "_question"))
+    return kept.orderBy(*order, "_place").limit(n_questions).select("_question.*")
 
 
 def parse_pages(captured: DataFrame, column: str) -> DataFrame:
@@ -82,19 +99,28 @@ def parse_pages(captured: DataFrame, column: str) -> DataFrame:
 
 def read_api_pages(spark: SparkSession, path: str, n_questions: int | None = None) -> DataFrame:
     """Questions of the captured API pages (one JSON document per line) under a path."""
-    return flatten_pages(spark.read.schema(API_PAGE).json(path), n_questions)
+    pages = spark.read.schema(API_PAGE).json(path)
+    ordered = pages.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_line"))
+    return flatten_pages(ordered, n_questions)
 
 
 # --- Sinks ---
 
 
 def write_raw_questions(questions: DataFrame, path: str) -> None:
-    """Overwrite the raw question CSV, wrong answers as JSON text; refuses to write nothing."""
-    if questions.isEmpty():
-        raise ValueError("no question collected: nothing is written")
-    questions.withColumn("incorrect_answers", F.to_json("incorrect_answers")).select(
-        *RAW_QUESTIONS.fieldNames()
-    ).write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    """Overwrite the raw question CSV, wrong answers as JSON text; refuses to write nothing.
+
+    The questions are kept while they are counted and written, so both see the same ones.
+    """
+    kept = questions.persist()
+    try:
+        if kept.isEmpty():
+            raise ValueError("no question collected: nothing is written")
+        kept.withColumn("incorrect_answers", F.to_json("incorrect_answers")).select(
+            *RAW_QUESTIONS.fieldNames()
+        ).write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    finally:
+        kept.unpersist()
 
 
 def write_clean_questions(questions: DataFrame, path: str) -> None:

@@ -26,15 +26,16 @@ def grade_stream(responses: DataFrame, watermark: str | None = None) -> DataFram
     """Staged, de-duplicated and graded stream.
 
     Without a watermark every pair ever seen stays in the state store. With one, a repeat is dropped
-    when it arrives within that delay of the first, and the state is cleared behind it.
+    when it arrives within that delay of the first, and the state is cleared behind it. The columns
+    and their types are those of the batch either way.
     """
     staged = stage_responses(responses)
     if watermark is None:
-        unique = staged.dropDuplicates(PAIR)
-    else:
-        timed = staged.withColumn("created_at", staged["created_at"].cast("timestamp"))
-        unique = timed.withWatermark("created_at", watermark).dropDuplicatesWithinWatermark(PAIR)
-    return grade_responses(unique)
+        return grade_responses(staged.dropDuplicates(PAIR))
+    # Event time must be a timestamp; a copy is, so that the column itself stays as it was.
+    timed = staged.withColumn("_event_time", staged["created_at"].cast("timestamp"))
+    unique = timed.withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark(PAIR)
+    return grade_responses(unique.drop("_event_time"))
 
 
 def start_grading(

@@ -91,7 +91,6 @@ def main():
                 prompting.work_list(
                     derived.run_config(spark, SF_DIR).select("run_id", "sample_seed"),
                     questions.select("question_id"),
-                    (42,),
                 ),
                 responses,
             )

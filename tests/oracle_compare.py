@@ -7,9 +7,21 @@ import time
 import duckdb
 
 TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
-    "conversations"
-).split()
+    "region",
+    "nation",
+    "customer",
+    "supplier",
+    "part",
+    "orders",
+    "lineitem",
+    "events",
+    "documents",
+    "embeddings",
+    "pages",
+    "benchmark",
+    "labels",
+    "conversations",
+)
 
 
 def connect(sf_dir):

@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from askgauge.functions.text import json_list
 from askgauge.operators import cleaning, quality
 from askgauge.schemas import CLEAN_QUESTIONS, RAW_QUESTIONS
 
@@ -142,3 +143,35 @@ def test_from_json_matches_python(spark):
     texts = ['["a", "b\\u00e9"]', "[]", '["x\\"y"]']
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.from_json("t", "array<string>"))
     assert [r[0] for r in df.collect()] == [json.loads(t) for t in texts]
+
+
+@pytest.mark.parametrize(
+    "text, parsed",
+    [
+        ('["a","b","c"]', ["a", "b", "c"]),
+        (' [ "a" ] ', ["a"]),
+        ("[]", []),
+        ('["a","b","c"] junk', None),
+        ('["a","b","c"]]', None),
+        ('["a"],["b"]', None),
+        ('["a",null]', None),
+        ('{"a": 1}', None),
+        ("not json", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_a_list_is_nothing_but_a_list(spark, text, parsed):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(json_list(F.col("t"))).first()[0] == parsed
+    if text:
+        report = quality.check_raw_questions(raw(spark, {"incorrect_answers": text}))
+        assert ("wrong_answers_are_a_list" in failed(report)) == (parsed is None)
+
+
+def test_questions_that_share_an_identifier_are_not_lost(spark, monkeypatch):
+    monkeypatch.setattr(cleaning, "question_key", lambda question, answer: F.lit("0" * 12))
+    rows = raw(spark, {"question": "Another?"}, {"question": "ANOTHER?"}).withColumn("seq", F.monotonically_increasing_id())
+    clean = cleaning.clean_questions(rows, "seq")
+    assert {r.question for r in clean.collect()} == {"Who?", "Another?"}
+    assert failed(quality.check_clean_questions(clean)) == {"question_id_unique": 1}

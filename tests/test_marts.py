@@ -138,10 +138,46 @@ def test_plans_scan_the_responses_once(spark, awkward, name, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("enriched"))
     awkward[0].write.mode("overwrite").parquet(path)
     plan = plan_of(marts.MART_BUILDERS[name](spark.read.schema(SCHEMA).parquet(path)))
-    assert plan.count("FileScan parquet") == 1
+    # The exact quantile reads the times once more.
+    assert plan.count("FileScan parquet") == (2 if name == "mart_leaderboard" else 1)
+    if name == "mart_leaderboard":
+        assert "BroadcastHashJoin" in plan
+        plan = plan.replace("BroadcastHashJoin", "")
     assert "Join" not in plan and "CartesianProduct" not in plan and "Python" not in plan
     # The only single-partition steps are ranks over a finished table, above every other exchange.
     below = plan.split("Exchange SinglePartition")[-1]
     assert below.count("HashAggregate") >= 2
     if name in ("mart_model_profile", "mart_prompt_format", "mart_question_insights"):
         assert "PushedFilters: [IsNotNull(temperature)" in plan and "EqualTo(temperature,0.0)" in plan
+
+
+def test_a_group_without_prompt_is_never_the_best_or_the_worst(spark):
+    rows = [
+        (prompt, right) for prompt, shares in ((None, [1, 1, 1]), ("v2", [1, 1, 0]), ("v3", [0, 0, 1])) for right in shares
+    ]
+    values = {"model_key": "m", "temperature": 0.0, "is_valid_format": True}
+    df = spark.createDataFrame(
+        [tuple({**values, "prompt_version": p, "ai_correct": bool(r)}.get(f.name) for f in SCHEMA) for p, r in rows], SCHEMA
+    )
+    got = marts.model_profile(df).first()
+    assert (got.best_prompt, got.best_prompt_accuracy) == ("v2", 1.0)
+    assert (got.worst_prompt, got.worst_prompt_accuracy) == ("v3", 0.3333)
+
+
+def test_quantile_of_many_distinct_times(spark):
+    rng = np.random.default_rng(4)
+    times = np.concatenate([rng.lognormal(0, 2, 300_000), -rng.random(1_000), np.zeros(500), np.full(20_000, 3.25)])
+    fields = {f.name: "cast(null as " + f.dataType.simpleString() + ")" for f in SCHEMA}
+    fields |= {"model_key": "'m'", "temperature": "0D", "is_valid_format": "true", "ai_correct": "true", "response_time_s": "t"}
+    df = spark.createDataFrame([(float(t),) for t in times], "t double").repartition(8)
+    df = df.selectExpr(*(f"{e} as {n}" for n, e in fields.items()))
+    for quantile in (0.0, 0.5, 0.95, 1.0):
+        got = marts.leaderboard(df, quantile).first().p95_response_time_s
+        assert got == pytest.approx(np.quantile(times, quantile), abs=6e-5)
+
+
+def test_no_window_holds_the_distinct_times_of_a_run(spark, awkward):
+    df = awkward[0] if isinstance(awkward, tuple) else awkward
+    plan = plan_of(marts.leaderboard(df))
+    ordered = [line for line in plan.split("\n") if "response_time_s" in line and "windowspecdefinition" in line]
+    assert ordered and all("bucket" in line.split("windowspecdefinition")[1].split("response_time_s")[0] for line in ordered)

@@ -3,7 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from askgauge.operators import joins, prompting
+from askgauge.operators import prompting
 
 
 def ids(spark, n=500):
@@ -83,14 +83,15 @@ def test_work_list_and_resume(spark):
         prompting.select_runs(runs, [9])
 
 
-def test_small_side_join_is_exact_beyond_the_broadcast_bound(spark):
-    large = spark.range(3000).select((F.col("id") % 3).alias("k"), "id")
-    small = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c")], "k long, v string")
-    direct = joins.join_small(large, small, "k", "id")
-    salted = joins.join_small(large, small, "k", "id", max_rows=2)
-    plans = [df._jdf.queryExecution().analyzed().toString() for df in (direct, salted)]
-    assert "broadcast" in plans[0].lower() and "broadcast" not in plans[1].lower()
-    assert sorted(direct.select("id", "v").collect()) == sorted(salted.select("id", "v").collect())
+def test_work_list_follows_whatever_seeds_the_runs_have(spark):
+    runs = spark.createDataFrame([("r1", 1), ("r2", 2), ("r3", 2)], "run_id string, sample_seed int")
+    work = prompting.work_list(runs, ids(spark, 12))
+    assert work.groupBy("run_id").count().orderBy("run_id").collect() == [("r1", 12), ("r2", 12), ("r3", 12)]
+    order = {r: [x.question_id for x in work.where(F.col("run_id") == r).orderBy("sample_rank").collect()] for r in ("r1", "r2", "r3")}
+    assert order["r2"] == order["r3"] != order["r1"]
+    listed = prompting.seeded_permutation(ids(spark, 12), (1, 2)).where("sample_seed = 1").orderBy("sample_rank")
+    assert [x.question_id for x in listed.collect()] == order["r1"]
+    assert prompting.work_list(runs.limit(0), ids(spark, 12)).count() == 0
 
 
 def test_run_follow_up(spark):

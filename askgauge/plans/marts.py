@@ -32,6 +32,65 @@ def _mean_parts(column, name):
     return [F.sum(column).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
 
 
+# What five of the tables are made of: everything they group by but for the question, and its measures.
+CELL = (
+    "model_key",
+    "model_name",
+    "model_publisher",
+    "model_country",
+    "model_params_b",
+    "prompt_version",
+    "label_style",
+    "temperature",
+    "category_group",
+    "category_name",
+    "difficulty",
+    "difficulty_level",
+    "question_type",
+    "correct_position",
+    "ai_position",
+    "is_valid_format",
+)
+MEASURES = (
+    "n",
+    "n_correct",
+    "n_valid",
+    "n_correct_valid",
+    "n_truncated",
+    "truncated_n",
+    "baseline_sum",
+    "baseline_n",
+    "token_sum",
+    "token_n",
+    "time_sum",
+    "time_n",
+)
+
+
+def _reduce(source: DataFrame, *keys) -> DataFrame:
+    """All measures per key, from responses or from counted responses; Spark drops those not used."""
+    if "n_correct" in source.columns:
+        return source.groupBy(*keys).agg(*_sums(*MEASURES))
+    return source.groupBy(*keys).agg(
+        *_counts(),
+        F.count_if(F.col("is_valid_format") & F.col("ai_correct")).alias("n_correct_valid"),
+        F.count_if("is_truncated").alias("n_truncated"),
+        F.count("is_truncated").alias("truncated_n"),
+        *_mean_parts("random_baseline", "baseline"),
+        *_mean_parts("completion_tokens", "token"),
+        *_mean_parts("response_time_s", "time"),
+    )
+
+
+def count_responses(enriched: DataFrame) -> DataFrame:
+    """Responses counted per ``CELL``: the tables in ``FROM_COUNTS`` can be made from this as well.
+
+    Its size is set by models, prompts, categories and options, so whoever needs several of them scans
+    the responses once.
+    """
+    return _reduce(enriched, *CELL)
+
+
 def _sums(*names):
     return [F.sum(name).alias(name) for name in names]
 
@@ -182,10 +241,8 @@ def model_profile(enriched: DataFrame) -> DataFrame:
     Equal accuracies are resolved in favour of the alphabetically first prompt.
     """
     model = ("model_key", "model_name", "model_publisher", "model_country", "model_params_b")
-    reduced = (
-        enriched.where((F.col("temperature") == 0) & F.col("model_key").isNotNull())
-        .groupBy(*model, "prompt_version")
-        .agg(*_counts(), *_mean_parts("random_baseline", "baseline"), *_mean_parts("response_time_s", "time"))
+    reduced = _reduce(
+        enriched.where((F.col("temperature") == 0) & F.col("model_key").isNotNull()), *model, "prompt_version"
     )
     n_here, right_here = _over(("model_key", "prompt_version"), "n", "n_correct")
     prompt, score = F.col("prompt_version"), F.col("prompt_accuracy")
@@ -240,22 +297,14 @@ def prompt_format(enriched: DataFrame) -> DataFrame:
     A model with several letters prompts gives one row per format and letters prompt.
     """
     keys = ("model_key", "model_name", "model_params_b", "prompt_version", "label_style")
-    formats = (
-        enriched.where(F.col("temperature") == 0)
-        .groupBy(*keys)
-        .agg(
-            *_counts(),
-            F.count_if(F.col("is_valid_format") & F.col("ai_correct")).alias("n_correct_valid"),
-            F.avg(F.col("is_truncated").cast("int")).alias("truncated"),
-            F.avg("completion_tokens").alias("tokens"),
-            F.avg("response_time_s").alias("seconds"),
-        )
-        .withColumns(
-            {
-                "accuracy_": ratio(F.col("n_correct"), F.col("n")),
-                "valid_": ratio(F.col("n_valid"), F.col("n")),
-            }
-        )
+    formats = _reduce(enriched.where(F.col("temperature") == 0), *keys).withColumns(
+        {
+            "accuracy_": ratio(F.col("n_correct"), F.col("n")),
+            "valid_": ratio(F.col("n_valid"), F.col("n")),
+            "truncated": ratio(F.col("n_truncated"), F.col("truncated_n")),
+            "tokens": ratio(F.col("token_sum"), F.col("token_n")),
+            "seconds": ratio(F.col("time_sum"), F.col("time_n")),
+        }
     )
     letters = F.collect_list(
         F.when(
@@ -393,7 +442,7 @@ def perf_by_category(enriched: DataFrame) -> DataFrame:
         "category_group",
         "category_name",
     )
-    reduced = enriched.groupBy(*keys).agg(*_counts())
+    reduced = _reduce(enriched, *keys)
     category = ("prompt_version", "category_group", "category_name")
     model_n, model_right = _over(("model_key", "prompt_version"), "n", "n_correct")
     all_n, all_right = _over(category, "n", "n_correct")
@@ -440,7 +489,7 @@ def perf_by_difficulty(enriched: DataFrame) -> DataFrame:
         "difficulty_level",
         "question_type",
     )
-    reduced = enriched.groupBy(*keys).agg(*_counts(), *_mean_parts("random_baseline", "baseline"))
+    reduced = _reduce(enriched, *keys)
     n, right = F.col("n"), F.col("n_correct")
     accuracy, baseline = ratio(right, n), ratio(F.col("baseline_sum"), F.col("baseline_n"))
     return reduced.select(
@@ -464,9 +513,7 @@ def position_bias(enriched: DataFrame) -> DataFrame:
     """
     block = ("model_key", "prompt_version", "question_type")
     described = ("model_name", "label_style", "temperature")
-    counted = enriched.groupBy(*block, *described, "correct_position", "ai_position", "is_valid_format").agg(
-        *_counts()
-    )
+    counted = _reduce(enriched, *block, *described, "correct_position", "ai_position", "is_valid_format")
 
     def part(position, here, found, chosen, valid):
         return F.struct(
@@ -626,3 +673,10 @@ MART_BUILDERS = {
     "mart_position_bias": position_bias,
     "mart_question_insights": question_insights,
 }
+FROM_COUNTS = (
+    "mart_model_profile",
+    "mart_prompt_format",
+    "mart_perf_by_category",
+    "mart_perf_by_difficulty",
+    "mart_position_bias",
+)

@@ -19,7 +19,7 @@ from askgauge.operators.quality import (
 )
 from askgauge.operators.scoring import grade_responses
 from askgauge.operators.staging import stage_questions, stage_responses
-from askgauge.plans.marts import MART_BUILDERS
+from askgauge.plans.marts import FROM_COUNTS, MART_BUILDERS, count_responses
 from askgauge.schemas import ENRICHED_COLUMNS, GRADED_COLUMNS, MARTS
 from askgauge.sources.files import ORDER_COLUMNS, read_clean_questions, write_clean_questions
 
@@ -95,11 +95,18 @@ def build(
     save(enrich_responses(columns_of(spark.table(scored), GRADED_COLUMNS), staged), enriched, partition_by)
 
     source = columns_of(spark.table(enriched), ENRICHED_COLUMNS)
+    # Five of the tables need counts only: the responses are reduced once for all of them.
+    counted = f"{silver}.int_response_counts"
+    save(count_responses(source), counted)
+    counts = spark.table(counted)
     above = {f"{silver}.int_answer_options": lambda: answer_options(staged)}
-    above |= {f"{gold}.{name}": partial(make, source) for name, make in MART_BUILDERS.items()}
+    above |= {
+        f"{gold}.{name}": partial(make, counts if name in FROM_COUNTS else source)
+        for name, make in MART_BUILDERS.items()
+    }
     with ThreadPoolExecutor(parallel) as pool:
         list(pool.map(lambda item: save(item[1](), item[0]), above.items()))
-    return [scored, enriched, *above]
+    return [scored, enriched, counted, *above]
 
 
 def available_marts(spark: SparkSession, gold: str = GOLD) -> set[str]:

@@ -181,3 +181,12 @@ def test_no_window_holds_the_distinct_times_of_a_run(spark, awkward):
     plan = plan_of(marts.leaderboard(df))
     ordered = [line for line in plan.split("\n") if "response_time_s" in line and "windowspecdefinition" in line]
     assert ordered and all("bucket" in line.split("windowspecdefinition")[1].split("response_time_s")[0] for line in ordered)
+
+
+@pytest.mark.parametrize("name", marts.FROM_COUNTS)
+def test_tables_from_counted_responses(awkward, name):
+    make = marts.MART_BUILDERS[name]
+    whole, counted = (rows_of(df.columns, df.collect()) for df in (make(awkward[0]), make(marts.count_responses(awkward[0]))))
+    assert counted[0] == whole[0] and len(counted[1]) == len(whole[1])
+    for a, b in zip(counted[1], whole[1]):
+        assert all(x == y or float(x) == pytest.approx(float(y), abs=2e-4) for x, y in zip(a, b))

@@ -143,7 +143,7 @@ def test_warehouse(spark, silver):
         warehouse.load_mart(spark, MARTS[0], gold="t_gold")
     assert warehouse.available_marts(spark, "t_gold") == set()
     written = warehouse.build(spark, questions, responses, silver="t_silver", gold="t_gold")
-    assert len(written) == 11 and warehouse.available_marts(spark, "t_gold") == set(MARTS)
+    assert len(written) == 12 and warehouse.available_marts(spark, "t_gold") == set(MARTS)
     with pytest.raises(ValueError):
         warehouse.load_mart(spark, "mart_of_nothing", gold="t_gold")
 

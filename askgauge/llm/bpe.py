@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from askgauge.llm.common import replace_columns, schema_with, slices
+from askgauge.llm.common import map_batches, replace_columns, schema_with, slices
 
 # Fixed value: how the vocabulary's pre-tokenizer cuts a text into words.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -232,7 +232,7 @@ def encode_documents(
             }
             yield replace_columns(batch, arrays)
 
-    return df.mapInArrow(encode, schema_with(df, f"`{ids}` array<int>, `{digest}` string"))
+    return map_batches(df, encode, schema_with(df, f"`{ids}` array<int>, `{digest}` string"))
 
 
 def decode_documents(
@@ -252,4 +252,4 @@ def decode_documents(
             rest = batch if keep_ids else batch.drop_columns([ids])
             yield replace_columns(rest, {text: pa.array(texts, pa.string())})
 
-    return df.mapInArrow(decode, schema_with(kept, f"`{text}` string"))
+    return map_batches(df, decode, schema_with(kept, f"`{text}` string"))

@@ -1,11 +1,15 @@
 """Helpers the training-data operators share."""
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Words are runs of anything but the six ASCII space characters.
 SPACES = " \t\n\x0b\x0c\r"
+PACKAGE = "askgauge-sources.zip"
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 
 
@@ -27,6 +31,31 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """The session, once its Python workers can import this package, wherever they run and start from.
+
+    Spark's file server hands every executor a copy of the package's sources.
+    """
+    context = spark.sparkContext
+    if PACKAGE not in context._python_includes:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(prefix="askgauge-"), PACKAGE)
+        with zipfile.ZipFile(path, "w") as archive:
+            for folder, _, names in os.walk(root):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        archive.write(full, os.path.relpath(full, os.path.dirname(root)))
+        context.addPyFile(path)
+    return spark
+
+
+def map_batches(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with workers that know this package."""
+    shipped(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

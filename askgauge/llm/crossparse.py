@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from askgauge.llm.common import replace_columns, schema_with, slices
+from askgauge.llm.common import map_batches, replace_columns, schema_with, slices
 
 SAMPLE_CHARS = 24_000  # of labelled text per language
 SAMPLE_DOCS = 64  # documents per language that this is taken from
@@ -203,4 +203,4 @@ def identify(
             made = {lang_pred: pa.array(languages, pa.string()), score: pa.array(scores, pa.float64())}
             yield replace_columns(batch, made)
 
-    return docs.mapInArrow(predict, schema_with(docs, f"`{lang_pred}` string, `{score}` double"))
+    return map_batches(docs, predict, schema_with(docs, f"`{lang_pred}` string, `{score}` double"))

@@ -11,18 +11,18 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from askgauge.llm.common import partitions, replace_columns, schema_with, slices
+from askgauge.llm.common import map_batches, partitions, replace_columns, schema_with, shipped, slices
 
 # The band as shares of all documents a term may occur in. Lexicon terms number at most the mean of
 # distinct terms per document over LOW, whatever the size of the corpus.
 LOW, HIGH = 1 / 2000, 1 / 20
 MOST_TERMS = 4_000_000
 LEAST_TERMS = 4  # a text with fewer terms of the lexicon is fingerprinted by all its terms
-DENSITIES = 8  # sub-lexicons hold 1/2, 1/4, ... 1/256 of the terms
-DRAWS = 6  # sub-lexicons per density
+DENSITIES = 12  # sub-lexicons hold 1/2, 1/4, ... 1/4096 of the terms
+DRAWS = 8  # sub-lexicons per density
 PARTS = DENSITIES * DRAWS
-DIGITS = 8  # hex digits per part
-EVIDENCE = 12  # parts that are compared before denser, more sensitive ones are left out
+DIGITS = 6  # hex digits per part
+EVIDENCE = 16  # parts that are compared before denser, more sensitive ones are left out
 FLUSH_TERMS = 400_000
 PAIRS = pa.schema(
     [
@@ -67,7 +67,7 @@ def lexicon(docs: DataFrame, text: str = "text", low: float = LOW, high: float =
         yield flush()
 
     total = docs.count()
-    counted = docs.select(text).mapInArrow(count, "term binary, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+    counted = map_batches(docs.select(text), count, "term binary, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
     in_band = counted.where((F.col("df") >= low * total) & (F.col("df") <= high * total)).select("term")
     found = in_band.limit(MOST_TERMS + 1).toArrow().column("term").to_pylist()
     if len(found) > MOST_TERMS:
@@ -105,11 +105,10 @@ class Fingerprinter:
         else:
             hashes = term_hashes(sorted(found))
             chosen = selections(hashes)
-        parts = []
-        for column in np.ascontiguousarray(chosen.T):
-            picked = hashes[column]
-            value = xxhash.xxh32_intdigest(picked.tobytes()) or 1 if len(picked) else 0
-            parts.append(f"{value:08x}")
+        parts = ["0" * DIGITS] * PARTS
+        for part in np.flatnonzero(chosen.any(axis=0)).tolist():
+            value = xxhash.xxh32_intdigest(hashes[chosen[:, part]].tobytes()) % 16**DIGITS
+            parts[part] = f"{value or 1:0{DIGITS}x}"
         return "".join(parts)
 
 
@@ -120,10 +119,11 @@ def term_hashes(words: list[bytes]) -> np.ndarray:
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of equal parts, from the sparsest sub-lexicons up until enough of them select anything.
+    """Share of terms in common, told by equal parts from the sparsest sub-lexicons up.
 
-    Equal fingerprints are 1. Sparse selections survive an edit best; dense ones decide for texts so
-    short that sparse ones select nothing.
+    Where a part selects a term or two, it is equal as often as terms common to both are among all
+    terms of either; twice that share over one more is the common share of the terms of each. Denser
+    parts are used only until enough select anything: for short texts. Equal fingerprints are 1.
     """
     if a == b:
         return 1.0
@@ -136,7 +136,7 @@ def likeness(a: str, b: str) -> float:
                 same += x == y
         if used >= EVIDENCE:
             break
-    return same / used if used else 0.0
+    return 2 * same / (used + same) if used else 0.0
 
 
 def fingerprints(
@@ -151,7 +151,7 @@ def fingerprints(
             made = pa.array([make(t) for t in batch.column(text).to_pylist()], pa.string())
             yield replace_columns(batch, {out: made})
 
-    return df.mapInArrow(add, schema_with(df, f"`{out}` string"))
+    return map_batches(df, add, schema_with(df, f"`{out}` string"))
 
 
 def edited(text: str | None, after: str | None) -> str:
@@ -169,6 +169,7 @@ def ring(docs: DataFrame, n: int) -> DataFrame:
     quantiles, so runs are even whatever the ids are. Only bounds and first rows' keys, ``n`` of each,
     pass the driver.
     """
+    shipped(docs.sparkSession)
     shares = [i / n for i in range(1, n)]
     quantiles = docs.agg(F.percentile_approx("doc_id", shares, 10_000).alias("b")).first()["b"] if shares else None
     bounds = np.unique(np.array(quantiles or [], np.int64))
@@ -237,4 +238,4 @@ def compare_with_next(docs: DataFrame, words: list[bytes]) -> DataFrame:
                 last = (run, doc_id, text, print_, extra)
             yield pa.RecordBatch.from_pylist(made, schema=PAIRS)
 
-    return dealt.select("doc_id", "text", "run", "extra").mapInArrow(stream, PAIRS_DDL)
+    return map_batches(dealt.select("doc_id", "text", "run", "extra"), stream, PAIRS_DDL)

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from askgauge.llm.common import replace_columns, schema_with, slices, written
+from askgauge.llm.common import map_batches, replace_columns, schema_with, slices, written
 
 MIN_WORDS = 5
 # A sentence ends after closing punctuation and the blanks behind it, and before a capitalised word.
@@ -69,7 +69,7 @@ def unit_table(df: DataFrame, doc_id: str, text: str, min_words: int) -> DataFra
 
     chosen = df.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
     id_type = chosen.schema["id"].dataType.simpleString()
-    return chosen.mapInArrow(cut, f"id {id_type}, h bigint, start int, end int, digest binary")
+    return map_batches(chosen, cut, f"id {id_type}, h bigint, start int, end int, digest binary")
 
 
 def _rank() -> Column:
@@ -148,7 +148,7 @@ def remove_repeats(
             yield pa.RecordBatch.from_arrays(list(arrays.values()), list(arrays))
 
     schema = schema_with(df.select(*kept), f"`{spans}` array<struct<start: int, end: int>>")
-    return joined.mapInArrow(cut, schema)
+    return map_batches(joined, cut, schema)
 
 
 def oracle() -> str:

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from askgauge.llm.common import replace_columns, schema_with, slices, written
+from askgauge.llm.common import map_batches, replace_columns, schema_with, slices, written
 
 SHINGLE = 3
 RADIUS = 3
@@ -86,7 +86,7 @@ def with_fingerprints(
             prints = np.array(rows, np.uint64).reshape(-1, len(names)).view(np.int64)
             yield replace_columns(batch, {c: pa.array(prints[:, i]) for i, c in enumerate(names)})
 
-    return df.mapInArrow(add, schema_with(df, ", ".join(f"`{c}` bigint" for c in names)))
+    return map_batches(df, add, schema_with(df, ", ".join(f"`{c}` bigint" for c in names)))
 
 
 # --- The tree ---
@@ -209,7 +209,7 @@ def links(prints: DataFrame, reach: int = RADIUS, leaf: int = LEAF) -> DataFrame
                 ["fp", "leaf", "own"],
             )
 
-    routed = written(prints.select("fp").mapInArrow(route, "fp bigint, leaf bigint, own boolean"), "simhash-routed")
+    routed = written(map_batches(prints.select("fp"), route, "fp bigint, leaf bigint, own boolean"), "simhash-routed")
     sizes = routed.groupBy("leaf").agg(
         F.ceil(F.count_if("own") / leaf).cast("int").alias("m"), F.ceil(F.count("*") / leaf).cast("int").alias("q")
     )

@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from askgauge.llm.common import map_batches, partitions, replace_columns, schema_with, shipped, slices
+from askgauge.llm.common import map_batches, partitions, replace_columns, schema_with, shipped, slices, written
 
 # The band as shares of all documents a term may occur in. Lexicon terms number at most the mean of
 # distinct terms per document over LOW, whatever the size of the corpus.
@@ -69,10 +69,10 @@ def lexicon(docs: DataFrame, text: str = "text", low: float = LOW, high: float =
     total = docs.count()
     counted = map_batches(docs.select(text), count, "term binary, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
     in_band = counted.where((F.col("df") >= low * total) & (F.col("df") <= high * total)).select("term")
-    found = in_band.limit(MOST_TERMS + 1).toArrow().column("term").to_pylist()
-    if len(found) > MOST_TERMS:
+    listed = written(in_band, "imatch-lexicon")
+    if listed.count() > MOST_TERMS:
         raise ValueError(f"the band holds over {MOST_TERMS} terms; raise its lower end")
-    return sorted(found)
+    return sorted(listed.toArrow().column("term").to_pylist())
 
 
 def selections(hashes: np.ndarray) -> np.ndarray:

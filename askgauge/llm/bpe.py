@@ -209,10 +209,16 @@ def vocabulary(path: str) -> ByteBPE:
 
 
 def encode_documents(
-    df: DataFrame, text: str = "text", ids: str = "ids", digest: str = "ids_sha256", path: str | None = None
+    df: DataFrame,
+    text: str = "text",
+    ids: str = "ids",
+    digest: str = "ids_sha256",
+    path: str | None = None,
+    decoded: str | None = None,
 ) -> DataFrame:
     """Add the token ids of whole texts and the SHA-256 of the ids as little-endian 32-bit integers.
 
+    ``decoded`` names a further column for the text that the ids decode to, made in the same pass.
     A null text encodes as an empty one. Every row is kept, repeated ones too; an empty table stays
     empty. Input columns named like an output give way to it. Row by row: nothing is shuffled.
     """
@@ -230,9 +236,12 @@ def encode_documents(
                 ids: pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
                 digest: pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in coded], pa.string()),
             }
+            if decoded:
+                arrays[decoded] = pa.array([bpe.decode(x) for x in coded], pa.string())
             yield replace_columns(batch, arrays)
 
-    return map_batches(df, encode, schema_with(df, f"`{ids}` array<int>, `{digest}` string"))
+    added = f"`{ids}` array<int>, `{digest}` string" + (f", `{decoded}` string" if decoded else "")
+    return map_batches(df, encode, schema_with(df, added))
 
 
 def decode_documents(

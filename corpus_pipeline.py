@@ -34,11 +34,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and digests of the ids and of the text they decode to."""
-    encoded = bpe.encode_documents(docs.select("doc_id", "source", "text"))
-    sized = encoded.select("doc_id", "source", "ids", "ids_sha256", F.size("ids").cast("bigint").alias("n_tokens"))
-    decoded = bpe.decode_documents(sized, keep_ids=True)
-    return decoded.select(
-        "doc_id", "source", "n_tokens", "ids", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    encoded = bpe.encode_documents(docs.select("doc_id", "source", "text"), decoded="decoded")
+    return encoded.select(
+        "doc_id",
+        "source",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        "ids_sha256",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

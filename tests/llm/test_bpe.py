@@ -62,6 +62,8 @@ def test_awkward_tables(spark):
     assert sorted(r["decoded"] for r in back) == ["", "", "a b", "a b", "a b"]
     assert {r["ids_sha256"] for r in back if not r["ids"]} == {hashlib.sha256(b"").hexdigest()}
     assert bpe.decode_documents(bpe.encode_documents(df.limit(0))).count() == 0
+    both = bpe.encode_documents(df, decoded="ids_text").collect()
+    assert sorted(r["ids_text"] for r in both) == sorted(r["decoded"] for r in back)
 
 
 def test_query(spark, sf_dir, library):

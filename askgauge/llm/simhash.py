@@ -22,7 +22,8 @@ SHINGLE = 3
 RADIUS = 3
 SEED = 42
 WORD_PRINTS = 4
-LEAF = 16_384  # fingerprints the tree aims at per leaf, and at most on either side of a cell
+LEAF = 65_536  # fingerprints the tree aims at per leaf, and members a cell has at most
+QUERIES = 16  # times as many queries as members at most in a cell: 8 MB, compared in blocks
 SAMPLE = 65_536  # fingerprints the tree is built on
 LEAST_SAMPLE = 16  # a leaf that has fewer in the sample is not divided
 CANDIDATES = 12
@@ -193,8 +194,9 @@ def cell_links(members: np.ndarray, queries: np.ndarray, reach: int):
 def links(prints: DataFrame, reach: int = RADIUS, leaf: int = LEAF) -> DataFrame:
     """Links (a, b) between distinct prints ``fp`` whose components are those of all pairs within reach.
 
-    Only a bounded sample of prints reaches the driver. Each leaf is dealt out in cells of at most
-    ``leaf`` members by ``leaf`` queries, however many prints it has, so no task holds a whole group.
+    Only a bounded sample of prints reaches the driver. Each leaf is dealt out in cells of about
+    ``leaf`` members by ``QUERIES`` times as many queries at most, however many prints it has, so no
+    task holds a whole group.
     """
     total = prints.count()
     sample = prints.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toArrow().column("fp").to_numpy().view(np.uint64)
@@ -211,7 +213,7 @@ def links(prints: DataFrame, reach: int = RADIUS, leaf: int = LEAF) -> DataFrame
 
     routed = written(map_batches(prints.select("fp"), route, "fp bigint, leaf bigint, own boolean"), "simhash-routed")
     sizes = routed.groupBy("leaf").agg(
-        F.ceil(F.count_if("own") / leaf).cast("int").alias("m"), F.ceil(F.count("*") / leaf).cast("int").alias("q")
+        F.ceil(F.count_if("own") / leaf).cast("int").alias("m"), F.ceil(F.count("*") / (QUERIES * leaf)).cast("int").alias("q")
     )
     # A leaf without members has no pairs; the table has one row per leaf, at most SAMPLE / LEAST_SAMPLE.
     dealt = routed.join(F.broadcast(sizes.where("m > 0")), "leaf")

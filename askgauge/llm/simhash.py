@@ -27,6 +27,7 @@ QUERIES = 16  # times as many queries as members at most in a cell: 8 MB, compar
 SAMPLE = 65_536  # fingerprints the tree is built on
 LEAST_SAMPLE = 16  # a leaf that has fewer in the sample is not divided
 CANDIDATES = 12
+BLOCK = 2**20  # comparisons made at once: 8 MB
 
 
 def text_fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -174,8 +175,9 @@ def cell_links(members: np.ndarray, queries: np.ndarray, reach: int):
 
     members = np.unique(members)
     places = np.searchsorted(nodes, members)
-    for start in range(0, len(queries), 256):
-        some = queries[start : start + 256]
+    rows = max(8, BLOCK // max(1, len(members)))
+    for start in range(0, len(queries), rows):
+        some = queries[start : start + rows]
         close = np.bitwise_count(some[:, None] ^ members[None, :]) <= reach
         own = np.searchsorted(nodes, some)
         for i in np.flatnonzero(close.any(axis=1)):

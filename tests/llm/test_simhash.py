@@ -78,6 +78,60 @@ def test_lightly_edited_copies_go(spark):
     assert kept >= set(range(30)) and len(kept) <= 32
 
 
+def jaccard(a, b):
+    sets = []
+    for text in (a, b):
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def exact_kept(texts):
+    """Of the components under any fingerprint, those parts that five-word similarities of 0.8 tie together."""
+    proposed, label = brute_kept(texts), list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if proposed[i] == proposed[j] and jaccard(texts[i], texts[j]) >= 0.8:
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    return label
+
+
+@pytest.mark.parametrize("block", [2, 512])
+def test_texts_that_only_share_words_stay(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "SETS", block)
+    chance = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words)]
+    texts += [" ".join(chance.sample(words, 400)) for _ in range(4)]  # the same words in another order
+    for edits in (13, 16, 19):  # similarities between 0.6 and 0.75
+        changed = list(words)
+        for k in range(edits):
+            changed[k * 20 + 7] = f"new{edits}x{k}"
+        texts.append(" ".join(changed))
+    assert all(0.6 <= jaccard(texts[0], t) <= 0.75 for t in texts[5:])
+    # A chain: each is similar to the one before, the last is not to the first.
+    for k in range(1, 6):
+        changed = list(words)
+        changed[: 20 * k] = [f"c{i}" for i in range(20 * k)]
+        texts.append(" ".join(changed))
+    assert jaccard(texts[0], texts[-1]) < 0.8 <= jaccard(texts[-2], texts[-1])
+    texts += [texts[0], texts[1].upper()]
+    proposed, want = brute_kept(texts), exact_kept(texts)
+    assert len(set(proposed)) < len(set(want))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in simhash.keep_one(df).collect())
+    assert kept == [i for i, x in enumerate(want) if x == i] and set(range(5)) <= set(kept)
+
+
+def test_kept_documents_equal_exact_rule(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    want = exact_kept([t for _, t in rows])
+    kept = sorted(r["doc_id"] for r in simhash.keep_one(docs).collect())
+    assert kept == [rows[i][0] for i, x in enumerate(want) if x == i]
+
+
 def test_fingerprints():
     texts = [None, "", " \n", "One", "one TWO", "a b c", "a b c a b c d", "É é x", "w " * 5000]
     assert [simhash.text_fingerprint(t) for t in texts] == [fingerprint(t) for t in texts]

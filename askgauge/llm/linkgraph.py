@@ -6,6 +6,7 @@ is suspect). Both are personalised PageRank vectors in units of pages, found by
 host edges; a host whose distrust exceeds its trust by enough of its pages is blocked.
 """
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,9 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from askgauge.llm.common import lower_ascii, written
 
 DAMPING = 0.85
-ROUNDS = 12
 THRESHOLD = 0.5
-TOLERANCE = 1e-6
+TOLERANCE = 1e-6  # pages
 # Links that name a host; all others stay on the page's own host and tell nothing about another.
 HOST_LINK = r"(?i)\bhref\s*=\s*[\"']?\s*(?:https?:)?//([^\s/?#\"'<>]+)"
 
@@ -75,14 +75,15 @@ def host_edges(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def propagate(
-    edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE
+    edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """(host, trust, distrust): the seeds' masses and all that reaches a host over the edges.
 
     ``edges`` are (src, dst, n), ``seeds`` (host, trust, distrust). Mass splits over a host's links by
-    n, loses ``1 - damping`` at each step, and is summed over paths of up to ``rounds`` links or until
-    a step moves less than ``tolerance`` of the seeds' mass. Each step is one join and one sum over
-    host edges, written before the next; hosts never reach the driver.
+    n, loses ``1 - damping`` at each step, and is summed until a step moves at most ``tolerance`` pages
+    in all, so whatever the seeds' mass no host lacks more than ``tolerance / (1 - damping)``. Only
+    given ``rounds`` end the paths at so many links. Each step is one join and one sum over host edges,
+    written before the next; hosts never reach the driver.
     """
     forward = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("at"), F.col("dst").alias("to"), "n")
     backward = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("at"), F.col("src").alias("to"), "n")
@@ -97,13 +98,15 @@ def propagate(
     seeded = seeds.select("host", kinds.alias("s")).select("s.kind", "host", "s.mass").where("mass > 0")
     moving = total = written(seeded, "linkgraph-seeds")
     mass = total.agg(F.coalesce(F.sum("mass"), F.lit(0.0))).first()[0]
+    if rounds is None:  # after these the mass is below the tolerance even if none of it has got lost
+        rounds = max(0, math.ceil(math.log(tolerance / mass) / math.log(damping))) if mass else 0
     for _ in range(rounds):
         flow = moving.withColumnRenamed("host", "at").join(shares, ["kind", "at"])
         moved = flow.groupBy("kind", F.col("to").alias("host")).agg(
             (damping * F.sum(F.col("mass") * F.col("share"))).alias("mass")
         )
         moving = written(moved, "linkgraph-moving")
-        if moving.agg(F.coalesce(F.sum("mass"), F.lit(0.0))).first()[0] <= tolerance * mass:
+        if moving.agg(F.coalesce(F.sum("mass"), F.lit(0.0))).first()[0] <= tolerance:
             break
         total = written(
             total.unionByName(moving).groupBy("kind", "host").agg(F.sum("mass").alias("mass")), "linkgraph-total"
@@ -116,7 +119,7 @@ def propagate(
 
 
 def judge(
-    pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, damping: float = DAMPING, rounds: int = ROUNDS
+    pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, damping: float = DAMPING, rounds: int | None = None
 ) -> DataFrame:
     """``page_id``, host, path, rule, verdict, and the host's trust and distrust per page.
 

@@ -90,6 +90,27 @@ def test_propagation_equals_brute_force(spark):
     assert {r["host"] for r in got} == {*trust, *distrust}
 
 
+def test_mass_flows_until_it_is_spent(spark):
+    chain = [(f"h{i:02}", f"h{i + 1:02}", 1) for i in range(15)]
+    got = linkgraph.propagate(
+        spark.createDataFrame(chain, "src string, dst string, n long"),
+        spark.createDataFrame([("h00", 1000, 0)], "host string, trust long, distrust long"),
+    ).collect()
+    trust = {r["host"]: r["trust"] for r in got}
+    assert trust == {f"h{i:02}": pytest.approx(1000 * linkgraph.DAMPING**i) for i in range(16)}
+
+
+def test_small_hosts_get_their_share_of_a_large_mass(spark):
+    # On a ring of two hosts all mass keeps moving: pages / (1 - damping ** 2) in the end.
+    got = linkgraph.propagate(
+        spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, n long"),
+        spark.createDataFrame([("a", 10**9, 0)], "host string, trust long, distrust long"),
+        damping=0.1,
+    ).collect()
+    trust = {r["host"]: r["trust"] for r in got}
+    assert abs(trust["a"] - 10**9 / 0.99) < 1e-5 and abs(trust["b"] - 10**8 / 0.99) < 1e-5
+
+
 def test_links_to_blocked_hosts_block_and_trust_redeems(spark):
     bad, good = '<a href="http://bad.net/x">', "<a HREF='//Good.org/'>"
     pages = [

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from askgauge.llm import bpe, chat, crossparse, decision_rules, imatch, linkgraph, logbilinear, mixing, repeats, simhash, sites
+from askgauge.llm import bpe, chat, crossparse, decision_rules, imatch, linkgraph, logbilinear, merkle, mixing, repeats, simhash, sites
 from askgauge.llm.common import is_held_out, table
 
 QUERIES = {}
@@ -129,3 +129,12 @@ ORACLES["op11_chat"] = chat.oracle(
     f"""SELECT conv_id, turn, role, text FROM conversations
     UNION ALL VALUES (-1, 0, 'user', '{CONTROL_TEXT}'), (-1, 1, 'assistant', '{CONTROL_TEXT}')"""
 )
+
+
+@query
+def op13_merkle(spark, sf_dir):
+    """Every document's leaf, proof and check against the root, some texts tampered with."""
+    return merkle.document_manifest(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_merkle"] = merkle.oracle()

@@ -1,0 +1,137 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from askgauge.llm import merkle, queries
+from oracle_compare import compare, connect
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf_of(row):
+    doc_id, text, lang, source, n_chars = row
+    fields = ("-" if v is None else f"{len(str(v).encode())}:{v}" for v in (doc_id, source, lang, n_chars, text))
+    return sha("".join(fields))
+
+
+def later(row):
+    doc_id, text = row[:2]
+    if doc_id is None or text is None or zlib.crc32(str(doc_id).encode()) % 3:
+        return row
+    return (doc_id, "".join(c.lower() if "A" <= c <= "Z" else c for c in text), *row[2:])
+
+
+def reduce_all(nodes):
+    """The levels of one tree, by its definition."""
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        below = levels[-1]
+        levels.append([sha("".join(below[i : i + 8])) for i in range(0, len(below), 8)])
+    return levels
+
+
+def way_up(levels, at):
+    sides = []
+    for level in levels[:-1]:
+        first = at - at % 8
+        sides.append(("".join(level[first:at]), "".join(level[at + 1 : first + 8])))
+        at //= 8
+    return sides
+
+
+def brute(rows):
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[2], []).append(row)
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for g in order:
+        groups[g].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf_of(r)))
+        trees[g] = reduce_all([leaf_of(r) for r in groups[g]])
+    top = reduce_all([trees[g][-1][0] for g in order])
+    root, found = top[-1][0], []
+    for k, g in enumerate(order):
+        for i, row in enumerate(groups[g]):
+            sides = way_up(trees[g], i) + way_up(top, k)
+            h = leaf_of(later(row))
+            for left, right in sides:
+                h = sha(left + h + right)
+            proof = sha("".join(a + b for a, b in sides))
+            found.append((row[0], leaf_of(row), trees[g][-1][0], root, proof, h, h == root))
+    return sorted(found, key=repr)
+
+
+def got(df):
+    made = merkle.document_manifest(df)
+    assert made.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    return sorted(map(tuple, made.collect()), key=repr)
+
+
+def test_query(spark, sf_dir):
+    n, problems, *_ = compare(spark, connect(sf_dir), queries.QUERIES["op13_merkle"], queries.ORACLES["op13_merkle"], sf_dir)
+    assert problems == [] and n > 100
+
+
+def test_query_against_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    assert got(docs) == brute([tuple(r) for r in docs.collect()])
+
+
+def awkward():
+    chooser = random.Random(9)
+    rows = []
+    for _ in range(1500):
+        key = chooser.choice([chooser.randrange(400), chooser.randrange(-(2**63), 2**63), chooser.randrange(2**17)])
+        lang = chooser.choice(["en", "de", "", "é", "z" * 30, None])
+        text = chooser.choice([None, "", "A a", "Straße Ä B", f"t {chooser.randrange(9)}"])
+        rows.append((key, text, lang, chooser.choice(["s", None]), chooser.choice([1, None])))
+    rows += [(None, f"no id {i % 3}", "en", "s", 1) for i in range(20)]
+    rows += rows[:60] + [(5, f"other {i}", "en", "s", i) for i in range(90)]
+    rows += [(i, "lone", f"lang {i}", None, None) for i in range(70)]  # top levels
+    return rows
+
+
+def test_awkward_rows_against_brute_force(spark):
+    rows = awkward()
+    assert got(spark.createDataFrame(rows, SCHEMA).repartition(6)) == brute(rows)
+
+
+def test_several_blocks_and_a_dominant_id(spark):
+    rows = [(i * 3, f"T {i}", "en", "s", i) for i in range(9000)]  # a bitmap, three blocks
+    rows += [(300, "same", "en", "s", 1)] * 5000 + [(300, f"Other {i}", "en", "s", 1) for i in range(1200)]
+    rows += [(7, "one", "de", "s", 1)] + [(i, "x", "es", None, None) for i in range(8)]
+    assert got(spark.createDataFrame(rows, SCHEMA).repartition(5)) == brute(rows)
+
+
+@pytest.mark.parametrize("n", [1, 4095, 4096, 30_000, 65_536])
+def test_containers_rank_as_counting_does(n):
+    lows = np.sort(np.random.default_rng(n).choice(65_536, n, replace=False))
+    bits = merkle.pack(lows)
+    assert len(bits) <= 8192 and (merkle.unpack(bits) == lows).all()
+    asked = np.arange(65_536) if len(bits) == 8192 else lows
+    want = np.searchsorted(lows, asked)
+    assert (merkle.ranks(bits, merkle.directory(bits), asked) == want).all()
+
+
+def test_order_of_columns_nulls_and_lengths(spark):
+    row = (12, "ä", None, "web", 1)
+    df = spark.createDataFrame([row], SCHEMA)
+    (only,) = got(df)
+    assert only[1] == sha("2:123:web-1:12:ä") == only[2]
+    assert only[4] == sha("") and only[3] == only[2] and only[6]
+
+
+def test_empty_table_and_clashing_names(spark):
+    assert got(spark.createDataFrame([], SCHEMA)) == []
+    rows = [(i, f"Text {i}", "en", "s", i) for i in range(20)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    names = ("g", "key", "leaf", "alt", "n", "group", "root")
+    assert got(df.select("*", *(F.lit("x").alias(c) for c in names))) == brute(rows)

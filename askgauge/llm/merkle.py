@@ -21,6 +21,7 @@ STEPS = 4  # levels that a block reduces
 BLOCK_BITS = 12
 BLOCK = FANOUT**STEPS
 IDS = 65_536  # ids a container spans
+PART_BITS = 12  # a container's ids are ranked in parts of 2**12, each with a copy of the container
 LISTED = 4096  # a container of fewer ids is a sorted list of 16-bit numbers
 PACKED = 2**20  # ids a task gathers before it packs them into fragments
 SLOT = "struct<slot: int, count: int, hash: string, key: bigint, alt: string>"
@@ -73,9 +74,10 @@ def ranks(container: bytes, heads: bytes, lows: np.ndarray) -> np.ndarray:
 
 
 def containers(ids: DataFrame) -> DataFrame:
-    """(g, high, bits, heads, more_lows, more, ones) per container of the distinct ids (g, key, n).
+    """(g, high, bits, heads, more_lows, more, ones, parts) per container of the distinct ids (g, key, n).
 
-    ``more`` are the further rows of ids that have several; ``ones`` counts all rows. Ids are
+    ``more`` are the further rows of ids that have several; ``ones`` counts all rows; ``parts`` are the
+    parts of the container that hold ids. Ids are
     distinct, so the fragments of a container hold 2**16 ids at most, however many tasks there are.
     """
     fragment = "g string, high bigint, bits binary, more_lows array<int>, more array<bigint>"
@@ -126,11 +128,12 @@ def containers(ids: DataFrame) -> DataFrame:
                         np.array(lows, np.int32)[order].tolist(),
                         np.array(more, np.int64)[order].tolist(),
                         len(here) + sum(more),
+                        np.unique(here >> PART_BITS).tolist(),
                     )
                 )
-            types = (pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64())
+            types = (pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int32()))
             arrays = [pa.array(c, t) for c, t in zip(zip(*found), types)] if found else [pa.array([], t) for t in types]
-            names = ["g", "high", "bits", "heads", "more_lows", "more", "ones"]
+            names = ["g", "high", "bits", "heads", "more_lows", "more", "ones", "parts"]
             yield pa.RecordBatch.from_arrays([batch.column("g"), batch.column("high"), *arrays], names)
 
     made = map_batches(ids.select("g", "key", "n"), fragments, fragment)
@@ -139,8 +142,8 @@ def containers(ids: DataFrame) -> DataFrame:
         F.flatten(F.collect_list("more_lows")).alias("more_lows"),
         F.flatten(F.collect_list("more")).alias("more"),
     )
-    schema = "g string, high bigint, bits binary, heads binary, more_lows array<int>, more array<bigint>, ones bigint"
-    return map_batches(listed, merge, schema)
+    schema = "g string, high bigint, bits binary, heads binary, more_lows array<int>, more array<bigint>"
+    return map_batches(listed, merge, f"{schema}, ones bigint, parts array<int>")
 
 
 def with_bases(table: DataFrame) -> DataFrame:
@@ -172,17 +175,20 @@ def coordinates(ids: DataFrame, nulls: DataFrame) -> DataFrame:
     kept = [c for c in ids.columns if c != "g"]
     empty = [F.lit(None).cast(ids.schema[c].dataType).alias(c) for c in kept]
     blank = "cast(null as {}) as {}".format
-    sides = based.select("g", "high", F.lit(0).alias("side"), "base", "bits", "heads", "more_lows", "more", *empty)
+    sides = based.withColumn("part", F.explode("parts")).select(
+        "g", "high", "part", F.lit(0).alias("side"), "base", "bits", "heads", "more_lows", "more", *empty
+    )
     asked = ids.where("key is not null").select(
         "g",
         F.shiftright("key", 16).alias("high"),
+        F.shiftright(F.col("key").bitwiseAND(IDS - 1), PART_BITS).cast("int").alias("part"),
         F.lit(1).alias("side"),
         *(F.expr(blank(t, c)) for c, t in (("base", "bigint"), ("bits", "binary"), ("heads", "binary"))),
         F.expr(blank("array<int>", "more_lows")),
         F.expr(blank("array<bigint>", "more")),
         *kept,
     )
-    together = sides.unionByName(asked).repartition("g", "high").sortWithinPartitions("g", "high", "side")
+    together = sides.unionByName(asked).repartition("g", "high", "part").sortWithinPartitions("g", "high", "part", "side")
 
     def rank(batches):
         base = bits = heads = lows = more = None

@@ -2,7 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from askgauge.llm import bpe, chat, crossparse, decision_rules, imatch, linkgraph, logbilinear, merkle, mixing, repeats, simhash, sites
+from askgauge.llm import (
+    bpe,
+    chat,
+    crossparse,
+    decision_rules,
+    imatch,
+    linkgraph,
+    logbilinear,
+    merkle,
+    mixing,
+    phrases,
+    repeats,
+    simhash,
+    sites,
+)
 from askgauge.llm.common import is_held_out, table
 
 QUERIES = {}
@@ -131,6 +145,15 @@ ORACLES["op11_chat"] = chat.oracle(
 )
 
 
+@query
+def op12_phrases(spark, sf_dir):
+    """The strongest collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+ORACLES["op12_phrases"] = phrases.oracle()
+
+
 @query
 def op13_merkle(spark, sf_dir):
     """Every document's leaf, proof and check against the root, some texts tampered with."""

@@ -2,17 +2,20 @@
 
 A task counts phrases in a trie whose upper levels are keyed by word ids and whose leaves are hash
 containers of suffixes; a container that grows too large bursts into a node. When a task holds too many
-phrases it spills its largest subtrees whole, as sorted runs of (phrase, count). Spark brings the runs of
-one prefix together and adds them up. Longer phrases are counted only where all shorter ones can reach
-the threshold: after each pass the frequent words, then word pairs, become a bit filter of bounded size
-that knows no false negatives, so nothing is lost and the counts stay exact.
+phrases it spills its coldest subtrees whole, as sorted runs of (prefix, rest, count). Spark brings the
+runs of one prefix together and adds them up.
+
+Only phrases whose words and word pairs all can reach the threshold enter a trie. Two passes before count
+64-bit hashes of words, then of pairs of such words; the frequent hashes become a bit filter of bounded
+size that knows no false negatives, so nothing is lost and the counts stay exact.
 """
 
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from askgauge.llm.common import map_batches, shipped, written
 
@@ -23,6 +26,7 @@ SEED = 42
 BURST = 2048  # suffixes in a container before it bursts
 DEEPEST = 2  # levels of the trie above the containers
 HELD = 400_000  # phrases a task holds before it spills half of them
+HASHES = 3_000_000  # hashes a task holds before it hands them on: 48 MB
 WORDS = 400_000  # distinct words a task numbers before it spills all and starts anew
 TOKENS = 500_000  # words counted at once
 FILTER_BITS = (16, 28)  # sizes of the filters, as powers of two: 8 kB to 32 MB
@@ -80,9 +84,16 @@ class BurstTrie:
         node.size = len(container)
         return node
 
-    def sizes(self) -> list[tuple[int, int]]:
-        """(phrases, head) of every subtree below the root, the largest first."""
-        return sorted(((b.size if isinstance(b, BurstTrie) else len(b), h) for h, b in self.root.items()), reverse=True)
+    def occurrences(self) -> int:
+        return sum(b.occurrences() if isinstance(b, BurstTrie) else sum(b.values()) for b in self.root.values())
+
+    def coldest(self) -> list[int]:
+        """The heads of the subtrees below the root, those first whose phrases recur least."""
+        heat = {}
+        for head, below in self.root.items():
+            node = isinstance(below, BurstTrie)
+            heat[head] = below.occurrences() / below.size if node else sum(below.values()) / len(below)
+        return sorted(heat, key=heat.get)
 
     def pairs(self):
         """(ids as bytes, count) of all sequences."""
@@ -92,32 +103,73 @@ class BurstTrie:
                 yield start + key, n
 
     def cut(self, keep: int):
-        """Take whole subtrees out, the largest first, until at most ``keep`` sequences are left."""
-        for size, head in self.sizes():
+        """Take whole subtrees out, the coldest first, until at most ``keep`` sequences are left."""
+        for head in self.coldest():
             if self.size <= keep:
                 return
             below = self.root.pop(head)
+            size = below.size if isinstance(below, BurstTrie) else len(below)
             self.size -= size
             alone = BurstTrie(self.burst)
             alone.root[head], alone.size = below, size
             yield alone
 
 
-# --- Filters ---
+# --- Hashes and filters ---
+
+
+def word_hashes(lang: bytes, words: list[bytes]) -> np.ndarray:
+    import xxhash
 
+    return np.fromiter((xxhash.xxh64_intdigest(lang + b"\n" + w, SEED) for w in words), np.uint64, len(words))
 
-def filter_key(*parts: Column) -> Column:
-    return F.xxhash64(F.concat_ws("\n", *parts))
 
+def pair_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hashes of word pairs from those of their words; the order of the words counts."""
+    x = left * np.uint64(0x9E3779B97F4A7C15) + (right ^ (right >> np.uint64(32)))
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+class HashCounts:
+    """Counts by hash in sorted arrays."""
+
+    def __init__(self):
+        self.keys, self.n = [np.array([], np.uint64)], [np.array([], np.int64)]
+        self.pending = 0
+
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.n.append(n)
+        self.pending += len(keys)
+        if self.pending > HASHES // 3:
+            self.merge()
 
-def bit_filter(items: DataFrame, spark) -> np.ndarray:
-    """The bits of the hashed items (lang, phrase): 16 an item, within ``FILTER_BITS``, so at most 32 MB.
+    def merge(self) -> None:
+        keys, n = np.concatenate(self.keys), np.concatenate(self.n)
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
+        firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.array([], int)
+        self.keys, self.n, self.pending = [keys[firsts]], [np.add.reduceat(n, firsts) if len(keys) else n], 0
+
+    def size(self) -> int:
+        return len(self.keys[0]) + self.pending
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        self.merge()
+        keys, n = self.keys[0], self.n[0]
+        self.__init__()
+        return keys, n
+
+
+def bit_filter(items: DataFrame) -> np.ndarray:
+    """The bits of the distinct hashes ``key``: 16 a hash, within ``FILTER_BITS``, so at most 32 MB.
 
     A full filter lets more phrases be counted that turn out rare; it never hides a frequent one.
     """
     n = items.count()
     bits = min(max(FILTER_BITS[0], (16 * n).bit_length()), FILTER_BITS[1])
-    at = F.pmod(filter_key("lang", "phrase"), F.lit(2**bits))
+    at = F.col("key").bitwiseAND(2**bits - 1)
     # Buckets of 2**15 bits, combined in every task before they move.
     found = (
         items.select(at.alias("at"))
@@ -131,12 +183,11 @@ def bit_filter(items: DataFrame, spark) -> np.ndarray:
     return chunks.ravel()
 
 
-def passes(bits: np.ndarray, keys: list[bytes]) -> np.ndarray:
-    """Which of the keys the filter lets through."""
-    import xxhash
-
-    at = np.fromiter((xxhash.xxh64_intdigest(k, SEED) for k in keys), np.uint64, len(keys))
-    at = (at & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+def passes(bits: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
+    """Which of the hashes the filter lets through; without a filter all."""
+    if bits is None:
+        return np.ones(len(keys), bool)
+    at = (keys & np.uint64(8 * len(bits) - 1)).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -154,66 +205,71 @@ class Numbers(dict):
         return n
 
 
-class Counter:
-    """The phrases of one language in one task."""
-
-    def __init__(self, lang: str, sizes: tuple[int, ...], words, pairs, burst: int = BURST):
-        self.lang, self.sizes, self.word_filter, self.pair_filter = lang.encode(), sizes, words, pairs
-        self.burst = burst
-        self.clear()
+class Reader:
+    """The words of one language in one task: their ids, hashes, and whether they can be frequent."""
 
-    def clear(self):
-        self.numbers, self.names, self.frequent = Numbers(), [b"\n"], np.zeros(1, bool)
-        self.trie = BurstTrie(self.burst)
+    def __init__(self, lang: str, words=None):
+        self.lang, self.filter = lang.encode(), words
+        self.numbers, self.names = Numbers(), [b"\n"]
+        self.hashes, self.frequent = np.zeros(1, np.uint64), np.zeros(1, bool)
 
     def number(self, texts: list[bytes]) -> np.ndarray:
         tokens = TOKEN.findall(b"\n".join(texts))
         ids = np.fromiter(map(self.numbers.__getitem__, tokens), np.int64, len(tokens))
-        fresh = list(self.numbers)[len(self.names) :] if len(self.numbers) > len(self.names) else []
+        fresh = list(islice(reversed(self.numbers), len(self.numbers) - len(self.names)))[::-1]
         self.names += fresh
-        if self.word_filter is None:
-            known = np.ones(len(fresh), bool)
-        else:
-            known = passes(self.word_filter, [self.lang + b"\n" + w for w in fresh])
-        self.frequent = np.concatenate([self.frequent, known])
+        hashes = word_hashes(self.lang, fresh)
+        self.hashes = np.concatenate([self.hashes, hashes])
+        self.frequent = np.concatenate([self.frequent, passes(self.filter, hashes)])
         return ids
 
-    def add(self, texts: list[bytes]) -> None:
-        """Count the phrases of the wanted sizes; occurrences of one phrase in these texts at once."""
-        ids = self.number(texts)
-        if self.sizes == (1,):
-            n = np.bincount(ids, minlength=1)
-            some = np.flatnonzero(n[1:]) + 1
-            self.trie.add(some[:, None], n[some])
-            return
+    def pairs(self, ids: np.ndarray):
+        """(starts, pairs, first, place, n): where pairs of frequent words start, and the distinct pairs among them."""
         ok = self.frequent[ids]
-        left, right = ids[:-1], ids[1:]
         at = np.flatnonzero(ok[:-1] & ok[1:])
-        pair, where, place, n = np.unique(left[at] << 32 | right[at], return_index=True, return_inverse=True, return_counts=True)
-        if 2 in self.sizes:
-            self.put(ids, at[where], 2, n)
-        if max(self.sizes) == 2 or not len(at):
-            return
-        names = self.names
-        keys = [self.lang + b"\n" + names[p >> 32] + b" " + names[p & 0xFFFFFFFF] for p in pair.tolist()]
-        kept = passes(self.pair_filter, keys)[place]
-        # ``code[k][i]``: a number of the phrase of k + 2 words that starts at word i, -1 for none.
+        packed = ids[:-1][at] << 32 | ids[1:][at]
+        return at, *np.unique(packed, return_index=True, return_inverse=True, return_counts=True)
+
+    def pair_keys(self, pair: np.ndarray) -> np.ndarray:
+        return pair_hashes(self.hashes[pair >> 32], self.hashes[pair & 0xFFFFFFFF])
+
+
+class Counter(Reader):
+    """The phrases of one language in one task, of all sizes up to ``longest``."""
+
+    def __init__(self, lang: str, longest: int, words=None, pairs=None, burst: int = BURST):
+        super().__init__(lang, words)
+        self.longest, self.pair_filter = longest, pairs
+        self.trie, self.single = BurstTrie(burst), np.zeros(0, np.int64)
+
+    def add(self, texts: list[bytes]) -> None:
+        """Count the phrases of these texts; all occurrences of one of them at once."""
+        ids = self.number(texts)
+        single = np.bincount(ids, minlength=len(self.names))
+        single[: len(self.single)] += self.single
+        self.single = single
+        at, pair, first, place, n = self.pairs(ids)
+        kept = passes(self.pair_filter, self.pair_keys(pair))
+        if self.longest >= 2 and kept.any():
+            self.put(ids, at[first[kept]], 2, n[kept])
+        kept = kept[place]
+        # For every word the number of the phrase that starts there, -1 for none; first the pairs.
         code = np.full(len(ids), -1, np.int64)
         code[at[kept]] = place[kept]
-        codes = [code]
-        for size in range(3, max(self.sizes) + 1):
+        pair_code = code
+        for size in range(3, self.longest + 1):
             # A phrase is the one a word shorter and the pair that ends it.
             starts = max(0, len(ids) - size + 1)
-            shorter, last = codes[-1][:starts], code[size - 2 :][:starts]
+            shorter, last = code[:starts], pair_code[size - 2 :][:starts]
             at = np.flatnonzero((shorter >= 0) & (last >= 0))
-            _, where, place, n = np.unique(
+            if not len(at):
+                return
+            _, first, place, n = np.unique(
                 shorter[at] << 32 | last[at], return_index=True, return_inverse=True, return_counts=True
             )
-            longer = np.full(len(ids), -1, np.int64)
-            longer[at] = place
-            codes.append(longer)
-            if size in self.sizes:
-                self.put(ids, at[where], size, n)
+            code = np.full(len(ids), -1, np.int64)
+            code[at] = place
+            self.put(ids, at[first], size, n)
 
     def put(self, ids, at, size, n):
         sequences = ids[at[:, None] + np.arange(size)]
@@ -221,30 +277,32 @@ class Counter:
         self.trie.add(sequences[order], n[order])
 
     def run(self, tries):
-        """Sorted runs (lang, prefix, phrase, words, count) of the given subtrees; a prefix is at most two words."""
-        names, lang = self.names, self.lang.decode()
+        """Sorted runs (lang, prefix, rest, n) of the given subtrees; a prefix is the first two words."""
+        names = self.names
         for trie in tries:
             rows = []
             for key, n in trie.pairs():
                 words = [names[i] for i in np.frombuffer(key, "<u4").tolist()]
-                rows.append((b" ".join(words), b" ".join(words[:2]), len(words), n))
+                rows.append((b" ".join(words[:2]), b" ".join(words[2:]), n))
             rows.sort()
             for start in range(0, len(rows), RUN):
-                phrase, prefix, size, n = zip(*rows[start : start + RUN])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(n), pa.string()),
-                        pa.array(prefix, pa.binary()).cast(pa.string()),
-                        pa.array(phrase, pa.binary()).cast(pa.string()),
-                        pa.array(size, pa.int32()),
-                        pa.array(n, pa.int64()),
-                    ],
-                    ["lang", "prefix", "phrase", "words", "n"],
-                )
+                yield self.record(*zip(*rows[start : start + RUN]))
+
+    def record(self, prefix, rest, n):
+        texts = (pa.array(c, pa.binary()).cast(pa.string()) for c in (prefix, rest))
+        arrays = [pa.array([self.lang.decode()] * len(n), pa.string()), *texts, pa.array(n, pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, ["lang", "prefix", "rest", "n"])
 
     def spill(self, keep: int):
         yield from self.run(joined(self.trie.cut(keep)))
 
+    def finish(self):
+        """All that is held, the single words too."""
+        yield from self.spill(0)
+        some = np.flatnonzero(self.frequent[: len(self.single)] & (self.single > 0))
+        if len(some):
+            yield self.record([self.names[i] for i in some.tolist()], [b""] * len(some), self.single[some].tolist())
+
 
 def joined(tries):
     """Small subtrees together, so that a run is not a record batch of a few rows."""
@@ -262,49 +320,100 @@ def joined(tries):
         yield held
 
 
-def counts(texts: DataFrame, sizes: tuple[int, ...], words=None, pairs=None, held: int = HELD) -> DataFrame:
-    """(lang, phrase, words, n) of all phrases of these sizes that the filters let through, in ``texts``."""
+def by_language(batches, add):
+    """Hand the cleaned texts of the batches to ``add`` (lang, texts), about ``TOKENS`` words of a language at once."""
+    waiting: dict[str, list[bytes]] = {}
+    volume: dict[str, int] = {}
+
+    def flush(lang):
+        volume.pop(lang)
+        return add(lang, waiting.pop(lang))
+
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            cleaned = text.encode().translate(CLEAN)
+            waiting.setdefault(lang, []).append(cleaned)
+            volume[lang] = volume.get(lang, 0) + len(cleaned)
+            if volume[lang] > 6 * TOKENS:
+                yield from flush(lang)
+        while sum(volume.values()) > 12 * TOKENS:
+            yield from flush(max(volume, key=volume.get))
+    for lang in list(waiting):
+        yield from flush(lang)
+
+
+def hashed_counts(texts: DataFrame, words=None) -> DataFrame:
+    """(lang, key, n) of the hashes of all words, or, with a filter of words, of the pairs of those it lets through."""
+    spark = shipped(texts.sparkSession)
+    shared = spark.sparkContext.broadcast(words)
+
+    def count(batches):
+        word_bits = shared.value
+        readers: dict[str, Reader] = {}
+        held: dict[str, HashCounts] = {}
+
+        def take(lang):
+            keys, n = held.pop(lang).take()
+            lang = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(keys), np.int32)))
+            for start in range(0, len(keys), 2**17):
+                part = slice(start, start + 2**17)
+                arrays = [lang[part], pa.array(keys[part].view(np.int64)), pa.array(n[part])]
+                yield pa.RecordBatch.from_arrays(arrays, ["lang", "key", "n"])
+
+        def add(lang, some):
+            reader = readers.setdefault(lang, Reader(lang, word_bits))
+            counts = held.setdefault(lang, HashCounts())
+            ids = reader.number(some)
+            if word_bits is None:
+                n = np.bincount(ids, minlength=1)
+                n[0] = 0
+                here = np.flatnonzero(n)
+                counts.add(reader.hashes[here], n[here])
+            else:
+                _, pair, _, _, n = reader.pairs(ids)
+                counts.add(reader.pair_keys(pair), n)
+            if sum(c.size() for c in held.values()) > HASHES:
+                yield from take(max(held, key=lambda x: held[x].size()))
+            if sum(len(r.names) for r in readers.values()) > WORDS:
+                readers.clear()
+
+        yield from by_language(batches, add)
+        for lang in list(held):
+            yield from take(lang)
+
+    found = map_batches(texts, count, "lang string, key bigint, n bigint")
+    return found.groupBy("lang", "key").agg(F.sum("n").alias("n"))
+
+
+def counts(texts: DataFrame, longest: int, words=None, pairs=None, held: int = HELD) -> DataFrame:
+    """(lang, phrase, words, n) of the phrases of up to ``longest`` words that the filters let through."""
     spark = shipped(texts.sparkSession)
     shared = spark.sparkContext.broadcast((words, pairs))
 
     def count(batches):
         word_bits, pair_bits = shared.value
         counters: dict[str, Counter] = {}
-        waiting: dict[str, list[bytes]] = {}
-        volume: dict[str, int] = {}
 
-        def flush(lang):
-            counter = counters.setdefault(lang, Counter(lang, sizes, word_bits, pair_bits))
-            counter.add(waiting.pop(lang))
-            volume.pop(lang)
+        def add(lang, some):
+            counters.setdefault(lang, Counter(lang, longest, word_bits, pair_bits)).add(some)
             total = sum(c.trie.size for c in counters.values())
-            numbered = sum(len(c.names) for c in counters.values())
-            if numbered > WORDS:
+            if sum(len(c.names) for c in counters.values()) > WORDS:
                 for c in counters.values():
-                    yield from c.spill(0)
+                    yield from c.finish()
                 counters.clear()
             elif total > held:
                 largest = max(counters.values(), key=lambda c: c.trie.size)
-                yield from largest.spill(largest.trie.size - (total - held // 2))
-
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                cleaned = text.encode().translate(CLEAN)
-                waiting.setdefault(lang, []).append(cleaned)
-                volume[lang] = volume.get(lang, 0) + len(cleaned)
-                if volume[lang] > 6 * TOKENS:
-                    yield from flush(lang)
-            while sum(volume.values()) > 12 * TOKENS:
-                yield from flush(max(volume, key=volume.get))
-        for lang in list(waiting):
-            yield from flush(lang)
+                yield from largest.spill(max(0, largest.trie.size - (total - held // 2)))
+
+        yield from by_language(batches, add)
         for counter in counters.values():
-            yield from counter.spill(0)
+            yield from counter.finish()
 
-    runs = map_batches(texts, count, "lang string, prefix string, phrase string, words int, n bigint")
+    runs = map_batches(texts, count, "lang string, prefix string, rest string, n bigint")
     # All runs of a prefix meet in one partition; the sum by phrase needs no further exchange.
-    merged = runs.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase", "words")
-    return merged.agg(F.sum("n").alias("n")).drop("prefix")
+    merged = runs.repartition("lang", "prefix").groupBy("lang", "prefix", "rest").agg(F.sum("n").alias("n"))
+    phrase = F.when(F.col("rest") == "", F.col("prefix")).otherwise(F.concat_ws(" ", "prefix", "rest"))
+    return merged.select("lang", phrase.alias("phrase"), F.size(F.split(phrase, " ")).alias("words"), "n")
 
 
 def frequent_phrases(
@@ -313,28 +422,19 @@ def frequent_phrases(
     """Phrases (lang, phrase, words, n) of 1 to ``longest`` words with ``least`` occurrences, and (lang, total) words.
 
     Phrases are runs of lower-cased words within a piece, overlaps included. A null text is empty, a
-    null language is ``und``. The texts are read three times: for words, pairs, and all longer phrases.
+    null language is ``und``. The texts are read three times: hashes of words, hashes of pairs, phrases.
     """
     texts = df.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    spark = df.sparkSession
     often = F.col("n") >= least
-    words = written(counts(texts, (1,)), "phrases-words")
+    words = written(hashed_counts(texts), "phrases-words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    parts = [words.where(often)]
-    word_bits = bit_filter(parts[0], spark)
-    if longest >= 2:
-        parts.append(written(counts(texts, (2,), word_bits).where(often), "phrases-pairs"))
-    if longest >= 3:
-        pair_bits = bit_filter(parts[1], spark)
-        longer = counts(texts, tuple(range(3, longest + 1)), word_bits, pair_bits).where(often)
-        parts.append(written(longer, "phrases-longer"))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    return found, totals
+    word_bits = bit_filter(words.where(often))
+    pairs = written(hashed_counts(texts, word_bits).where(often), "phrases-pairs")
+    found = counts(texts, longest, word_bits, bit_filter(pairs)).where(often)
+    return written(found, "phrases-counts"), totals
 
 
 def collocations(

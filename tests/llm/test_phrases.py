@@ -82,14 +82,15 @@ def test_awkward_rows_against_brute_force(spark, least, longest, top):
 def test_spilling_and_bursting_change_nothing(spark):
     rows = [r for r in awkward() if r[0] == "en"][:-45]
     want, _ = grams(rows)
-    counter = phrases.Counter("en", (3, 4, 5), None, np.full(8192, 255, np.uint8), burst=3)
+    counter = phrases.Counter("en", 5, burst=3)
     got = Counter()
 
     def gather(batches):
         for batch in batches:
-            assert batch.column("phrase").to_pylist() == sorted(batch.column("phrase").to_pylist(), key=str.encode)
-            for p, n in zip(batch.column("phrase").to_pylist(), batch.column("n").to_pylist()):
-                got[tuple(p.split(" "))] += n
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("prefix", "rest"))))
+            assert rows == sorted(rows, key=lambda r: (r[0].encode(), r[1].encode())) or not rows[0][1]
+            for (prefix, rest), n in zip(rows, batch.column("n").to_pylist()):
+                got[tuple((prefix + " " + rest).strip(" ").split(" "))] += n
 
     burst = 0
     for _, text in rows:
@@ -97,9 +98,9 @@ def test_spilling_and_bursting_change_nothing(spark):
         burst += any(isinstance(b, phrases.BurstTrie) for b in counter.trie.root.values())
         gather(counter.spill(60))
         assert counter.trie.size <= 60 and counter.trie.size == sum(1 for _ in counter.trie.pairs())
-    gather(counter.spill(0))
+    gather(counter.finish())
     assert burst and counter.trie.size == 0
-    assert got == Counter({p: n for (_, p), n in want.items() if len(p) > 2})
+    assert got == Counter({p: n for (_, p), n in want.items()})
 
 
 def test_a_task_that_spills_counts_the_same(spark):
@@ -107,16 +108,30 @@ def test_a_task_that_spills_counts_the_same(spark):
     df = spark.createDataFrame(rows, SCHEMA).select(
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
     )
-    want, _ = grams(rows, 2)
-    got = phrases.counts(df.coalesce(1), (2,), held=5).collect()
-    assert {(r["lang"], tuple(r["phrase"].split(" "))): r["n"] for r in got} == {k: n for k, n in want.items() if len(k[1]) == 2}
+    want, _ = grams(rows, 3)
+    got = phrases.counts(df.coalesce(1), 3, held=5).collect()
+    assert {(r["lang"], tuple(r["phrase"].split(" "))): r["n"] for r in got} == want
+    assert all(len(r["phrase"].split(" ")) == r["words"] for r in got)
 
 
 def test_filters_hide_nothing(spark):
-    items = spark.createDataFrame([("en", f"w{i} v") for i in range(3000)], "lang string, phrase string")
-    bits = phrases.bit_filter(items, spark)
-    assert phrases.passes(bits, [f"en\nw{i} v".encode() for i in range(3000)]).all()
-    assert phrases.passes(bits, [f"en\nx{i} v".encode() for i in range(3000)]).mean() < 0.15
+    words = phrases.word_hashes(b"en", [f"w{i}".encode() for i in range(3000)])
+    keys = phrases.pair_hashes(words[:-1], words[1:])
+    assert len(np.unique(keys)) == len(keys) and not set(keys) & set(phrases.pair_hashes(words[1:], words[:-1]))
+    bits = phrases.bit_filter(spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "key long"))
+    assert phrases.passes(bits, keys).all()
+    assert phrases.passes(bits, phrases.pair_hashes(words[1:], words[:-1])).mean() < 0.15
+
+
+def test_hashed_counts(spark):
+    rows = awkward()
+    df = spark.createDataFrame(rows, SCHEMA).select(
+        F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    want, _ = grams(rows, 2)
+    for size, bits in ((1, None), (2, np.full(8192, 255, np.uint8))):
+        got = sorted(r["n"] for r in phrases.hashed_counts(df, bits).collect())
+        assert got == sorted(n for k, n in want.items() if len(k[1]) == size)
 
 
 def test_products_beyond_64_bits(spark):

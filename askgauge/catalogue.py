@@ -1,8 +1,9 @@
 """Every capability as a named query over the given tables, with its DuckDB counterpart."""
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import Observation, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from askgauge.functions.metrics import ratio, round_to, wilson_high, wilson_low
 from askgauge.functions.text import clean_text, tidy_spaces
@@ -13,7 +14,7 @@ from askgauge.oracles import ORACLES
 from askgauge.plans import marts, reports, warehouse
 from askgauge.schemas import DIFFICULTY_LEVELS
 from askgauge.sources import derived, files
-from askgauge.streaming import grading
+from askgauge.streaming import grading, tables
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -76,6 +77,14 @@ def raw_question_file(spark, sf_dir):
     return files.read_raw_questions(spark, path).drop(*files.ORDER_COLUMNS)
 
 
+@query
+def first_collected(spark, sf_dir):
+    """Captured pages read back, the first questions in the order they were collected."""
+    path = f"{scratch(spark)}/pages"
+    derived.api_pages(spark, sf_dir, in_order=True).write.text(path)
+    return files.read_api_pages(spark, path, n_questions=150)
+
+
 @query
 def page_file(spark, sf_dir):
     path = f"{scratch(spark)}/pages"
@@ -120,13 +129,29 @@ def answered_pairs_file(spark, sf_dir):
     return files.answered_pairs(spark, path)
 
 
-@query
-def built_leaderboard(spark, sf_dir):
-    """All layers built as tables, and one of them loaded by its name."""
+def _built(spark, sf_dir):
+    """The name of a gold layer that was built anew."""
     layer = uuid.uuid4().hex
     names = {"silver": f"silver_{layer}", "gold": f"gold_{layer}"}
     warehouse.build(spark, derived.questions(spark, sf_dir).drop("seq"), derived.responses(spark, sf_dir), **names)
-    return warehouse.load_mart(spark, "mart_leaderboard", names["gold"])
+    return names["gold"]
+
+
+@query
+def built_leaderboard(spark, sf_dir):
+    """All layers built as tables, and one of them loaded by its name."""
+    return warehouse.load_mart(spark, "mart_leaderboard", _built(spark, sf_dir))
+
+
+@query
+def built_tables(spark, sf_dir):
+    """The tables that a build leaves in the gold layer, and how many rows each has."""
+    gold = _built(spark, sf_dir)
+    made = [
+        warehouse.load_mart(spark, name, gold).agg(F.lit(name).alias("name"), F.count("*").alias("n_rows"))
+        for name in sorted(warehouse.available_marts(spark, gold))
+    ]
+    return reduce(DataFrame.unionByName, made)
 
 
 @query
@@ -316,6 +341,27 @@ def _streamed(spark, sf_dir, watermark=None):
     return spark.read.parquet(f"{base}/graded")
 
 
+# --- Evaluation tables that follow the stream ---
+
+
+def _followed(name):
+    def build(spark, sf_dir):
+        """Response files counted batch by batch, one batch a second time; the table from stored counts."""
+        base = scratch(spark)
+        files.append_responses(derived.responses(spark, sf_dir).repartition(3, "question_id"), f"{base}/responses")
+        derived.staged_questions(spark, sf_dir).write.parquet(f"{base}/questions")
+        questions, store = spark.read.parquet(f"{base}/questions"), tables.CountStore(spark, f"{base}/counts")
+        tables.start_counting(spark, f"{base}/responses", questions, store, f"{base}/progress", max_files=1).awaitTermination()
+        store.add(store.ledger()[0][0], store.responses())
+        return store.tables()[f"mart_{name}"]
+
+    return build
+
+
+for _name in ("leaderboard", "question_insights", "temperature_effect", "prompt_format"):
+    QUERIES[f"followed_{_name}"] = _followed(_name)
+
+
 # --- Evaluation tables ---
 
 

@@ -815,6 +815,11 @@ ORACLES = {
 FROM q0, (VALUES (''), (' (bis)')) v(suffix) WHERE seq % 10 NOT IN (3, 7, 9)""",
         "q0",
     ),
+    "first_collected": oracle(
+        """SELECT type, difficulty, category, question || suffix AS question, correct_answer, incorrect_answers
+FROM q0, (VALUES (1, ''), (2, ' (bis)')) v(place, suffix) WHERE seq % 10 NOT IN (3, 7, 9) ORDER BY seq, place LIMIT 150""",
+        "q0",
+    ),
     "clean_question_file": oracle(f"SELECT {CLEAN_COLUMNS} FROM q", "q"),
     "run_config_file": oracle(
         """SELECT run_order, run_id, model_key, lmstudio_id, model_name, publisher, country, params_b, disable_thinking,
@@ -918,5 +923,11 @@ FROM (SELECT source, count(*) AS n, sum(quality)::BIGINT AS k FROM labels JOIN d
 }
 for _name in [name for name in BLOCKS if name.startswith("mart_")]:
     ORACLES[_name.removeprefix("mart_")] = oracle(f"SELECT * FROM {_name}", _name)
+for _name in ("leaderboard", "question_insights", "temperature_effect", "prompt_format"):
+    ORACLES[f"followed_{_name}"] = ORACLES[_name]
+_marts = [name for name in BLOCKS if name.startswith("mart_")]
+ORACLES["built_tables"] = oracle(
+    " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n_rows FROM {name}" for name in _marts), *_marts
+)
 for _name, (_sql, _needs) in REPORTS.items():
     ORACLES[_name] = oracle(_sql, *_needs)

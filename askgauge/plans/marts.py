@@ -122,6 +122,51 @@ def _time_bucket(seconds: Column) -> Column:
     return F.when(F.isnan(seconds), 2**62).when(seconds.isNotNull(), F.floor(steps))
 
 
+# What a run is told apart by, and what the leaderboard adds up over it.
+RUN = (
+    "model_key",
+    "model_name",
+    "model_publisher",
+    "model_country",
+    "model_params_b",
+    "prompt_version",
+    "label_style",
+    "temperature",
+)
+RUN_SUMS = ("n", "n_correct", "n_valid", "n_truncated", "baseline_sum", "baseline_n", "token_sum", "token_n", "time_sum")
+# Buckets whose times are stored together: under four percent of a time, and 5,800 ranges over all doubles.
+BUCKETS_PER_RANGE = 32
+
+
+def _run_measures():
+    return [
+        *_counts(),
+        F.count_if("is_truncated").alias("n_truncated"),
+        *_mean_parts("random_baseline", "baseline"),
+        *_mean_parts("completion_tokens", "token"),
+        F.sum("response_time_s").alias("time_sum"),
+    ]
+
+
+def _placed(enriched: DataFrame) -> DataFrame:
+    return enriched.withColumn("bucket", _time_bucket(F.col("response_time_s")))
+
+
+def run_times(enriched: DataFrame) -> DataFrame:
+    """Responses counted per run and distinct time: a histogram that can be added up and stored.
+
+    ``bucket_range`` is what it is to be partitioned by: ``leaderboard_of`` reads the ranges around
+    the quantiles only.
+    """
+    ranged = F.floor(F.col("bucket") / BUCKETS_PER_RANGE).alias("bucket_range")
+    return _placed(enriched).groupBy(*RUN, "bucket", ranged, "response_time_s").agg(*_run_measures())
+
+
+def run_buckets(times: DataFrame) -> DataFrame:
+    """The histogram of ``run_times`` per run and bucket."""
+    return times.groupBy(*RUN, "bucket").agg(*_sums(*RUN_SUMS))
+
+
 def leaderboard(enriched: DataFrame, quantile: float = 0.95) -> DataFrame:
     """Accuracy, format discipline and speed of every run, ranked.
 
@@ -130,31 +175,32 @@ def leaderboard(enriched: DataFrame, quantile: float = 0.95) -> DataFrame:
     around the quantile. A second scan, of the run's columns and the time, counts the distinct times
     of those buckets only. No task holds the responses or all distinct times of a run.
     """
-    run = (
-        "model_key",
-        "model_name",
-        "model_publisher",
-        "model_country",
-        "model_params_b",
-        "prompt_version",
-        "label_style",
-        "temperature",
-    )
-    sums = ("n", "n_correct", "n_valid", "n_truncated", "baseline_sum", "baseline_n", "token_sum", "token_n", "time_sum")
-    placed = enriched.withColumn("bucket", _time_bucket(F.col("response_time_s")))
-    by_run = Window.partitionBy(*run)
+    placed = _placed(enriched)
+    counted = placed.groupBy(*RUN, "bucket").agg(*_run_measures())
+    return _leaderboard(counted, placed.select(*RUN, "bucket", "response_time_s", F.lit(1).alias("n")), quantile)
+
+
+def leaderboard_of(buckets: DataFrame, times: DataFrame, quantile: float = 0.95) -> DataFrame:
+    """The leaderboard from stored ``run_buckets`` and ``run_times``: no response is read.
+
+    Of the times only the ranges that hold the values around a run's quantile are read. Their numbers
+    come to the driver: 5,800 at most, however many runs and times there are.
+    """
+    ranged = F.floor(F.col("bucket") / BUCKETS_PER_RANGE).alias("bucket_range")
+    found = _around(buckets, quantile).where("held").select(ranged).distinct().toArrow().column(0).to_pylist()
+    here = F.col("bucket_range").isin([x for x in found if x is not None])
+    if None in found:
+        here = here | F.col("bucket_range").isNull()
+    return _leaderboard(buckets, times.where(here).select(*RUN, "bucket", "response_time_s", "n"), quantile)
+
+
+def _around(counted: DataFrame, quantile: float) -> DataFrame:
+    """Buckets with the responses before them, the place of the quantile, and whether they hold its values."""
+    by_run = Window.partitionBy(*RUN)
     before = by_run.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     timed = F.when(F.col("bucket").isNotNull(), F.col("n")).otherwise(F.lit(0))
     buckets = (
-        placed.groupBy(*run, "bucket")
-        .agg(
-            *_counts(),
-            F.count_if("is_truncated").alias("n_truncated"),
-            *_mean_parts("random_baseline", "baseline"),
-            *_mean_parts("completion_tokens", "token"),
-            F.sum("response_time_s").alias("time_sum"),
-        )
-        .withColumn("passed", F.coalesce(F.sum(timed).over(before), F.lit(0)))
+        counted.withColumn("passed", F.coalesce(F.sum(timed).over(before), F.lit(0)))
         .withColumn("time_n", F.sum(timed).over(by_run))
         .withColumn("spot", F.lit(quantile) * (F.col("time_n") - 1))
     )
@@ -164,23 +210,28 @@ def leaderboard(enriched: DataFrame, quantile: float = 0.95) -> DataFrame:
         & (F.col("passed") <= F.ceil("spot"))
         & (F.col("passed") + F.col("n") > F.floor("spot"))
     )
-    totals = buckets.groupBy(*run).agg(
-        *_sums(*sums),
+    return buckets.withColumn("held", around)
+
+
+def _leaderboard(counted: DataFrame, times: DataFrame, quantile: float) -> DataFrame:
+    """The leaderboard from counts per run and bucket, and times that stand for ``n`` responses each."""
+    run = RUN
+    totals = _around(counted, quantile).groupBy(*run).agg(
+        *_sums(*RUN_SUMS),
         F.max("time_n").alias("time_n"),
         F.max("spot").alias("spot"),
-        F.collect_list(F.when(around, F.struct("bucket", "passed"))).alias("around"),
+        F.collect_list(F.when(F.col("held"), F.struct("bucket", "passed"))).alias("around"),
     )
-    carried = (*sums, "time_n", "spot")
+    carried = (*RUN_SUMS, "time_n", "spot")
     wanted = totals.select(
         *(F.col(c).alias(f"_{c}") for c in run), F.struct(*carried).alias("totals"), F.inline("around")
     ).withColumnsRenamed({"bucket": "_bucket", "passed": "_passed"})
     same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*run, "bucket")))
     # At most three rows per run. Rows of other buckets go before anything is shuffled.
     near = (
-        placed.select(*run, "bucket", "response_time_s")
-        .join(F.broadcast(wanted), same)
+        times.join(F.broadcast(wanted), same)
         .groupBy(*run, "bucket", "_passed", "response_time_s")
-        .agg(F.count("*").alias("here"), F.any_value("totals").alias("totals"))
+        .agg(F.sum("n").alias("here"), F.any_value("totals").alias("totals"))
     )
     upto = Window.partitionBy(*run, "bucket").orderBy("response_time_s").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -340,9 +391,17 @@ def temperature_effect(enriched: DataFrame, with_grouping_id: bool = False) -> D
     ``difficulty`` is ``all`` on the total rows. A question without difficulty carries the same
     label; ``with_grouping_id`` adds the column that tells them apart (1 on total rows).
     """
+    return temperature_effect_of(temperature_cells(enriched), with_grouping_id)
+
+
+DESCRIBED = ("model_name", "model_params_b", "difficulty", "difficulty_level")
+
+
+def temperature_cells(enriched: DataFrame) -> DataFrame:
+    """Letters answers counted per model, question, side and position: what ``temperature_effect`` is made of."""
     hot = F.col("temperature") > 0
-    described = ("model_name", "model_params_b", "difficulty", "difficulty_level")
-    answers = (
+    described = DESCRIBED
+    return (
         enriched.where(
             (F.col("label_style") == "letters")
             & (hot | (F.col("temperature") == 0))
@@ -363,6 +422,10 @@ def temperature_effect(enriched: DataFrame, with_grouping_id: bool = False) -> D
         .agg(*_counts(), F.min("temperature").alias("temperature"))
     )
 
+
+def temperature_effect_of(answers: DataFrame, with_grouping_id: bool = False) -> DataFrame:
+    """``temperature_effect`` from counted answers, such as stored ones that were added up."""
+    described = DESCRIBED
     pair = Window.partitionBy("model_key", "question_id")
     same_spot = Window.partitionBy("model_key", "question_id", "ai_position")
     is_hot = F.col("hot")
@@ -576,6 +639,65 @@ def position_bias(enriched: DataFrame) -> DataFrame:
     )
 
 
+ATTRIBUTES = (
+    "question_text",
+    "question_type",
+    "difficulty",
+    "difficulty_level",
+    "category_group",
+    "category_name",
+    "correct_answer",
+)
+# Models that share one 64-bit word of a stored set.
+WORD = 64
+
+
+def question_votes(enriched: DataFrame, models: DataFrame) -> DataFrame:
+    """Temperature-0 responses counted per question and answer, with the sets of models as bits.
+
+    A distinct count cannot be added up, a set can: ``models`` numbers the models (model_key, number);
+    ``seen`` and ``right`` are the models of one ``word`` of 64 that gave the answer, and were right by it.
+    Stored votes merge by sums and ORs. A response without model counts, but belongs to no set.
+    """
+    bit = F.expr("shiftleft(1L, cast(number % 64 as int))")
+    numbered = enriched.where(F.col("temperature") == 0).join(models, "model_key", "left")
+    word = F.floor(F.col("number") / WORD)
+    return numbered.groupBy("question_id", *ATTRIBUTES, "ai_answer", "is_valid_format", word.alias("word")).agg(
+        *_counts(), F.bit_or(bit).alias("seen"), F.bit_or(F.when(F.col("ai_correct"), bit)).alias("right")
+    )
+
+
+def insights_of(votes: DataFrame) -> DataFrame:
+    """``question_insights`` from stored ``question_votes``."""
+    placed = votes.repartition("question_id")
+    sets = (
+        placed.groupBy("question_id", "word")
+        .agg(F.bit_or("seen").alias("seen"), F.bit_or("right").alias("right"))
+        .groupBy("question_id")
+        .agg(
+            F.sum(F.coalesce(F.bit_count("seen"), F.lit(0))).alias("n_models"),
+            F.sum(F.coalesce(F.bit_count("right"), F.lit(0))).alias("n_models_correct_once"),
+        )
+    )
+    is_right = F.col("ai_answer") == F.col("correct_answer")
+    per_answer = Window.partitionBy("question_id", "is_valid_format", "ai_answer", "is_right")
+    ballot = F.when(F.col("is_valid_format"), F.struct((-F.col("votes")).alias("votes"), "ai_answer"))
+    flagged = placed.withColumn("is_right", is_right).withColumn("votes", F.sum("n").over(per_answer))
+    questions = flagged.withColumn("ballot", ballot).groupBy("question_id").agg(*_question_measures())
+    # Null-safe, since responses without a question id are one question too.
+    named = sets.withColumnRenamed("question_id", "_question")
+    return _insights(questions.join(named, F.col("question_id").eqNullSafe(F.col("_question"))))
+
+
+def _question_measures():
+    return [
+        *(F.any_value(c, True).alias(c) for c in ATTRIBUTES),
+        *_sums("n", "n_correct"),
+        F.min("ballot").alias("winner"),
+        F.min(F.when(~F.col("is_right"), F.col("ballot"))).alias("decoy"),
+    ]
+
+
 def question_insights(enriched: DataFrame) -> DataFrame:
     """Success, majority vote and traps per question, over all temperature-0 responses.
 
@@ -585,15 +707,7 @@ def question_insights(enriched: DataFrame) -> DataFrame:
     grouping keys because picking one of several texts would need a sort of the responses. Equal vote
     counts go to the alphabetically first answer.
     """
-    attributes = (
-        "question_text",
-        "question_type",
-        "difficulty",
-        "difficulty_level",
-        "category_group",
-        "category_name",
-        "correct_answer",
-    )
+    attributes = ATTRIBUTES
     cells = (
         enriched.where(F.col("temperature") == 0)
         .groupBy("question_id", *attributes, "model_key", "ai_answer", "is_valid_format")
@@ -623,14 +737,15 @@ def question_insights(enriched: DataFrame) -> DataFrame:
         )
     )
     questions = flagged.groupBy("question_id").agg(
-        *(F.any_value(c, True).alias(c) for c in attributes),
-        *_sums("n", "n_correct"),
+        *_question_measures(),
         F.count_if("counts_model").alias("n_models"),
         F.count_if(F.col("counts_model") & (F.col("model_right") > 0)).alias("n_models_correct_once"),
-        F.min("ballot").alias("winner"),
-        F.min(F.when(~F.col("is_right"), F.col("ballot"))).alias("decoy"),
     )
+    return _insights(questions)
+
 
+def _insights(questions: DataFrame) -> DataFrame:
+    """The table from one row of counts per question."""
     n, right = F.col("n"), F.col("n_correct")
     success = ratio(right, n)
     majority, decoy_votes = F.col("winner.ai_answer"), F.coalesce(-F.col("decoy.votes"), F.lit(0))
@@ -644,7 +759,7 @@ def question_insights(enriched: DataFrame) -> DataFrame:
 
     return questions.select(
         "question_id",
-        *attributes,
+        *ATTRIBUTES,
         "n_models",
         n.alias("n_answers"),
         right.alias("n_correct"),

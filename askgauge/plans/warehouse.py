@@ -19,7 +19,14 @@ from askgauge.operators.quality import (
 )
 from askgauge.operators.scoring import grade_responses
 from askgauge.operators.staging import stage_questions, stage_responses
-from askgauge.plans.marts import FROM_COUNTS, MART_BUILDERS, count_responses
+from askgauge.plans.marts import (
+    FROM_COUNTS,
+    MART_BUILDERS,
+    count_responses,
+    leaderboard_of,
+    run_buckets,
+    run_times,
+)
 from askgauge.schemas import ENRICHED_COLUMNS, GRADED_COLUMNS, MARTS
 from askgauge.sources.files import ORDER_COLUMNS, read_clean_questions, write_clean_questions
 
@@ -99,14 +106,19 @@ def build(
     counted = f"{silver}.int_response_counts"
     save(count_responses(source), counted)
     counts = spark.table(counted)
+    # The leaderboard needs distinct times: stored by range, so that those around the quantile alone are read again.
+    timed = f"{silver}.int_run_times"
+    save(run_times(source), timed, ("bucket_range",))
+    times = spark.table(timed)
     above = {f"{silver}.int_answer_options": lambda: answer_options(staged)}
     above |= {
         f"{gold}.{name}": partial(make, counts if name in FROM_COUNTS else source)
         for name, make in MART_BUILDERS.items()
     }
+    above[f"{gold}.mart_leaderboard"] = lambda: leaderboard_of(run_buckets(times), times)
     with ThreadPoolExecutor(parallel) as pool:
         list(pool.map(lambda item: save(item[1](), item[0]), above.items()))
-    return [scored, enriched, counted, *above]
+    return [scored, enriched, counted, timed, *above]
 
 
 def available_marts(spark: SparkSession, gold: str = GOLD) -> set[str]:

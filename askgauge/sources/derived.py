@@ -304,8 +304,11 @@ def repeated_raw_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured API pages as JSON text: two questions each, every response code that may occur."""
+def api_pages(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
+    """Captured API pages as JSON text: two questions each, every response code that may occur.
+
+    ``in_order`` puts them into one file in the order of the parts, as a client would append them.
+    """
     last = F.col("seq") % 10
     code = F.when(last == 3, 1).when(last == 7, 4).when(last == 9, 5).otherwise(0)
 
@@ -317,7 +320,8 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(*fields)
 
     page = F.struct(code.alias("response_code"), F.array(result(""), result(" (bis)")).alias("results"))
-    return question_rows(spark, sf_dir).select(F.to_json(page).alias("body"))
+    rows = question_rows(spark, sf_dir)
+    return (rows.orderBy("seq").coalesce(1) if in_order else rows).select(F.to_json(page).alias("body"))
 
 
 def chatty_answers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Reading and writing the files of the pipeline."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from askgauge.operators.prompting import select_runs
 from askgauge.schemas import (
@@ -39,16 +39,49 @@ def read_raw_questions(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_named(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV files whose columns are matched by the names in each file's own header.
+
+    The files may order their columns differently. A file that names other columns than the schema, a
+    row with more or fewer fields than that, and a value that is not of its column's type fail the read.
+    Blank fields are null.
+    """
+    names = schema.fieldNames()
+    places = [f"_{i}" for i in range(len(names))]
+    # Pruned columns would not be counted, and a ragged row would pass.
+    strict = CSV_FORMAT | {"header": "false", "mode": "FAILFAST", "columnPruning": "false"}
+    cells = spark.read.schema(", ".join(f"{c} string" for c in places)).options(**strict).csv(path)
+    lines = cells.select(
+        F.array(*places).alias("_fields"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    first = lines.groupBy("_file").agg(F.min(F.struct("_line", "_fields")).alias("_first"))
+    named = F.transform("_first._fields", lambda c: F.regexp_replace(F.trim(c), "^\ufeff", ""))
+    wanted = F.array_sort(F.array(*map(F.lit, names)))
+    said = F.concat(F.lit("unexpected columns in "), F.col("_file"), F.lit(": "), F.concat_ws(", ", named))
+    checked = F.when(F.array_sort(named) == wanted, named).otherwise(F.raise_error(said))
+    headers = first.select("_file", F.col("_first._line").alias("_header"), checked.alias("_names"))
+    headers = headers.where(F.size("_names") == len(names))  # checked even where no column is asked for
+    rows = lines.join(headers, "_file").where(F.col("_line") > F.col("_header"))
+    return rows.select(
+        *(
+            F.element_at("_fields", F.array_position("_names", F.lit(f.name)).cast("int")).cast(f.dataType).alias(f.name)
+            for f in schema
+        )
+    )
+
+
 def read_run_config(spark: SparkSession, path: str, run_orders=None) -> DataFrame:
     """Configured runs in order, optionally a selection of them; refuses an empty selection."""
-    config = spark.read.schema(RUN_CONFIG).options(**CSV_FORMAT).csv(path)
+    config = read_named(spark, path, RUN_CONFIG)
     texts = [f.name for f in RUN_CONFIG if f.dataType.simpleString() == "string"]
     return select_runs(config.na.fill("", texts), run_orders)
 
 
 def read_prompt_set(spark: SparkSession, path: str) -> DataFrame:
     """Prompt versions whose line breaks are written ``\\n`` and whose flag is text."""
-    prompts = spark.read.schema(PROMPT_SET).options(**CSV_FORMAT).csv(path).na.fill("")
+    prompts = read_named(spark, path, PROMPT_SET).na.fill("")
 
     def broken(name):
         return F.replace(F.col(name), F.lit("\\n"), F.lit("\n")).alias(name)

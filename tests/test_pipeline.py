@@ -128,6 +128,55 @@ def test_run_config_and_prompt_set(spark, tmp_path):
     assert tuple(files.read_prompt_set(spark, f"{tmp_path}/p.csv").first()) == ("v1", "a\nb", "c\nd", True)
 
 
+def write_text(path, **files_):
+    path.mkdir()
+    for name, text in files_.items():
+        (path / f"{name}.csv").write_text(text, encoding="utf-8")
+    return str(path)
+
+
+def test_columns_are_matched_by_each_files_header(spark, tmp_path):
+    path = write_text(
+        tmp_path / "prompts",
+        a='prompt_version,system_prompt,user_template,structured_output\nv1,S,"T, {options}\nx",true\n',
+        b='user_template,structured_output,prompt_version,system_prompt\nU,,v2,\n"say ""hi""",True,v3,s\n',
+        c="\ufeffstructured_output,system_prompt,user_template,prompt_version\nfalse,p,q,v4\n",
+    )
+    got = {tuple(r) for r in files.read_prompt_set(spark, path).collect()}
+    assert got == {("v1", "S", "T, {options}\nx", True), ("v2", "", "U", False), ("v3", "s", 'say "hi"', True), ("v4", "p", "q", False)}
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        "prompt_version,system_prompt,user_template\nv1,S,T\n",
+        "prompt_version,system_prompt,user_template,structured\nv1,S,T,true\n",
+        "prompt_version,system_prompt,user_template,structured_output\nv1,S,T\n",
+        "prompt_version,system_prompt,user_template,structured_output\nv1,S,T,true,more\n",
+        "prompt_version,prompt_version,user_template,structured_output\nv1,S,T,true\n",
+    ],
+)
+def test_a_prompt_set_that_does_not_fit_is_refused(spark, tmp_path, body):
+    good = "prompt_version,system_prompt,user_template,structured_output\nv0,S,T,true\n"
+    path = write_text(tmp_path / "prompts", a=good, b=body)
+    with pytest.raises(Exception, match="(?i)unexpected columns|malformed"):
+        files.read_prompt_set(spark, path).collect()
+    with pytest.raises(Exception, match="(?i)unexpected columns|malformed"):
+        files.read_prompt_set(spark, path).count()
+
+
+def test_a_run_configuration_is_read_by_name_and_type(spark, sf_dir, tmp_path):
+    config = derived.run_config(spark, sf_dir)
+    turned = config.select(*reversed(config.columns))
+    turned.coalesce(1).write.options(header=True, quote='"', escape='"').csv(f"{tmp_path}/runs")
+    assert sorted(map(str, files.read_run_config(spark, f"{tmp_path}/runs").collect())) == sorted(
+        map(str, config.na.fill("").collect())
+    )
+    turned.withColumn("max_tokens", F.lit("many")).coalesce(1).write.mode("overwrite").options(header=True).csv(f"{tmp_path}/bad")
+    with pytest.raises(Exception, match="many"):
+        files.read_run_config(spark, f"{tmp_path}/bad").collect()
+
+
 def test_response_parts(spark, silver):
     parts = [f for f in os.listdir(f"{silver}/responses") if f.endswith(".parquet")]
     responses = files.read_responses(spark, f"{silver}/responses")
@@ -143,7 +192,7 @@ def test_warehouse(spark, silver):
         warehouse.load_mart(spark, MARTS[0], gold="t_gold")
     assert warehouse.available_marts(spark, "t_gold") == set()
     written = warehouse.build(spark, questions, responses, silver="t_silver", gold="t_gold")
-    assert len(written) == 12 and warehouse.available_marts(spark, "t_gold") == set(MARTS)
+    assert len(written) == 13 and warehouse.available_marts(spark, "t_gold") == set(MARTS)
     with pytest.raises(ValueError):
         warehouse.load_mart(spark, "mart_of_nothing", gold="t_gold")
 

@@ -25,7 +25,7 @@ TOP = 2000  # phrases reported per language
 SEED = 42
 BURST = 2048  # suffixes in a container before it bursts
 DEEPEST = 2  # levels of the trie above the containers
-HELD = 400_000  # phrases a task holds before it spills half of them
+HELD = 1_000_000  # phrases a task holds, some 150 MB, before it spills half of them
 HASHES = 3_000_000  # hashes a task holds before it hands them on: 48 MB
 WORDS = 400_000  # distinct words a task numbers before it spills all and starts anew
 TOKENS = 500_000  # words counted at once

@@ -100,6 +100,14 @@ def replace_columns(batch, new: dict):
     return pa.RecordBatch.from_arrays(arrays, [batch.schema.names[i] for i in kept] + list(new))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as keep it apart from the frame's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def schema_with(df: DataFrame, added: str) -> str:
     """DDL of the frame's columns followed by ``added``; clashing input columns give way."""
     from pyspark.sql.types import StructType

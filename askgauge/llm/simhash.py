@@ -9,28 +9,23 @@ are contracted to components by alternating star steps.
 """
 
 from dataclasses import dataclass
-from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from askgauge.llm.common import map_batches, replace_columns, schema_with, slices, written
+from askgauge.llm.common import map_batches, replace_columns, schema_with, slices, unused, written
 
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
-WORD_PRINTS = 4
-LEAF = 65_536  # fingerprints the tree aims at per leaf, and members a cell has at most
+LEAF = 16_384  # fingerprints the tree aims at per leaf, and members a cell has at most
 QUERIES = 16  # times as many queries as members at most in a cell: 8 MB, compared in blocks
 SAMPLE = 65_536  # fingerprints the tree is built on
 LEAST_SAMPLE = 16  # a leaf that has fewer in the sample is not divided
 CANDIDATES = 12
 BLOCK = 2**20  # comparisons made at once: 8 MB
-EXACT_SHINGLE = 5  # words, where two texts are compared themselves
-SIMILAR = 0.8  # least Jaccard similarity of the shingles of near-duplicates
-SETS = 512  # texts in each of the two blocks of a cell
 
 
 def text_fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -59,39 +54,15 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def word_fingerprints(text: str | None, n: int) -> list[int]:
-    """``n`` independent 64-bit SimHashes over the distinct words of a whole text; zeros for no words."""
-    import xxhash
-
-    words = set((text or "").encode().lower().split())
-    if not words:
-        return [0] * n
-    base = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), np.uint64, len(words))
-    return [majority(mixed(base, k)) for k in range(n)]
-
-
-def mixed(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Another hash of the same things: the k-th step of a 64-bit counter, finalised."""
-    x = hashes + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2**64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def with_fingerprints(
-    df: DataFrame, text: str = "text", out: str = "fp", shingle: int = SHINGLE, word_prints: int = 0
-) -> DataFrame:
-    """Add the shingle fingerprint of every text as a signed 64-bit integer, and word ones as ``fp1``, ``fp2`` ..."""
-    names = [out, *(f"{out}{k + 1}" for k in range(word_prints))]
+def with_fingerprints(df: DataFrame, text: str = "text", out: str = "fp", shingle: int = SHINGLE) -> DataFrame:
+    """Add the shingle fingerprint of every text as a signed 64-bit integer."""
 
     def add(batches):
         for batch in slices(batches, 1024):
-            texts = batch.column(text).to_pylist()
-            rows = [[text_fingerprint(t, shingle), *word_fingerprints(t, word_prints)] for t in texts]
-            prints = np.array(rows, np.uint64).reshape(-1, len(names)).view(np.int64)
-            yield replace_columns(batch, {c: pa.array(prints[:, i]) for i, c in enumerate(names)})
+            prints = [text_fingerprint(t, shingle) for t in batch.column(text).to_pylist()]
+            yield replace_columns(batch, {out: pa.array(np.array(prints, np.uint64).view(np.int64))})
 
-    return map_batches(df, add, schema_with(df, ", ".join(f"`{c}` bigint" for c in names)))
+    return map_batches(df, add, schema_with(df, f"`{out}` bigint"))
 
 
 # --- The tree ---
@@ -315,144 +286,20 @@ def near_duplicates(
 
 
 def keep_one(
-    df: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    shingle: int = SHINGLE,
-    reach: int = RADIUS,
-    word_prints: int = WORD_PRINTS,
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, reach: int = RADIUS
 ) -> DataFrame:
-    """One document of each component, with all its columns: the one with the smallest id.
-
-    Fingerprints only propose: documents that are near in the one of ``near_duplicates`` or in one of
-    ``word_prints`` independent ones of their distinct words (an edited word changes three shingles but
-    one word) are compared, and link where their sets of five-word shingles have a Jaccard similarity of
-    ``SIMILAR`` or more.
+    """One document of each component of ``near_duplicates``, with all its columns: the one with the smallest id.
 
     Rows without an id come after all others. Rows that share id and component are told apart by the
     hash of their text, equal rows by their place in the table.
     """
-    marked = with_fingerprints(df, text, "__fp", shingle, word_prints)
-    full = written(marked.withColumn("__n", F.monotonically_increasing_id()), "simhash-docs")
-    names = ["__fp", *(f"__fp{k + 1}" for k in range(word_prints))]
-    edges = [row_links(full.select("__n", F.col(c).alias("fp")), reach) for c in names]
-    proposed = components(reduce(DataFrame.unionByName, edges).distinct())
-    stars = components(similar_links(full.select("__n", F.col(text).alias("text")), proposed))
-    narrow = full.select(F.col(doc_id).alias("doc_id"), "__n", F.xxhash64(text).alias("h"))
-    rooted = narrow.join(stars, F.col("__n") == F.col("node"), "left")
-    order = F.struct(F.isnull("doc_id").alias("o"), "doc_id", "h", "__n")
-    first = rooted.groupBy(F.coalesce("root", "__n").alias("root")).agg(F.min(order).alias("first"))
-    return full.join(first.select("first.__n"), "__n", "left_semi").select(*df.columns)
-
-
-def shingle_set(text: str | None, shingle: int = EXACT_SHINGLE) -> np.ndarray:
-    """Sorted hashes of the distinct word shingles of a text; a lone zero for no words."""
-    import xxhash
-
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(1, np.uint64)
-    n = max(1, len(words) - shingle + 1)
-    parts = (b" ".join(words[i : i + shingle]) for i in range(n))
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(SEED)), np.uint64, n))
-
-
-def similar_groups(sets: list[np.ndarray], similar: float = SIMILAR) -> np.ndarray:
-    """For each set the first place of the sets that a chain of similar ones ties it to.
-
-    Breadth first: a set is held only against those not reached yet, so a group of near copies costs
-    about one comparison per set.
-    """
-    sizes = np.array([len(s) for s in sets])
-    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    starts = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    order = np.argsort(codes, kind="stable")
-    label, left = np.full(len(sets), -1), len(sets)
-
-    def index(places):
-        held = owner[places]
-        return held, np.concatenate([[0], np.cumsum(np.bincount(codes[places], minlength=codes.max() + 1))])
-
-    listed, bounds = index(order)
-    indexed = left
-    for seed in range(len(sets)):
-        if label[seed] >= 0:
-            continue
-        label[seed], left = seed, left - 1
-        todo = [seed]
-        while todo and left:
-            if 2 * left < indexed:
-                order = order[label[owner[order]] < 0]
-                listed, bounds = index(order)
-                indexed = left
-            i = todo.pop()
-            mine = codes[starts[i] : starts[i] + sizes[i]]
-            lengths = bounds[mine + 1] - bounds[mine]
-            at = np.repeat(bounds[mine] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-            common = np.bincount(listed[at], minlength=len(sets))
-            near = np.flatnonzero((label < 0) & (common >= similar * (sizes[i] + sizes - common)))
-            label[near], left = seed, left - len(near)
-            todo.extend(near.tolist())
-    return label
-
-
-def similar_links(rows: DataFrame, proposed: DataFrame) -> DataFrame:
-    """Links (a, b) between rows ``__n`` of one proposed component that tie those of similar ``text``.
-
-    Every two different texts of a component are compared, in cells of two blocks of at most about
-    ``SETS`` texts each, so no task holds a whole component. Equal texts are one from the start.
-    """
-    members = proposed.unionByName(proposed.select(F.col("root").alias("node"), "root").distinct())
-    hashed = rows.select("__n", F.coalesce(F.md5("text"), F.lit("")).alias("h"))
-    known = written(hashed.join(members, F.col("__n") == F.col("node")).select("__n", "h", "root"), "simhash-members")
-    firsts = written(known.groupBy("root", "h").agg(F.min("__n").alias("first")), "simhash-texts")
-    copies = known.join(firsts, ["root", "h"]).where(F.col("__n") != F.col("first")).select(
-        F.col("__n").alias("a"), F.col("first").alias("b")
-    )
-    sizes = firsts.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select(
-        "root", F.ceil(F.col("n") / SETS).cast("int").alias("m")
-    )
-    compared = firsts.join(sizes, "root").select("root", "first", "m")
-
-    def shingles(batches):
-        for batch in slices(batches, 256):
-            sets = [shingle_set(t).view(np.int64) for t in batch.column("text").to_pylist()]
-            flat = pa.array(np.concatenate(sets) if sets else np.array([], np.int64))
-            ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            yield replace_columns(batch, {"shingles": pa.ListArray.from_arrays(pa.array(ends), flat)}).select(
-                ["root", "first", "m", "shingles"]
-            )
-
-    texts = rows.join(compared, F.col("__n") == F.col("first")).select("root", "first", "m", "text")
-    sets = written(
-        map_batches(texts, shingles, "root bigint, first bigint, m int, shingles array<bigint>"), "simhash-sets"
-    )
-    own = F.pmod(F.xxhash64("first"), F.col("m")).cast("int")
-    others = F.filter(F.sequence(F.lit(0), F.col("m") - 1), lambda j: (j != own) | (F.col("m") == 1))
-    cells = sets.withColumn("j", F.explode(others)).select(
-        "root", F.least(own, "j").alias("i"), F.greatest(own, "j").alias("j"), "first", "shingles"
-    )
-
-    def compare(cell: pa.Table) -> pa.Table:
-        cell = cell.sort_by("first")
-        nodes = cell.column("first").to_numpy()
-        column = cell.column("shingles").combine_chunks()
-        ends = np.cumsum(column.value_lengths().to_numpy())
-        label = similar_groups(np.split(column.flatten().to_numpy(), ends[:-1]))
-        tied = label != np.arange(len(label))
-        return pa.table({"a": nodes[tied], "b": nodes[label[tied]]})
-
-    found = cells.groupBy("root", "i", "j").applyInArrow(compare, "a bigint, b bigint")
-    return copies.unionByName(found).distinct()
-
-
-def row_links(rows: DataFrame, reach: int) -> DataFrame:
-    """Links (a, b) between rows ``__n`` that tie all rows whose ``fp`` are within reach of each other."""
-    prints = written(rows.groupBy("fp").agg(F.min("__n").alias("first")), "simhash-prints")
-    copies = rows.join(prints, "fp").where(F.col("__n") != F.col("first")).select(
-        F.col("__n").alias("a"), F.col("first").alias("b")
+    fp, place = unused(df, "fp"), unused(df, "place")
+    marked = with_fingerprints(df, text, fp, shingle).withColumn(place, F.monotonically_increasing_id())
+    full = written(marked, "simhash-docs")
+    narrow = full.select(
+        F.col(fp).alias("fp"), F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("h"), F.col(place).alias("place")
     )
-    ends = {side: prints.select(F.col("fp").alias(side), F.col("first").alias(f"first_{side}")) for side in "ab"}
-    between = links(prints.select("fp"), reach).join(ends["a"], "a").join(ends["b"], "b")
-    return copies.unionByName(between.select(F.col("first_a").alias("a"), F.col("first_b").alias("b")))
+    roots = component_ids(narrow, reach).select("fp", "root")
+    order = F.struct(F.isnull("doc_id").alias("o"), "doc_id", "h", "place")
+    first = narrow.join(roots, "fp").groupBy("root").agg(F.min(order).alias("first"))
+    return full.join(first.select(F.col("first.place").alias(place)), place, "left_semi").select(*df.columns)

@@ -45,6 +45,11 @@ def test_words_split_on_six_spaces_only(spark):
     assert got == {0: [], 1: [], 2: [], 3: ["a"], 4: ["a", "b", "c\xa0d e"]}
 
 
+def test_unused_names(spark):
+    df = spark.createDataFrame([(1, 2)], "fp long, _FP long")
+    assert common.unused(df, "fp") == "__fp" and common.unused(df, "x") == "x"
+
+
 def test_remainders(spark):
     import zlib
 

@@ -11,7 +11,6 @@ size that knows no false negatives, so nothing is lost and the counts stay exact
 """
 
 import re
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ BURST = 2048  # suffixes in a container before it bursts
 DEEPEST = 2  # levels of the trie above the containers
 HELD = 1_000_000  # phrases a task holds, some 150 MB, before it spills half of them
 HASHES = 3_000_000  # hashes a task holds before it hands them on: 48 MB
-WORDS = 400_000  # distinct words a task numbers before it spills all and starts anew
+WORDS = 400_000  # distinct words a task knows the numbers of before it forgets the rare ones
 TOKENS = 500_000  # words counted at once
 FILTER_BITS = (16, 28)  # sizes of the filters, as powers of two: 8 kB to 32 MB
 RUN = 20_000  # rows of a run in one record batch
@@ -199,9 +198,13 @@ class Numbers(dict):
 
     def __init__(self):
         super().__init__({b"\n": 0})
+        self.fresh: list[bytes] = []
+        self.next = 1
 
     def __missing__(self, word):
-        self[word] = n = len(self)
+        self[word] = n = self.next
+        self.next += 1
+        self.fresh.append(word)
         return n
 
 
@@ -216,13 +219,20 @@ class Reader:
     def number(self, texts: list[bytes]) -> np.ndarray:
         tokens = TOKEN.findall(b"\n".join(texts))
         ids = np.fromiter(map(self.numbers.__getitem__, tokens), np.int64, len(tokens))
-        fresh = list(islice(reversed(self.numbers), len(self.numbers) - len(self.names)))[::-1]
+        fresh, self.numbers.fresh = self.numbers.fresh, []
         self.names += fresh
         hashes = word_hashes(self.lang, fresh)
         self.hashes = np.concatenate([self.hashes, hashes])
         self.frequent = np.concatenate([self.frequent, passes(self.filter, hashes)])
         return ids
 
+    def forget(self) -> None:
+        """Forget the words that cannot be frequent; one that comes again gets another number."""
+        for word, i in list(self.numbers.items()):
+            if i and not self.frequent[i]:
+                del self.numbers[word]
+                self.names[i] = b""
+
     def pairs(self, ids: np.ndarray):
         """(starts, pairs, first, place, n): where pairs of frequent words start, and the distinct pairs among them."""
         ok = self.frequent[ids]
@@ -374,7 +384,7 @@ def hashed_counts(texts: DataFrame, words=None) -> DataFrame:
                 counts.add(reader.pair_keys(pair), n)
             if sum(c.size() for c in held.values()) > HASHES:
                 yield from take(max(held, key=lambda x: held[x].size()))
-            if sum(len(r.names) for r in readers.values()) > WORDS:
+            if sum(len(r.numbers) for r in readers.values()) > WORDS:
                 readers.clear()
 
         yield from by_language(batches, add)
@@ -385,8 +395,14 @@ def hashed_counts(texts: DataFrame, words=None) -> DataFrame:
     return found.groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
-def counts(texts: DataFrame, longest: int, words=None, pairs=None, held: int = HELD) -> DataFrame:
-    """(lang, phrase, words, n) of the phrases of up to ``longest`` words that the filters let through."""
+def counts(
+    texts: DataFrame, longest: int, words=None, pairs=None, held: int = HELD, words_held: int = WORDS
+) -> DataFrame:
+    """(lang, phrase, words, n) of the phrases of up to ``longest`` words that the filters let through.
+
+    Only words that can be frequent are in a trie, so the others are forgotten when a task knows too
+    many. If those left, or all numbers ever given, are too many, it hands on all it holds.
+    """
     spark = shipped(texts.sparkSession)
     shared = spark.sparkContext.broadcast((words, pairs))
 
@@ -397,7 +413,11 @@ def counts(texts: DataFrame, longest: int, words=None, pairs=None, held: int = H
         def add(lang, some):
             counters.setdefault(lang, Counter(lang, longest, word_bits, pair_bits)).add(some)
             total = sum(c.trie.size for c in counters.values())
-            if sum(len(c.names) for c in counters.values()) > WORDS:
+            if sum(len(c.numbers) for c in counters.values()) > words_held:
+                for c in counters.values():
+                    c.forget()
+            known, given = (sum(f(c.numbers) for c in counters.values()) for f in (len, lambda x: x.next))
+            if known > words_held or given > 16 * words_held:
                 for c in counters.values():
                     yield from c.finish()
                 counters.clear()

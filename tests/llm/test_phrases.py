@@ -109,8 +109,9 @@ def test_a_task_that_spills_counts_the_same(spark):
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
     )
     want, _ = grams(rows, 3)
-    got = phrases.counts(df.coalesce(1), 3, held=5).collect()
-    assert {(r["lang"], tuple(r["phrase"].split(" "))): r["n"] for r in got} == want
+    for options in ({"held": 5}, {"words_held": 4}):
+        got = phrases.counts(df.coalesce(1), 3, **options).collect()
+        assert {(r["lang"], tuple(r["phrase"].split(" "))): r["n"] for r in got} == want
     assert all(len(r["phrase"].split(" ")) == r["words"] for r in got)
 
 
@@ -123,6 +124,21 @@ def test_filters_hide_nothing(spark):
     assert phrases.passes(bits, phrases.pair_hashes(words[1:], words[:-1])).mean() < 0.15
 
 
+def test_rare_words_are_forgotten_and_nothing_else():
+    texts = [t.encode() for t in ("a b x1 a b", "a b x2", "x1 a b")]
+    frequent = phrases.word_hashes(b"en", [b"a", b"b"])
+    bits = np.zeros(2**13, np.uint8)
+    for at in (frequent & np.uint64(2**16 - 1)).tolist():
+        bits[at >> 3] |= 1 << (at & 7)
+    counter = phrases.Counter("en", 2, bits)
+    for text in texts:
+        counter.add([text])
+        counter.forget()
+    assert set(counter.numbers) == {b"\n", b"a", b"b"} and counter.numbers.next > 4
+    rows = {(p, r): n for b in counter.finish() for p, r, n in zip(*(b.column(c).to_pylist() for c in ("prefix", "rest", "n")))}
+    assert rows == {("a b", ""): 4, ("a", ""): 4, ("b", ""): 4}
+
+
 def test_hashed_counts(spark):
     rows = awkward()
     df = spark.createDataFrame(rows, SCHEMA).select(

@@ -14,7 +14,7 @@ from askgauge.oracles import ORACLES
 from askgauge.plans import marts, reports, warehouse
 from askgauge.schemas import DIFFICULTY_LEVELS
 from askgauge.sources import derived, files
-from askgauge.streaming import grading, tables
+from askgauge.streaming import follow_up, grading, tables
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -286,6 +286,32 @@ def run_summary(spark, sf_dir):
     return prompting.run_summary(runs, todo, graded.where(~old & ~finished), missing_models=("lab/model-3",))
 
 
+@query
+def trial_summary(spark, sf_dir):
+    answers = derived.trial_answers(spark, sf_dir)
+    return prompting.trial_summary(answers, derived.trial_work(answers))
+
+
+@query
+def followed_trials(spark, sf_dir):
+    """The same outcomes reported by a stream: on the last answer of a run, or when it has been silent for a day."""
+    base = scratch(spark)
+    derived.trial_answers(spark, sf_dir).write.parquet(f"{base}/all")
+    answers = spark.read.parquet(f"{base}/all")
+    derived.trial_work(answers).write.parquet(f"{base}/work")
+    early = F.year("created_at") < 1995
+    for part in (answers.where(early), answers.where(~early)):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/answers")
+    # An answer of another run, much later, moves the clock past every silence.
+    later = answers.limit(1).withColumns({"run_id": F.lit("later"), "created_at": F.to_timestamp_ntz(F.lit("2100-01-01"))})
+    later.write.mode("append").parquet(f"{base}/answers")
+    stream = spark.readStream.schema(answers.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/answers")
+    work = spark.read.parquet(f"{base}/work")
+    options = {"silence": "1 day", "delay": "20000 days"}
+    follow_up.start_following(spark, stream, work, f"{base}/reports", f"{base}/progress", **options).awaitTermination()
+    return follow_up.latest_reports(spark.read.parquet(f"{base}/reports"))
+
+
 @query
 def projected_minutes(spark, sf_dir):
     staged = derived.staged_responses(spark, sf_dir)

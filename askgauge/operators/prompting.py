@@ -11,6 +11,9 @@ from askgauge.schemas import (
     RUN_DONE_BEFORE,
     RUN_INCOMPLETE,
     RUN_MODEL_MISSING,
+    TRIAL_ERRORS,
+    TRIAL_OK,
+    TRIAL_SILENT,
 )
 
 
@@ -213,6 +216,35 @@ def run_summary(runs: DataFrame, todo: DataFrame, graded: DataFrame, missing_mod
     )
 
 
+def trial_outcome(n_answers: Column, n_errors: Column) -> Column:
+    """OK, with errors, or without any answer."""
+    return F.when(n_answers == 0, TRIAL_SILENT).when(n_errors == 0, TRIAL_OK).otherwise(TRIAL_ERRORS)
+
+
+def trial_summary(graded: DataFrame, todo: DataFrame) -> DataFrame:
+    """Outcome of trial runs: answers, errors, readable and right answers, and whether all were given.
+
+    ``graded`` has an ``error`` per row, null for an answer; ``todo`` (run_id, n_todo) what was asked. A
+    row with an error is neither readable nor right, whatever its text. A run without any row is silent.
+    """
+    answered = F.col("error").isNull()
+    counted = graded.groupBy("run_id").agg(
+        F.count_if(answered).alias("n_answers"),
+        F.count_if(~answered).alias("n_errors"),
+        F.count_if(answered & F.col("is_valid_format")).alias("n_valid"),
+        F.count_if(answered & F.col("ai_correct")).alias("n_right"),
+    )
+    names = ("n_answers", "n_errors", "n_valid", "n_right")
+    known = todo.join(counted, "run_id", "left").na.fill(0, list(names))
+    done = F.col("n_answers") + F.col("n_errors") >= F.col("n_todo")
+    return known.select(
+        "run_id",
+        F.when(done, RUN_COMPLETE).otherwise(RUN_INCOMPLETE).alias("status"),
+        *names,
+        trial_outcome(F.col("n_answers"), F.col("n_errors")).alias("outcome"),
+    )
+
+
 def projected_minutes(responses: DataFrame, config: DataFrame, n_questions: int) -> DataFrame:
     """Minutes a model would need for all its runs, from its mean time per question."""
     pace = responses.groupBy("lmstudio_id").agg(F.avg("response_time_s").alias("seconds"))

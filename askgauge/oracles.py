@@ -486,6 +486,12 @@ WHERE (run_id, question_id) NOT IN (SELECT (run_id, question_id) FROM graded
     "work",
     "graded",
 )
+TRIALS = """SELECT run_id, CASE WHEN regexp_matches(run_id, '^m[02]') THEN 'incomplète' ELSE 'terminée' END AS status,
+  count_if(NOT failed) AS n_answers, count_if(failed) AS n_errors, count_if(NOT failed AND is_valid_format) AS n_valid,
+  count_if(NOT failed AND ai_correct) AS n_right, CASE WHEN bool_and(failed) THEN 'aucune réponse'
+    WHEN bool_or(failed) THEN 'erreurs' ELSE 'OK' END AS outcome
+FROM (SELECT *, completion_tokens % 13 = 0 AND model_key <> 'm1' OR run_id = 'm3__v3_text' AS failed FROM graded
+  WHERE len(string_split(run_id, '__')) = 2) GROUP BY run_id"""
 RUN_SUMMARY = f"""SELECT run_id, status, CASE WHEN asked THEN coalesce(got, 0) ELSE 0 END AS n_new,
   CASE WHEN asked THEN {rnd(div('k', 'got'))} END AS provisional_accuracy,
   CASE WHEN asked THEN {rnd(div('v', 'got'))} END AS valid_format_rate,
@@ -888,6 +894,8 @@ FROM (SELECT *, list_position(choices, correct_answer) AS place FROM (SELECT *,
         "resp",
     ),
     "run_summary": oracle(RUN_SUMMARY, "todo", "graded", "runs"),
+    "trial_summary": oracle(TRIALS, "graded"),
+    "followed_trials": oracle(TRIALS, "graded"),
     "projected_minutes": oracle(
         f"""SELECT lmstudio_id, n_runs, {rnd('pace', 2)} AS seconds_per_question, {rnd('pace * 1000 * n_runs / 60', 1)} AS projected_min
 FROM (SELECT lmstudio_id, count(*) AS n_runs FROM runs GROUP BY 1)

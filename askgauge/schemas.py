@@ -30,6 +30,7 @@ RUN_DONE_BEFORE = "déjà terminée"
 RUN_MODEL_MISSING = "modèle introuvable"
 RUN_COMPLETE = "terminée"
 RUN_INCOMPLETE = "incomplète"
+TRIAL_OK, TRIAL_ERRORS, TRIAL_SILENT = "OK", "erreurs", "aucune réponse"
 
 DIFFICULTY_LABELS = {"easy": "Facile", "medium": "Moyen", "hard": "Difficile", "all": "Toutes"}
 QUESTION_TYPE_LABELS = {"multiple": "QCM", "boolean": "Vrai/Faux"}

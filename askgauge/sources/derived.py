@@ -231,6 +231,19 @@ def enriched_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_responses(graded_responses(spark, sf_dir), staged_questions(spark, sf_dir))
 
 
+def trial_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graded responses of the configured runs, some of which failed: every call of one run, others here and there."""
+    graded = graded_responses(spark, sf_dir).where(F.size(F.split("run_id", "__")) == 2)
+    failed = (F.col("completion_tokens") % 13 == 0) & (F.col("model_key") != "m1")
+    return graded.withColumn("error", F.when(failed | (F.col("run_id") == "m3__v3_text"), "timeout"))
+
+
+def trial_work(answers: DataFrame) -> DataFrame:
+    """(run_id, n_todo): what the runs were asked; those of two models stopped before their last question."""
+    n = F.count("*") + F.when(F.col("run_id").rlike("^m[02]"), 1).otherwise(0)
+    return answers.groupBy("run_id").agg(n.alias("n_todo"))
+
+
 # --- Inputs with something wrong in them ---
 
 MID_PERIOD = "1995-01-01T00:00:00"

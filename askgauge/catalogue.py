@@ -10,9 +10,10 @@ from askgauge.functions.text import clean_text, tidy_spaces
 from askgauge.operators import cleaning, prompting, quality
 from askgauge.operators.enrich import answer_options
 from askgauge.operators.scoring import lenient_letter
+from askgauge.operators.search import TextIndex
 from askgauge.oracles import ORACLES
-from askgauge.plans import marts, reports, warehouse
-from askgauge.schemas import DIFFICULTY_LEVELS
+from askgauge.plans import marts, publish, reports, warehouse
+from askgauge.schemas import CLEAN_QUESTIONS, DIFFICULTY_LEVELS
 from askgauge.sources import derived, files
 from askgauge.streaming import follow_up, grading, tables
 
@@ -67,6 +68,39 @@ def contract_read_back(spark, sf_dir):
     return quality.check_written_questions(files.read_clean_questions(spark, path), sent.get["n"])
 
 
+def _apart(spark, rows, conditions):
+    """Rows judged while they are written, read again with the checks they fail."""
+    path = f"{scratch(spark)}/judged"
+    quality.write_apart(rows, conditions, path)
+    return quality.read_apart(spark, path, rows.schema)
+
+
+@query
+def contract_silver_while_writing(spark, sf_dir):
+    """The silver contract judged in the pass that writes the rows; the same report."""
+    conditions = quality.clean_question_conditions()
+    written = _apart(spark, derived.faulty_clean_questions(spark, sf_dir), conditions)
+    return quality.check_written_apart(written, conditions, "silver", quality.unique_question_check())
+
+
+@query
+def quarantined_questions(spark, sf_dir):
+    """Collected questions set aside while they are written, with the checks each one fails."""
+    written = _apart(spark, derived.faulty_raw_questions(spark, sf_dir), quality.raw_question_conditions())
+    refused = quality.refused_rows(written)
+    return refused.withColumn("failed_checks", F.concat_ws(",", "failed_checks")).drop("incorrect_answers")
+
+
+@query
+def accepted_questions(spark, sf_dir):
+    """Clean questions from a collection in which some break the contract: those are left behind."""
+    path = scratch(spark)
+    collected = derived.faulty_raw_questions(spark, sf_dir)
+    collected.write.options(header=True, quote='"', escape='"').csv(f"{path}/raw")
+    accepted, _ = warehouse.build_accepted_questions(files.read_raw_questions(spark, f"{path}/raw"), path, spark)
+    return accepted.groupBy("type", "difficulty", "category").agg(F.count("*").alias("n_questions"))
+
+
 # --- Files written and read again ---
 
 
@@ -143,6 +177,15 @@ def built_leaderboard(spark, sf_dir):
     return warehouse.load_mart(spark, "mart_leaderboard", _built(spark, sf_dir))
 
 
+@query
+def published_leaderboard(spark, sf_dir):
+    """All layers built as a version of their own, published, and one table loaded from the snapshot."""
+    layer = f"published_{uuid.uuid4().hex}"
+    questions = derived.questions(spark, sf_dir).select(*CLEAN_QUESTIONS.fieldNames())
+    publish.publish(spark, questions, derived.responses(spark, sf_dir), layer)
+    return publish.snapshot(spark, layer).load("mart_leaderboard")
+
+
 @query
 def built_tables(spark, sf_dir):
     """The tables that a build leaves in the gold layer, and how many rows each has."""
@@ -466,6 +509,19 @@ report(
         t.question_insights, groups=("Entertainment", "Science"), difficulties=("easy", "hard"), text="SMALL"
     ),
 )
+
+
+@query
+def question_search_indexed(spark, sf_dir):
+    """The same search through a stored index of trigrams."""
+    path = scratch(spark)
+    Tables(spark, sf_dir).question_insights.write.parquet(f"{path}/insights")
+    insights = spark.read.parquet(f"{path}/insights")
+    index = TextIndex.build(insights, "question_id", "question_text", f"{path}/index")
+    found = index.search(insights, "question_id", "question_text", "SMALL")
+    return reports.search_questions(found, groups=("Entertainment", "Science"), difficulties=("easy", "hard"))
+
+
 report("question_explorer", lambda t: reports.question_explorer(t.question_insights))
 report("trap_list", lambda t: reports.trap_list(t.question_insights))
 report("trap_summary", lambda t: reports.trap_summary(t.question_insights))

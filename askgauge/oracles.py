@@ -399,16 +399,19 @@ block(
     END AS parsed FROM q0""",
     "q0",
 )
-RAW_CHECKS = {
-    "expected_columns": "min(0)",
-    "no_blank_value": fails("category <> '' AND question <> '' AND correct_answer <> ''"),
-    "known_type": fails("type IN ('multiple', 'boolean')"),
-    "known_difficulty": fails("difficulty IN ('easy', 'medium', 'hard')"),
-    "wrong_answers_are_a_list": fails("parsed IS NOT NULL"),
-    "multiple_has_three_wrong": fails("type <> 'multiple' OR len(parsed) = 3"),
-    "boolean_has_one_wrong": fails("type <> 'boolean' OR len(parsed) = 1"),
-    "boolean_answer_is_true_or_false": fails("type <> 'boolean' OR correct_answer IN ('True', 'False')"),
+RAW_CONDITIONS = {
+    "no_blank_value": "category <> '' AND question <> '' AND correct_answer <> ''",
+    "known_type": "type IN ('multiple', 'boolean')",
+    "known_difficulty": "difficulty IN ('easy', 'medium', 'hard')",
+    "wrong_answers_are_a_list": "parsed IS NOT NULL",
+    "multiple_has_three_wrong": "type <> 'multiple' OR len(parsed) = 3",
+    "boolean_has_one_wrong": "type <> 'boolean' OR len(parsed) = 1",
+    "boolean_answer_is_true_or_false": "type <> 'boolean' OR correct_answer IN ('True', 'False')",
 }
+FAILED_CHECKS = "concat_ws(',', {})".format(
+    ", ".join(f"CASE WHEN NOT coalesce({ok}, false) THEN '{name}' END" for name, ok in RAW_CONDITIONS.items())
+)
+RAW_CHECKS = {"expected_columns": "min(0)"} | {name: fails(ok) for name, ok in RAW_CONDITIONS.items()}
 block(
     "faulty_clean",
     """SELECT * EXCLUDE (question_id, question, correct_answer, incorrect_answers),
@@ -810,6 +813,17 @@ DECODED = f"regexp_replace({DECODED}, '&amp;?', '&', 'g')"
 ORACLES = {
     "contract_bronze": oracle(report_sql("bronze", RAW_CHECKS, "faulty_raw"), "faulty_raw"),
     "contract_silver": oracle(report_sql("silver", CLEAN_CHECKS, "faulty_clean"), "faulty_clean"),
+    "contract_silver_while_writing": oracle(report_sql("silver", CLEAN_CHECKS, "faulty_clean"), "faulty_clean"),
+    "quarantined_questions": oracle(
+        f"""SELECT * FROM (SELECT type, difficulty, category, question, correct_answer, {FAILED_CHECKS} AS failed_checks
+FROM faulty_raw) WHERE failed_checks <> ''""",
+        "faulty_raw",
+    ),
+    "accepted_questions": oracle(
+        f"""SELECT type, difficulty, category, count(DISTINCT (lower(question), lower(correct_answer))) AS n_questions
+FROM faulty_raw WHERE {FAILED_CHECKS} = '' GROUP BY ALL""",
+        "faulty_raw",
+    ),
     "contract_read_back": oracle(report_sql("silver file", READ_BACK_CHECKS, "q"), "q"),
     "raw_question_file": oracle(
         f"""SELECT type, difficulty, category, question, correct_answer,
@@ -840,6 +854,7 @@ FROM runs""",
     ),
     "response_file": oracle("SELECT * FROM resp", "resp"),
     "answered_pairs_file": oracle("SELECT run_id, question_id FROM resp", "resp"),
+    "published_leaderboard": oracle("SELECT * FROM mart_leaderboard", "mart_leaderboard"),
     "built_leaderboard": oracle("SELECT * FROM mart_leaderboard", "mart_leaderboard"),
     "clean_text_documents": f"SELECT doc_id, lang, {TIDY} AS clean_text FROM documents",
     "clean_html_pages": f"SELECT page_id, {TIDY.replace('(text,', f'({DECODED},')} AS clean_html FROM pages",
@@ -939,3 +954,4 @@ ORACLES["built_tables"] = oracle(
 )
 for _name, (_sql, _needs) in REPORTS.items():
     ORACLES[_name] = oracle(_sql, *_needs)
+ORACLES["question_search_indexed"] = ORACLES["question_search"]

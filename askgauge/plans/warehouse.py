@@ -12,10 +12,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from askgauge.operators.cleaning import clean_questions
 from askgauge.operators.enrich import answer_options, enrich_responses
 from askgauge.operators.quality import (
+    accepted_rows,
     check_clean_questions,
     check_raw_questions,
+    check_written_apart,
     check_written_questions,
+    clean_question_conditions,
+    raw_column_checks,
+    raw_question_conditions,
+    read_apart,
+    run_checks,
+    unique_question_check,
     verify,
+    write_apart,
 )
 from askgauge.operators.scoring import grade_responses
 from askgauge.operators.staging import stage_questions, stage_responses
@@ -27,7 +36,7 @@ from askgauge.plans.marts import (
     run_buckets,
     run_times,
 )
-from askgauge.schemas import ENRICHED_COLUMNS, GRADED_COLUMNS, MARTS
+from askgauge.schemas import CLEAN_QUESTIONS, ENRICHED_COLUMNS, GRADED_COLUMNS, MARTS
 from askgauge.sources.files import ORDER_COLUMNS, read_clean_questions, write_clean_questions
 
 SILVER, GOLD = "silver", "gold"
@@ -71,6 +80,28 @@ def build_questions(raw: DataFrame, path: str, spark: SparkSession) -> DataFrame
     return written
 
 
+def build_accepted_questions(raw: DataFrame, path: str, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """The accepted clean questions and the report; rows that break a contract are set aside, not the build.
+
+    Every row is judged in the pass that writes it: collected ones under ``path/bronze``, cleaned ones
+    under ``path/silver``, so the source is read once and nothing is held. Wrong columns and repeated
+    question ids are faults of the whole table and still stop the build. Of a question that comes several
+    times the first accepted copy stays.
+    """
+    columns = run_checks(spark.range(1), raw_column_checks(raw.drop(*ORDER_COLUMNS).columns), "bronze")
+    verify(columns)
+    collected, cleaned = f"{path}/bronze", f"{path}/silver"
+    write_apart(raw, raw_question_conditions(), collected)
+    bronze = read_apart(spark, collected, raw.schema)
+    clean = clean_questions(accepted_rows(bronze), ORDER_COLUMNS).select(*CLEAN_QUESTIONS.fieldNames())
+    write_apart(clean, clean_question_conditions(), cleaned)
+    silver = read_apart(spark, cleaned, CLEAN_QUESTIONS)
+    verify(run_checks(accepted_rows(silver), unique_question_check(), "silver"))
+    report = columns.unionByName(check_written_apart(bronze, raw_question_conditions(), "bronze"))
+    whole = check_written_apart(silver, clean_question_conditions(), "silver", unique_question_check())
+    return accepted_rows(silver), report.unionByName(whole)
+
+
 def build(
     spark: SparkSession,
     questions: DataFrame,

@@ -7,7 +7,7 @@ hashed from seed and id, is exploded by it, and all copies are shuffled by anoth
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from askgauge.llm.common import written
+from askgauge.llm.common import unused, written
 
 SEED = 20
 # A mean above this is drawn as the sum of equal smaller ones, so that the inverted table stays short.
@@ -99,11 +99,12 @@ def mix(
     kept = [c for c in docs.columns if c.lower() not in ("copy", "shuffle_key")]
     # One row per source, read back as files: broadcast by their size, joined by shuffle beyond it.
     table = written(rates(docs, weights, default_weight, budget, source, text), "mixing-rates")
-    table = table.select(F.col("source").alias("__source"), F.col("draws").alias("__draws"), F.col("cdf").alias("__cdf"))
-    drawn = docs.select(*kept).join(table, F.col(source).eqNullSafe(F.col("__source")))
-    number = copies(F.col(doc_id), F.col("__draws"), F.col("__cdf"), seed)
-    drawn = drawn.select(*kept, number.alias("__n")).where("__n > 0")
-    repeated = drawn.select(*kept, F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("copy"))
+    theirs, draws, cdf, n = (unused(docs, name) for name in ("their_source", "draws", "cdf", "n"))
+    table = table.select(F.col("source").alias(theirs), F.col("draws").alias(draws), F.col("cdf").alias(cdf))
+    drawn = docs.select(*kept).join(table, F.col(source).eqNullSafe(F.col(theirs)))
+    number = copies(F.col(doc_id), F.col(draws), F.col(cdf), seed)
+    drawn = drawn.select(*kept, number.alias(n)).where(F.col(n) > 0)
+    repeated = drawn.select(*kept, F.explode(F.sequence(F.lit(1), F.col(n))).alias("copy"))
     key = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "copy"))
     return (
         repeated.withColumn("shuffle_key", key)

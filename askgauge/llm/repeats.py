@@ -1,7 +1,7 @@
 """Substring dedup by hashing lines and sentences.
 
-A text is cut into lines and each line into sentences; every unit of enough words is normalised and
-digested. Digests are grouped over the whole corpus, the earliest occurrence by (document id, offset)
+A text is cut into lines, each line into sentences, and each sentence before its capitalised words;
+every unit that is long enough is normalised and digested. Digests are grouped over the whole corpus, the earliest occurrence by (document id, offset)
 stays, and every later one is cut out of its text at its original offsets.
 """
 
@@ -11,40 +11,57 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from askgauge.llm.common import map_batches, replace_columns, schema_with, slices, written
+from askgauge.llm.common import map_batches, schema_with, slices, unused, written
 
-MIN_WORDS = 5
-# A sentence ends after closing punctuation and the blanks behind it, and before a capitalised word.
-# Passages that were put into the middle of a line are found by their sentences.
-SENTENCE_END = r"[.!?][ \t]+"
-SENTENCE_START = r"[ \t](?=[A-ZÀ-ÖØ-Þ])"
-CUT = re.compile(f"{SENTENCE_END}|{SENTENCE_START}")
+MIN_WORDS = 10  # of a line or a sentence
+PIECE = 2  # times as many for a piece of a sentence
+UNSPACED_WORD = 2  # characters that count as a word in scripts that put no blanks between words
+# Thai to Lao, Myanmar, Khmer, kana, Han. Fixed values.
+UNSPACED = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]"
+# A sentence ends after closing punctuation and the blanks behind it.
+SENTENCE_END = r"[.!?][ \t]+|[。！？][ \t]*"
+# Passages that were put into the middle of a sentence are found by the pieces that start with a capital.
+PIECE_START = r"[ \t](?=[A-ZÀ-ÖØ-Þ])"
+ENDS, STARTS, UNSPACED_ONE = re.compile(SENTENCE_END), re.compile(PIECE_START), re.compile(UNSPACED)
 
 
-def units(text: str):
-    """(start, end) of every line, then of every sentence in it, end exclusive; offsets in code points."""
+def parts(text: str, start: int, end: int, cut: re.Pattern) -> list[tuple[int, int]]:
+    """The spans of a span that is cut after every match but one at its end."""
+    at = [start, *(m.end() for m in cut.finditer(text, start, end) if m.end() < end), end]
+    return list(zip(at, at[1:]))
+
+
+def units(text: str, min_words: int = MIN_WORDS):
+    """(start, end, words it needs) of every line, sentence and piece, each span once; end exclusive, in code points."""
     at = 0
     for line in text.split("\n"):
         end = at + len(line)
-        yield at, end
-        start = at
-        for m in CUT.finditer(text, at, end):
-            if m.end() < end:
-                yield start, m.end()
-                start = m.end()
-        if start > at:
-            yield start, end
+        yield at, end, min_words
+        for sentence in parts(text, at, end, ENDS):
+            if sentence != (at, end):
+                yield *sentence, min_words
+            for piece in parts(text, *sentence, STARTS):
+                if piece != sentence:
+                    yield *piece, PIECE * min_words
         at = end + 1
 
 
+def long_enough(unit: str, words: list[str], least: int) -> bool:
+    """Whether a unit has enough words, or enough characters of scripts that do not part words."""
+    return len(words) >= least or (
+        not unit.isascii() and len(UNSPACED_ONE.findall(unit)) >= UNSPACED_WORD * least
+    )
+
+
 def digests(text: str | None, min_words: int):
-    """(start, end, digest) of the units of a text that have enough words; equal spans once."""
+    """(start, end, digest) of the units of a text that are long enough."""
     import xxhash
 
     text = text or ""
-    for start, end in units(text):
-        words = text[start:end].lower().split()
-        if len(words) >= min_words:
+    for start, end, least in units(text, min_words):
+        unit = text[start:end].lower()
+        words = unit.split()
+        if long_enough(unit, words, least):
             yield start, end, xxhash.xxh3_128_digest(" ".join(words).encode())
 
 
@@ -115,24 +132,23 @@ def remove_repeats(
 ) -> DataFrame:
     """Every document with its text cut and ``removed_spans``, offsets into the original text in code points.
 
-    Units are equal if they agree in lower case with blanks squeezed; units of fewer than ``min_words``
-    words are never removed. Each row comes back, emptied ones as empty texts, null texts as null. The
+    Units are equal if they agree in lower case with blanks squeezed. Lines and sentences of fewer than
+    ``min_words`` words are never removed, nor are pieces of a sentence of fewer than twice as many; where
+    a script parts no words, two characters count as one. Each row comes back, emptied ones as empty texts, null texts as null. The
     first occurrence is that of the smallest id, then offset; rows without id come last. Rows equal in
     id and text are one document: what stays in one stays in all. An input column named like the spans
     gives way to them.
     """
     kept = [c for c in df.columns if c.lower() != spans]
-    later = later_occurrences(df, doc_id, text, min_words).select(
-        F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("spans").alias("__spans")
-    )
-    keyed = df.select(*kept, F.xxhash64(text).alias("__key"))
-    joined = keyed.join(
-        later, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")), "left"
-    ).select(*kept, "__spans")
+    key, their_id, their_key, found = (unused(df, name) for name in ("key", "their_id", "their_key", "found"))
+    later = later_occurrences(df, doc_id, text, min_words).toDF(their_id, their_key, found)
+    keyed = df.select(*kept, F.xxhash64(text).alias(key))
+    same = F.col(doc_id).eqNullSafe(F.col(their_id)) & (F.col(key) == F.col(their_key))
+    joined = keyed.join(later, same, "left").select(*kept, found)
 
     def cut(batches):
         for batch in slices(batches, 512):
-            column = batch.column("__spans")
+            column = batch.column(found)
             flat, offsets = column.flatten(), np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0))])
             starts, ends = (flat.field(k).to_pylist() for k in ("start", "end"))
             texts, removed = [], []
@@ -158,21 +174,27 @@ WITH lines AS (
     SELECT doc_id, text, i AS line_no, parts[i] AS line,
         coalesce(list_sum(list_transform(parts[:i - 1], lambda x: length(x) + 1)), 0)::BIGINT AS pos
     FROM (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents) t, unnest(range(1, len(parts) + 1)) u(i)),
-marked AS (
-    SELECT *, string_split(regexp_replace(regexp_replace(line, '({SENTENCE_END})', '\1' || chr(1), 'g'),
-        '(^|[^\x01])([ \t])([A-ZÀ-ÖØ-Þ])', '\1\2' || chr(1) || '\3', 'g'), chr(1)) AS cuts FROM lines),
-pieces AS (SELECT *, list_filter(cuts, lambda x: x <> '') AS parts FROM marked),
+sentences AS (
+    SELECT doc_id, text, line, pos, j AS sentence_no, cuts[j] AS sentence,
+        pos + coalesce(list_sum(list_transform(cuts[:j - 1], lambda x: length(x))), 0)::BIGINT AS since
+    FROM (SELECT *, list_filter(string_split(regexp_replace(line, '({SENTENCE_END})', '\1' || chr(1), 'g'), chr(1)),
+        lambda x: x <> '') AS cuts FROM lines) t, unnest(range(1, len(cuts) + 1)) u(j)),
+pieces AS (
+    SELECT doc_id, text, since + coalesce(list_sum(list_transform(cuts[:j - 1], lambda x: length(x))), 0)::BIGINT AS "start",
+        since + list_sum(list_transform(cuts[:j], lambda x: length(x)))::BIGINT AS "end"
+    FROM (SELECT *, list_filter(string_split(regexp_replace(sentence, '([ \t])([A-ZÀ-ÖØ-Þ])', '\1' || chr(1) || '\2', 'g'),
+        chr(1)), lambda x: x <> '') AS cuts FROM sentences) t, unnest(range(1, len(cuts) + 1)) u(j)),
 spans AS (
-    SELECT doc_id, text, pos AS "start", pos + length(line) AS "end" FROM pieces
-    UNION
-    SELECT doc_id, text, pos + coalesce(list_sum(list_transform(parts[:j - 1], lambda x: length(x))), 0)::BIGINT,
-        pos + list_sum(list_transform(parts[:j], lambda x: length(x)))::BIGINT
-    FROM pieces, unnest(range(1, len(parts) + 1)) u(j)),
+    SELECT doc_id, text, "start", "end", min(least) AS least FROM (
+        SELECT doc_id, text, pos AS "start", pos + length(line) AS "end", {MIN_WORDS} AS least FROM lines
+        UNION ALL SELECT doc_id, text, since, since + length(sentence), {MIN_WORDS} FROM sentences
+        UNION ALL SELECT doc_id, text, "start", "end", {PIECE * MIN_WORDS} FROM pieces) GROUP BY ALL),
 normal AS (
     SELECT *, trim(regexp_replace(lower(substr(text, "start" + 1, "end" - "start")), '\s+', ' ', 'g')) AS unit FROM spans),
 ranked AS (
     SELECT *, row_number() OVER (PARTITION BY unit ORDER BY doc_id, "start", "end") AS place FROM normal
-    WHERE len(string_split(unit, ' ')) >= {MIN_WORDS}),
+    WHERE (unit <> '' AND len(string_split(unit, ' ')) >= least)
+        OR length(regexp_replace(unit, '{UNSPACED.replace('[', '[^')}', '', 'g')) >= {UNSPACED_WORD} * least),
 later AS (SELECT doc_id, "start", "end" FROM ranked WHERE place > 1),
 grown AS (
     SELECT *, max("end") OVER (PARTITION BY doc_id ORDER BY "start", "end"

@@ -63,6 +63,17 @@ def test_awkward_tables(spark):
     assert mixing.mix(df.where("source = 'a'")).count() >= 0
 
 
+def test_clashing_names(spark):
+    rows = [(i, "xx" * (i % 7 + 1), "ab"[i % 2]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    names = ("draws", "cdf", "n", "their_source", "size", "rate", "__source", "__n")
+    extra = df.withColumns({name: F.lit(f"own {name}") for name in names})
+    got = mixing.mix(extra, budget=2.0).collect()
+    plain = mixing.mix(df, budget=2.0).collect()
+    assert sorted((r["doc_id"], r["copy"]) for r in got) == sorted((r["doc_id"], r["copy"]) for r in plain)
+    assert all(r[name] == f"own {name}" for r in got for name in names)
+
+
 def test_query_equals_sql(spark, sf_dir):
     n, problems, *_ = compare(
         spark, connect(sf_dir), queries.QUERIES["op3_poisson_mix"], queries.ORACLES["op3_poisson_mix"], sf_dir

@@ -5,7 +5,9 @@ with that language. Parsing a document greedily into such matches costs few phra
 language and many in others; the language that needs the fewest, after normalisation, wins.
 
 All documents of a batch are parsed at once: each is cut into stretches, every stretch and language is
-a lane, and one numpy step moves every lane by one character through its automaton's dense table.
+a lane, and one numpy step moves every lane by one character through the automata. Their transitions
+are kept in a hash table of (state, symbol): a text of n characters has under 3n of them, however many
+symbols there are.
 """
 
 import math
@@ -30,12 +32,12 @@ def letters(text: str | None) -> str:
 
 
 class Automaton:
-    """Suffix automaton of one text: ``links[s, c]`` is the state after reading symbol c in state s, or 0.
+    """Suffix automaton of one text: reading ``symbol[i]`` in state ``begin[i]`` leads to ``to[i]``.
 
     State 0 is the start. It cannot be reached by reading, so 0 can stand for "no longer match".
     """
 
-    def __init__(self, symbols: np.ndarray, n_symbols: int):
+    def __init__(self, symbols: np.ndarray):
         follow, length, link = [{}], [0], [-1]
         last = 0
         for c in symbols.tolist():
@@ -61,10 +63,48 @@ class Automaton:
                         p = link[p]
                     link[q] = link[new] = copy
             last = new
-        self.links = np.zeros((len(follow), n_symbols), np.int32)
-        for state, edges in enumerate(follow):
-            for c, to in edges.items():
-                self.links[state, c] = to
+        self.n_states = len(follow)
+        self.begin = np.repeat(np.arange(len(follow), dtype=np.int64), [len(edges) for edges in follow])
+        self.symbol = np.array([c for edges in follow for c in edges], np.int64)
+        self.to = np.array([to for edges in follow for to in edges.values()], np.int64)
+
+
+class Transitions:
+    """A fixed map from non-negative 64-bit keys to positive 32-bit numbers; 0 for any other key.
+
+    Open addressing with linear probing, at most a quarter full, filled and asked by whole arrays.
+    """
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        size = 1 << max(4, int(4 * len(keys) - 1).bit_length())
+        self.shift = np.uint64(64 - (size.bit_length() - 1))
+        self.mask = size - 1
+        self.keys = np.full(size, -1, np.int64)
+        self.values = np.zeros(size, np.int32)
+        place = self._places(keys)
+        while len(keys):
+            free = self.keys[place] < 0
+            self.keys[place[free]] = keys[free]  # of several that want one place the last has it
+            won = self.keys[place] == keys
+            self.values[place[won]] = values[won]
+            keys, values, place = keys[~won], values[~won], (place[~won] + 1) & self.mask
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        asked = keys.ravel()
+        place = self._places(asked)
+        held = self.keys[place]
+        out = np.where(held == asked, self.values[place], 0)
+        open_ = np.flatnonzero((held != asked) & (held >= 0))
+        while len(open_):
+            place[open_] = (place[open_] + 1) & self.mask
+            held = self.keys[place[open_]]
+            hit = held == asked[open_]
+            out[open_[hit]] = self.values[place[open_[hit]]]
+            open_ = open_[~hit & (held >= 0)]
+        return out.reshape(keys.shape)
 
 
 class Model:
@@ -74,19 +114,19 @@ class Model:
         self.languages = sorted(samples)
         known = sorted({c for text in samples.values() for c in text})
         self.codes = {c: i + 1 for i, c in enumerate(known)}
-        n = len(known) + 1
+        self.width = len(known) + 1
         self.lookup = np.zeros(max(map(ord, known), default=0) + 1, np.int32)
         for c, i in self.codes.items():
             self.lookup[ord(c)] = i
-        tables, starts, at = [], [], 0
+        keys, values, starts, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], 0
         for language in self.languages:
-            automaton = Automaton(self.encode(samples[language]), n)
-            tables.append(np.where(automaton.links > 0, automaton.links + at, 0))
+            automaton = Automaton(self.encode(samples[language]))
+            keys.append((automaton.begin + at) * self.width + automaton.symbol)
+            values.append(automaton.to + at)
             starts.append(at)
-            at += len(automaton.links)
-        self.width = n
-        self.table = (np.concatenate(tables) if tables else np.zeros((1, n))).astype(np.int32).ravel()
-        self.starts = np.array(starts, np.int32)
+            at += automaton.n_states
+        self.follow = Transitions(np.concatenate(keys), np.concatenate(values))
+        self.starts = np.array(starts, np.int64)
         # Phrases per character are compared in bits: a phrase points into a text of the sample's size.
         self.bits = np.array([math.log2(max(2, len(samples[x]))) for x in self.languages])
 
@@ -115,12 +155,12 @@ class Model:
             n = alive[k]
             c = symbols[begin[:n] + k][:, None]
             here = state[:n]
-            to = self.table[here * self.width + c]
+            to = self.follow[here * self.width + c].astype(np.int64)
             stuck = np.flatnonzero(to.ravel() == 0)
             if len(stuck):  # the phrase ends before this character, and the next one starts with it
                 row, language = np.divmod(stuck, to.shape[1])
                 start_there = self.starts[language]
-                again = self.table[start_there * self.width + c[row, 0]]
+                again = self.follow[start_there * self.width + c[row, 0]]
                 # A character the language does not have at all is a phrase by itself.
                 counts[row, language] += (here[row, language] != start_there).astype(int) + (again == 0)
                 to[row, language] = np.where(again > 0, again, start_there)
@@ -194,7 +234,7 @@ def identify(
     first by name; every row is judged by itself. Input columns named like an output give way to it.
     """
     spark = docs.sparkSession
-    # Bounded by languages x sample_chars x alphabet.
+    # Bounded by languages x sample_chars: under 300 bytes a character, whatever the alphabet.
     shared = spark.sparkContext.broadcast(model)
 
     def predict(batches):

@@ -1,7 +1,10 @@
+import pickle
 import re
 import zlib
 
+import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from askgauge.llm import crossparse, queries
@@ -32,6 +35,48 @@ def test_phrases_equal_brute_force():
         assert row == [brute_phrases(text, SAMPLES[x]) for x in model.languages]
 
 
+@given(st.dictionaries(st.sampled_from("xyz"), st.text("abcde ", min_size=1, max_size=60), min_size=1), st.lists(st.text("abcdef ", max_size=40), max_size=4))
+@settings(max_examples=60, deadline=None)
+def test_phrases_of_any_text(samples, texts):
+    model = crossparse.Model(samples)
+    want = [[brute_phrases(t, samples[x]) for x in model.languages] for t in texts]
+    assert model.phrases(texts).tolist() == want
+
+
+def test_transitions_are_a_map():
+    numbers = np.random.default_rng(3)
+    keys = np.unique(numbers.integers(0, 10**12, 20_000))
+    values = numbers.integers(1, 10**6, len(keys))
+    table = crossparse.Transitions(keys, values)
+    assert (table[keys] == values).all() and (table[keys[:100].reshape(10, 10)] == values[:100].reshape(10, 10)).all()
+    others = np.setdiff1d(numbers.integers(0, 10**12, 20_000), keys)
+    assert not table[others].any()
+    assert not crossparse.Transitions(keys[:0], values[:0])[keys].any()
+
+
+def test_large_alphabets_stay_small():
+    """Three languages of 5,000 symbols each: the size follows the characters, not the alphabet."""
+    numbers = np.random.default_rng(5)
+    samples = {f"l{k}": "".join(map(chr, numbers.integers(0x4E00, 0x4E00 + 5000, 24_000))) for k in range(3)}
+    model = crossparse.Model(samples)
+    assert model.width > 4900 and len(pickle.dumps(model)) < 300 * 3 * 24_000
+    texts = [samples[x][k : k + 200] for k, x in enumerate(model.languages)]
+    assert model.predict(texts)[0] == model.languages
+
+
+def test_forced_ends_do_not_decide(spark, sf_dir, monkeypatch):
+    """Parses cut every STRETCH characters name the same languages as parses that are hardly ever cut."""
+    where = sf_dir.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{where}/documents.parquet").select("doc_id", "text", "lang")
+    model = crossparse.fit(docs.where("doc_id % 4 <> 2"))
+    texts = [r["text"] for r in docs.where("doc_id % 4 = 2").collect()]
+    cut = model.predict(texts)
+    monkeypatch.setattr(crossparse, "STRETCH", 8192)
+    whole = model.predict(texts)
+    assert cut[0] == whole[0]
+    assert max(abs(a - b) for a, b in zip(cut[1], whole[1])) < 0.05
+
+
 def test_prediction():
     model = crossparse.Model({k: SAMPLES[k] for k in ("xx", "yy")})
     languages, scores = model.predict(["The cat, the mat!", "le tapis", None, "123 ...", ""])

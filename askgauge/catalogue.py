@@ -402,6 +402,34 @@ def grade_stream_watermarked(spark, sf_dir):
     return _streamed(spark, sf_dir, "20000 days")
 
 
+@query
+def grade_stream_expiring(spark, sf_dir):
+    """Accepted responses per year, and those too late to be judged, with a state that forgets after 30 days.
+
+    The responses arrive in two halves, then all of the first half once more, each as it was and again
+    dated 20 years later. By then the old pairs are forgotten: as they were they are too late, and what
+    carries a new date is accepted again.
+    """
+    base = scratch(spark)
+    derived.responses(spark, sf_dir).write.parquet(f"{base}/all")
+    sent = spark.read.parquet(f"{base}/all")
+    old = F.col("created_at") < derived.MID_PERIOD
+    year = F.substring("created_at", 1, 4).cast("int")
+    again = F.concat((year + 20).cast("string"), F.substring("created_at", 5, 15))
+    parts = [sent.where(old), sent.where(~old), sent.where(old).unionByName(sent.where(old).withColumn("created_at", again))]
+    late = 0
+    with grading.StateLog(spark) as log:
+        for part in parts:  # every run goes on where the last one stopped
+            files.append_responses(part, f"{base}/responses")
+            stream = grading.start_grading(spark, f"{base}/responses", f"{base}/graded", f"{base}/progress", "30 days")
+            stream.awaitTermination()
+            late += sum(b.n_late for b in log.of(stream))
+    graded = spark.read.parquet(f"{base}/graded")
+    accepted = graded.groupBy(F.year("created_at").alias("year")).agg(F.count("*").alias("n"))
+    dropped = spark.range(1).select(F.lit(None).cast("int").alias("year"), F.lit(late).cast("bigint").alias("n"))
+    return accepted.unionByName(dropped)
+
+
 def _streamed(spark, sf_dir, watermark=None):
     base = scratch(spark)
     files.append_responses(derived.responses(spark, sf_dir), f"{base}/responses")

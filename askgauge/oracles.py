@@ -933,6 +933,15 @@ ORDER BY run_id, question_id LIMIT 5""",
     "grade_responses": oracle("SELECT * FROM graded", "graded"),
     "grade_stream": oracle("SELECT * FROM graded", "graded"),
     "grade_stream_watermarked": oracle("SELECT * FROM graded", "graded"),
+    # A watermark drops what is older than the newest response less the delay; all of the first half is.
+    "grade_stream_expiring": oracle(
+        """SELECT year::INT AS year, count(*) AS n FROM (
+  SELECT year(created_at) AS year FROM graded
+  UNION ALL SELECT year(created_at) + 20 FROM graded WHERE created_at < TIMESTAMP '1995-01-01') GROUP BY 1
+UNION ALL SELECT NULL, count(*) FROM graded WHERE created_at < TIMESTAMP '1995-01-01'
+  AND created_at < (SELECT max(created_at) FROM graded) - INTERVAL 30 DAY""",
+        "graded",
+    ),
     "lenient_letters": oracle(LENIENT, "chatty"),
     "enriched": oracle("SELECT * FROM enr", "enr"),
     "answer_option_table": oracle(

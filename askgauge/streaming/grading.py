@@ -1,11 +1,17 @@
 """Grading response files as they arrive.
 
 Grading is row-wise, so the batch function runs unchanged on a stream and the order of arrival has no
-influence. The only state is the set of (run, question) pairs already seen.
+influence. The only state is the set of (run, question) pairs already seen. With a watermark that set is
+bounded by what arrives within the delay; ``StateLog`` tells what it holds, what it forgot and how many
+rows came too late to be judged against it.
 """
 
+import threading
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from askgauge.operators.scoring import grade_responses
 from askgauge.operators.staging import stage_responses
@@ -38,6 +44,66 @@ def grade_stream(responses: DataFrame, watermark: str | None = None) -> DataFram
     return grade_responses(unique.drop("_event_time"))
 
 
+@dataclass(frozen=True)
+class BatchState:
+    """What one micro-batch read, dropped as too late, holds in its state and cleared from it."""
+
+    run_id: str
+    batch: int
+    n_rows: int
+    n_late: int
+    n_held: int
+    n_forgotten: int
+    watermark: str | None
+
+
+class StateLog(StreamingQueryListener):
+    """The state of every micro-batch that runs while this is open.
+
+    ``with StateLog(spark) as log:`` listens to all queries of the session; ``of(query)`` waits until
+    the reports of a finished query are in, since they arrive after it has ended. A batch that only
+    clears state has no rows. Late rows are counted where they are dropped, so a batch that was repeated
+    after a failure counts them once per successful run.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.batches = spark, []
+        self._ended, self._news = set(), threading.Condition()
+
+    def __enter__(self) -> "StateLog":
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def of(self, query: StreamingQuery, seconds: float = 60) -> list[BatchState]:
+        """All batches of a query that has ended; ``TimeoutError`` if its end is not reported in time."""
+        run = str(query.runId)
+        with self._news:
+            if not self._news.wait_for(lambda: run in self._ended, seconds):
+                raise TimeoutError(f"the end of {run} was not reported in {seconds} s")
+            return [b for b in self.batches if b.run_id == run]
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p, states = event.progress, event.progress.stateOperators
+        late, held, gone = (
+            sum(getattr(s, name) for s in states)
+            for name in ("numRowsDroppedByWatermark", "numRowsTotal", "numRowsRemoved")
+        )
+        made = BatchState(str(p.runId), p.batchId, p.numInputRows, late, held, gone, dict(p.eventTime).get("watermark"))
+        with self._news:
+            self.batches.append(made)
+
+    def onQueryTerminated(self, event) -> None:
+        with self._news:
+            self._ended.add(str(event.runId))
+            self._news.notify_all()
+
+
 def start_grading(
     spark: SparkSession,
     source: str,

@@ -15,7 +15,7 @@ from askgauge.oracles import ORACLES
 from askgauge.plans import marts, publish, reports, warehouse
 from askgauge.schemas import CLEAN_QUESTIONS, DIFFICULTY_LEVELS
 from askgauge.sources import derived, files
-from askgauge.streaming import follow_up, grading, tables
+from askgauge.streaming import follow_up, grading, pairs, tables
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -459,6 +459,20 @@ for _name in ("leaderboard", "question_insights", "temperature_effect", "prompt_
     QUERIES[f"followed_{_name}"] = _followed(_name)
 
 
+@query
+def paired_temperature_effect(spark, sf_dir):
+    """Cold and hot answers joined as two streams; the hot ones arrive first, and the period is waited for."""
+    base = scratch(spark)
+    derived.enriched_responses(spark, sf_dir).write.parquet(f"{base}/all")
+    answers = spark.read.parquet(f"{base}/all")
+    for part in ("temperature > 0", "temperature = 0"):
+        answers.where(part).write.mode("append").parquet(f"{base}/answers")
+        cold, hot = (spark.readStream.schema(answers.schema).parquet(f"{base}/answers") for _ in range(2))
+        paired = pairs.pair_stream(cold, hot, "20000 days", "20000 days")
+        pairs.start_pairing(paired, f"{base}/pairs", f"{base}/progress").awaitTermination()
+    return pairs.paired_effect(spark, f"{base}/pairs")
+
+
 # --- Evaluation tables ---
 
 

@@ -939,7 +939,7 @@ ORDER BY run_id, question_id LIMIT 5""",
   SELECT year(created_at) AS year FROM graded
   UNION ALL SELECT year(created_at) + 20 FROM graded WHERE created_at < TIMESTAMP '1995-01-01') GROUP BY 1
 UNION ALL SELECT NULL, count(*) FROM graded WHERE created_at < TIMESTAMP '1995-01-01'
-  AND created_at < (SELECT max(created_at) FROM graded) - INTERVAL 30 DAY""",
+  AND created_at <= (SELECT max(created_at) FROM graded) - INTERVAL 30 DAY""",
         "graded",
     ),
     "lenient_letters": oracle(LENIENT, "chatty"),
@@ -957,6 +957,7 @@ for _name in [name for name in BLOCKS if name.startswith("mart_")]:
     ORACLES[_name.removeprefix("mart_")] = oracle(f"SELECT * FROM {_name}", _name)
 for _name in ("leaderboard", "question_insights", "temperature_effect", "prompt_format"):
     ORACLES[f"followed_{_name}"] = ORACLES[_name]
+ORACLES["paired_temperature_effect"] = ORACLES["temperature_effect"]
 _marts = [name for name in BLOCKS if name.startswith("mart_")]
 ORACLES["built_tables"] = oracle(
     " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n_rows FROM {name}" for name in _marts), *_marts

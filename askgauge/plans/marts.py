@@ -459,13 +459,23 @@ def temperature_effect_of(answers: DataFrame, with_grouping_id: bool = False) ->
             F.sum((F.col("n") - F.col("n_correct")) * F.col("hot_correct")).alias("gained"),
         )
     )
+    return temperature_rates(weighted, with_grouping_id)
 
+
+PAIR_SUMS = ("pairs", "cold_right", "hot_right", "cold_valid", "hot_valid", "same", "lost", "gained")
+
+
+def temperature_rates(counted: DataFrame, with_grouping_id: bool = False) -> DataFrame:
+    """``temperature_effect`` from pairs counted per model and difficulty: ``PAIR_SUMS``, ``cold_t`` and ``hot_t``.
+
+    Several rows of one model and difficulty add up, so counts of parts may be unioned.
+    """
     model = [F.col(c) for c in ("model_key", "model_name", "model_params_b")]
     level = [F.col("difficulty"), F.col("difficulty_level")]
-    totals = weighted.groupingSets([model + level, model], *model, *level).agg(
+    totals = counted.groupingSets([model + level, model], *model, *level).agg(
         F.min("cold_t").alias("temperature_cold"),
         F.min("hot_t").alias("temperature_hot"),
-        *_sums("pairs", "cold_right", "hot_right", "cold_valid", "hot_valid", "same", "lost", "gained"),
+        *_sums(*PAIR_SUMS),
         F.grouping("difficulty").cast("int").alias("grouping_id"),
     )
     pairs = F.col("pairs")

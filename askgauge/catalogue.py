@@ -13,7 +13,7 @@ from askgauge.operators.scoring import lenient_letter
 from askgauge.operators.search import TextIndex
 from askgauge.oracles import ORACLES
 from askgauge.plans import marts, publish, reports, warehouse
-from askgauge.schemas import CLEAN_QUESTIONS, DIFFICULTY_LEVELS
+from askgauge.schemas import CLEAN_QUESTIONS, DIFFICULTY_LEVELS, ENRICHED_COLUMNS
 from askgauge.sources import derived, files
 from askgauge.streaming import follow_up, grading, pairs, tables
 
@@ -177,6 +177,35 @@ def built_leaderboard(spark, sf_dir):
     return warehouse.load_mart(spark, "mart_leaderboard", _built(spark, sf_dir))
 
 
+def _bucketed(spark, sf_dir):
+    """Silver tables bucketed by question, in a database of their own; its name."""
+    silver = f"buckets_{uuid.uuid4().hex}"
+    n = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    questions = derived.questions(spark, sf_dir).drop("seq")
+    warehouse.build_silver(spark, questions, derived.responses(spark, sf_dir), silver, buckets=n)
+    return silver
+
+
+@query
+def bucketed_enriched(spark, sf_dir):
+    """Grades joined to their questions from tables bucketed by question."""
+    return warehouse.columns_of(spark.table(f"{_bucketed(spark, sf_dir)}.int_responses_enriched"), ENRICHED_COLUMNS)
+
+
+@query
+def bucketed_question_insights(spark, sf_dir):
+    return marts.question_insights(spark.table(f"{_bucketed(spark, sf_dir)}.int_responses_enriched"))
+
+
+@query
+def bucketed_resume(spark, sf_dir):
+    """Work not answered yet, from the answered pairs bucketed by run and question."""
+    answered = spark.table(f"{_bucketed(spark, sf_dir)}.int_answered_pairs")
+    questions = derived.questions(spark, sf_dir).select("question_id")
+    runs = derived.run_config(spark, sf_dir).select("run_id", "sample_seed")
+    return prompting.remaining_work(prompting.work_list(runs, questions), answered)
+
+
 @query
 def published_leaderboard(spark, sf_dir):
     """All layers built as a version of their own, published, and one table loaded from the snapshot."""

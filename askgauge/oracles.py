@@ -958,6 +958,9 @@ for _name in [name for name in BLOCKS if name.startswith("mart_")]:
 for _name in ("leaderboard", "question_insights", "temperature_effect", "prompt_format"):
     ORACLES[f"followed_{_name}"] = ORACLES[_name]
 ORACLES["paired_temperature_effect"] = ORACLES["temperature_effect"]
+ORACLES["bucketed_enriched"] = ORACLES["enriched"]
+ORACLES["bucketed_question_insights"] = ORACLES["question_insights"]
+ORACLES["bucketed_resume"] = ORACLES["resume_work_list"]
 _marts = [name for name in BLOCKS if name.startswith("mart_")]
 ORACLES["built_tables"] = oracle(
     " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n_rows FROM {name}" for name in _marts), *_marts

@@ -5,6 +5,7 @@ is recomputed from that table, so a lost executor costs its tasks and nothing el
 """
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -46,18 +47,48 @@ class MartMissing(LookupError):
     """A gold table is not in the catalog; build it first."""
 
 
-def save(df: DataFrame, table: str, partition_by=()) -> None:
-    """Write a table; rows of a partitioned one are first brought together by partition.
+@dataclass(frozen=True)
+class Buckets:
+    """Rows of one key kept together in ``n`` buckets by the hash of ``keys``, sorted within each file.
+
+    Joins and aggregates on the keys then need no shuffle of the table. ``n`` should be no less than the
+    session's shuffle partitions: with fewer, Spark shuffles again to use more tasks.
+    """
+
+    n: int
+    keys: tuple[str, ...] = ("question_id",)
+
+
+MOST_UNEVEN = 4.0
+
+
+def evenly(rows: DataFrame, buckets: Buckets, most: float = MOST_UNEVEN) -> bool:
+    """Whether no bucket would hold over ``most`` times the mean of all.
+
+    A bucket is read by one task, and what is not shuffled adaptive execution cannot split, so a table
+    with a dominant key is better left without buckets. Reads the keys only; counts one row per bucket.
+    """
+    bucket = F.pmod(F.hash(*buckets.keys), F.lit(buckets.n))
+    sizes = rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    return total is None or largest * buckets.n <= most * total
+
+
+def save(df: DataFrame, table: str, partition_by=(), buckets: Buckets | None = None) -> None:
+    """Write a table; rows of a partitioned or bucketed one are first brought together.
 
     Rebalancing splits a large partition over several tasks and keeps tasks from writing a small file
-    into each. Partition columns come last in the table: ``columns_of`` gives the documented order.
+    into each. With buckets every task writes one bucket, a file per partition. Partition columns come
+    last in the table: ``columns_of`` gives the documented order.
     """
-    if partition_by:
-        df.hint("rebalance", *partition_by).write.mode("overwrite").format("parquet").partitionBy(
-            *partition_by
-        ).saveAsTable(table)
-    else:
-        df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    if buckets is not None:
+        df = df.repartition(buckets.n, *buckets.keys)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode("overwrite").format("parquet").partitionBy(*partition_by)
+    if buckets is not None:
+        writer = writer.bucketBy(buckets.n, *buckets.keys).sortBy(*buckets.keys)
+    writer.saveAsTable(table)
 
 
 def columns_of(table: DataFrame, columns) -> DataFrame:
@@ -102,6 +133,47 @@ def build_accepted_questions(raw: DataFrame, path: str, spark: SparkSession) ->
     return accepted_rows(silver), report.unionByName(whole)
 
 
+def build_silver(
+    spark: SparkSession,
+    questions: DataFrame,
+    responses: DataFrame | None,
+    silver: str = SILVER,
+    partition_by=("label_style", "temperature"),
+    graded: DataFrame | None = None,
+    buckets: int | None = None,
+) -> list[str]:
+    """Stage, grade and join; returns the tables written, the joined one last.
+
+    With ``buckets``, questions, grades and joined responses are bucketed by question, and the pairs
+    answered by (run, question), each pair once: joining grades to questions, counting per question and
+    ``remaining_work`` then shuffle no responses. A table whose rows would fill its buckets unevenly is
+    written without them.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {silver}")
+    stage_questions(questions).createOrReplaceTempView("stg_questions")
+    staged = spark.table("stg_questions")
+    if graded is None:
+        stage_responses(responses).createOrReplaceTempView("stg_ai_responses")
+        graded = grade_responses(spark.table("stg_ai_responses"))
+    scored, enriched, written = f"{silver}.int_ai_responses_scored", f"{silver}.int_responses_enriched", []
+    by_question = None
+    if buckets is not None:
+        wanted = Buckets(buckets)
+        by_question = wanted if evenly(graded, wanted) else None
+        pairs = Buckets(buckets, ("run_id", "question_id"))
+        answered = graded.select(*pairs.keys).distinct()
+        save(answered, f"{silver}.int_answered_pairs", buckets=pairs if evenly(answered, pairs) else None)
+        written.append(f"{silver}.int_answered_pairs")
+    if by_question is not None:
+        save(staged, f"{silver}.int_questions", buckets=by_question)
+        staged = spark.table(f"{silver}.int_questions")
+        written.append(f"{silver}.int_questions")
+    save(columns_of(graded, GRADED_COLUMNS), scored, partition_by, by_question)
+    joined = enrich_responses(columns_of(spark.table(scored), GRADED_COLUMNS), staged)
+    save(joined, enriched, partition_by, by_question)
+    return [*written, scored, enriched]
+
+
 def build(
     spark: SparkSession,
     questions: DataFrame,
@@ -111,26 +183,19 @@ def build(
     partition_by=("label_style", "temperature"),
     parallel: int = 4,
     graded: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> list[str]:
     """Stage, grade, join and aggregate; returns the tables written.
 
     ``graded`` are responses graded before, such as the output of the stream; ``responses`` may then
     be None. Staging is two temporary views. The silver tables are partitioned by label style and
-    temperature, the two columns the tables above filter on. The tables above do not depend on each
-    other, so ``parallel`` of them are submitted at a time and the cluster fills the tail of one with
-    the start of the next.
+    temperature, the two columns the tables above filter on, and on demand bucketed, see
+    ``build_silver``. The tables above do not depend on each other, so ``parallel`` of them are
+    submitted at a time and the cluster fills the tail of one with the start of the next.
     """
-    for layer in (silver, gold):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-    stage_questions(questions).createOrReplaceTempView("stg_questions")
-    staged = spark.table("stg_questions")
-    if graded is None:
-        stage_responses(responses).createOrReplaceTempView("stg_ai_responses")
-        graded = grade_responses(spark.table("stg_ai_responses"))
-    scored = f"{silver}.int_ai_responses_scored"
-    save(columns_of(graded, GRADED_COLUMNS), scored, partition_by)
-    enriched = f"{silver}.int_responses_enriched"
-    save(enrich_responses(columns_of(spark.table(scored), GRADED_COLUMNS), staged), enriched, partition_by)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {gold}")
+    written = build_silver(spark, questions, responses, silver, partition_by, graded, buckets)
+    staged, enriched = spark.table("stg_questions"), written[-1]
 
     source = columns_of(spark.table(enriched), ENRICHED_COLUMNS)
     # Five of the tables need counts only: the responses are reduced once for all of them.
@@ -149,7 +214,7 @@ def build(
     above[f"{gold}.mart_leaderboard"] = lambda: leaderboard_of(run_buckets(times), times)
     with ThreadPoolExecutor(parallel) as pool:
         list(pool.map(lambda item: save(item[1](), item[0]), above.items()))
-    return [scored, enriched, counted, timed, *above]
+    return [*written, counted, timed, *above]
 
 
 def available_marts(spark: SparkSession, gold: str = GOLD) -> set[str]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from askgauge.operators.cleaning import derive_attributes
 from askgauge.operators.enrich import enrich_responses
-from askgauge.operators.prompting import render_prompts
+from askgauge.operators.prompting import build_choices, render_prompts
 from askgauge.operators.scoring import grade_responses
 from askgauge.operators.staging import stage_questions, stage_responses
 from askgauge.schemas import API_QUESTION, CLEAN_QUESTIONS, RAW_QUESTIONS, RESPONSES, RUN_CONFIG
@@ -145,6 +145,9 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     Line items of the same run and part are attempts at the same question. The first keeps the name of
     its run; the others are runs of their own, named after their number, so that run and question stay
     a key. A part has few attempts per run, so the window holds little whatever the table's size.
+
+    The line items move once, by part: the window, the join to the questions and whatever counts per
+    question find them together. Options are put in order per question, before the join.
     """
     line_order = (
         "l_orderkey",
@@ -155,7 +158,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag",
         "l_shipdate",
     )
-    attempt = F.row_number().over(Window.partitionBy("m", "p", "l_partkey").orderBy(*line_order))
+    attempt = F.row_number().over(Window.partitionBy("l_partkey", "m", "p").orderBy(*line_order))
     lines = (
         table(spark, sf_dir, "lineitem")
         .select(
@@ -164,11 +167,13 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("l_suppkey") % N_MODELS).cast("int").alias("m"),
             (F.col("l_linenumber") % len(PROMPT_VERSIONS)).cast("int").alias("p"),
         )
+        .repartition("l_partkey")
         .withColumn("place", attempt)
         .withColumn("run_order", F.col("m") * len(PROMPT_VERSIONS) + F.col("p") + 1)
     )
+    choices = build_choices(F.col("question_id"), F.col("type"), F.col("correct_answer"), F.col("incorrect_answers"))
     asked = (
-        lines.join(questions(spark, sf_dir), F.col("l_partkey") == F.col("seq"))
+        lines.join(questions(spark, sf_dir).withColumn("choices", choices), F.col("l_partkey") == F.col("seq"))
         # At most 16 runs exist by construction (4 x 4 remainders), so this side is always small.
         .join(F.broadcast(run_config(spark, sf_dir)), "run_order")
     )

@@ -177,10 +177,14 @@ def built_leaderboard(spark, sf_dir):
     return warehouse.load_mart(spark, "mart_leaderboard", _built(spark, sf_dir))
 
 
+def _buckets(spark):
+    """A database of its own for bucketed tables, and their number of buckets."""
+    return f"buckets_{uuid.uuid4().hex}", max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _bucketed(spark, sf_dir):
     """Silver tables bucketed by question, in a database of their own; its name."""
-    silver = f"buckets_{uuid.uuid4().hex}"
-    n = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    silver, n = _buckets(spark)
     questions = derived.questions(spark, sf_dir).drop("seq")
     warehouse.build_silver(spark, questions, derived.responses(spark, sf_dir), silver, buckets=n)
     return silver
@@ -199,8 +203,12 @@ def bucketed_question_insights(spark, sf_dir):
 
 @query
 def bucketed_resume(spark, sf_dir):
-    """Work not answered yet, from the answered pairs bucketed by run and question."""
-    answered = spark.table(f"{_bucketed(spark, sf_dir)}.int_answered_pairs")
+    """Work not answered yet, from the answered pairs bucketed by run and question.
+
+    Of the silver tables only the pairs are built: no answer is graded for a work list.
+    """
+    silver, n = _buckets(spark)
+    answered = spark.table(warehouse.build_answered_pairs(spark, derived.responses(spark, sf_dir), silver, n))
     questions = derived.questions(spark, sf_dir).select("question_id")
     runs = derived.run_config(spark, sf_dir).select("run_id", "sample_seed")
     return prompting.remaining_work(prompting.work_list(runs, questions), answered)

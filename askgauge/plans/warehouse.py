@@ -133,6 +133,17 @@ def build_accepted_questions(raw: DataFrame, path: str, spark: SparkSession) ->
     return accepted_rows(silver), report.unionByName(whole)
 
 
+def build_answered_pairs(spark: SparkSession, answered: DataFrame, silver: str, buckets: int) -> str:
+    """The (run, question) pairs answered, each once, bucketed by both; returns the table's name.
+
+    Only those two columns of ``answered`` are read. As every pair is there once, no key can fill a bucket.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {silver}")
+    pairs, table = Buckets(buckets, ("run_id", "question_id")), f"{silver}.int_answered_pairs"
+    save(answered.select(*pairs.keys).distinct(), table, buckets=pairs)
+    return table
+
+
 def build_silver(
     spark: SparkSession,
     questions: DataFrame,
@@ -160,15 +171,14 @@ def build_silver(
     if buckets is not None:
         wanted = Buckets(buckets)
         by_question = wanted if evenly(graded, wanted) else None
-        pairs = Buckets(buckets, ("run_id", "question_id"))
-        answered = graded.select(*pairs.keys).distinct()
-        save(answered, f"{silver}.int_answered_pairs", buckets=pairs if evenly(answered, pairs) else None)
-        written.append(f"{silver}.int_answered_pairs")
     if by_question is not None:
         save(staged, f"{silver}.int_questions", buckets=by_question)
         staged = spark.table(f"{silver}.int_questions")
         written.append(f"{silver}.int_questions")
     save(columns_of(graded, GRADED_COLUMNS), scored, partition_by, by_question)
+    if buckets is not None:
+        # From the table just written: the responses are not graded again for two columns.
+        written.insert(0, build_answered_pairs(spark, spark.table(scored), silver, buckets))
     joined = enrich_responses(columns_of(spark.table(scored), GRADED_COLUMNS), staged)
     save(joined, enriched, partition_by, by_question)
     return [*written, scored, enriched]

@@ -17,6 +17,18 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def databases(spark):
+    return {d.name for d in spark.catalog.listDatabases()}
+
+
+def test_a_work_list_builds_the_answered_pairs_only(spark, sf_dir):
+    before = databases(spark)
+    left = QUERIES["bucketed_resume"](spark, sf_dir)
+    (made,) = databases(spark) - before
+    assert [t.name for t in spark.catalog.listTables(made) if not t.isTemporary] == ["int_answered_pairs"]
+    assert left.count() == QUERIES["resume_work_list"](spark, sf_dir).count() > 0
+
+
 def test_the_filter_on_grades_does_not_grade_again(spark, sf_dir):
     shown = QUERIES["invalid_examples"](spark, sf_dir)
     assert not [line for line in plan_of(shown).split("\n") if "Filter" in line and "regexp" in line]

@@ -380,15 +380,14 @@ def followed_trials(spark, sf_dir):
     answers = spark.read.parquet(f"{base}/all")
     derived.trial_work(answers).write.parquet(f"{base}/work")
     early = F.year("created_at") < 1995
-    for part in (answers.where(early), answers.where(~early)):
-        part.coalesce(1).write.mode("append").parquet(f"{base}/answers")
     # An answer of another run, much later, moves the clock past every silence.
     later = answers.limit(1).withColumns({"run_id": F.lit("later"), "created_at": F.to_timestamp_ntz(F.lit("2100-01-01"))})
-    later.write.mode("append").parquet(f"{base}/answers")
-    stream = spark.readStream.schema(answers.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/answers")
     work = spark.read.parquet(f"{base}/work")
     options = {"silence": "1 day", "delay": "20000 days"}
-    follow_up.start_following(spark, stream, work, f"{base}/reports", f"{base}/progress", **options).awaitTermination()
+    for part in (answers.where(early), answers.where(~early), later):  # every run goes on where the last one stopped
+        part.write.mode("append").parquet(f"{base}/answers")
+        stream = spark.readStream.schema(answers.schema).parquet(f"{base}/answers")
+        follow_up.start_following(spark, stream, work, f"{base}/reports", f"{base}/progress", **options).awaitTermination()
     return follow_up.latest_reports(spark.read.parquet(f"{base}/reports"))
 
 
@@ -482,10 +481,13 @@ def _followed(name):
     def build(spark, sf_dir):
         """Response files counted batch by batch, one batch a second time; the table from stored counts."""
         base = scratch(spark)
-        files.append_responses(derived.responses(spark, sf_dir).repartition(3, "question_id"), f"{base}/responses")
+        files.append_responses(derived.responses(spark, sf_dir), f"{base}/responses")
         derived.staged_questions(spark, sf_dir).write.parquet(f"{base}/questions")
         questions, store = spark.read.parquet(f"{base}/questions"), tables.CountStore(spark, f"{base}/counts")
-        tables.start_counting(spark, f"{base}/responses", questions, store, f"{base}/progress", max_files=1).awaitTermination()
+        # A third of the files per batch, however many the responses fill.
+        third = -(-len(files.read_responses(spark, f"{base}/responses").inputFiles()) // 3)
+        options = {"max_files": third}
+        tables.start_counting(spark, f"{base}/responses", questions, store, f"{base}/progress", **options).awaitTermination()
         store.add(store.ledger()[0][0], store.responses())
         return store.tables()[f"mart_{name}"]
 

@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from askgauge import catalogue
 from askgauge.catalogue import QUERIES
 from askgauge.operators import prompting
 from askgauge.sources import derived
+from askgauge.streaming import tables
 from conftest import plan_of
 
 
@@ -47,3 +49,29 @@ def test_fewer_unreadable_answers_than_asked_for(spark):
 def test_line_items_move_once_by_part(spark, sf_dir, no_broadcast):
     moved = [line for line in plan_of(derived.responses(spark, sf_dir)).split("\n") if "Exchange hashpartitioning" in line]
     assert sum("l_partkey" in line for line in moved) == 1
+
+
+@pytest.fixture
+def landed(spark, tmp_path, monkeypatch):
+    """Where a query keeps its files, with shuffle partitions left apart."""
+    monkeypatch.setattr(catalogue, "scratch", lambda _: str(tmp_path))
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield tmp_path
+    spark.conf.set(name, before)
+
+
+def test_followed_responses_fill_more_than_three_files(spark, sf_dir, landed):
+    QUERIES["followed_prompt_format"](spark, sf_dir)
+    assert len(list((landed / "responses").glob("*.parquet"))) > 3
+    seen, upto = tables.CountStore(spark, f"{landed}/counts").ledger()
+    assert 2 <= len(seen) <= 3 and upto == -1
+
+
+def test_followed_trials_are_not_written_by_one_task(spark, sf_dir, landed):
+    reports = QUERIES["followed_trials"](spark, sf_dir)
+    assert len(list((landed / "answers").glob("*.parquet"))) > 3
+    ours = sorted(tuple(r) for r in reports.select(F.col("run_id"), "status", "n_answers", "n_errors").where("run_id <> 'later'").collect())
+    theirs = QUERIES["trial_summary"](spark, sf_dir).select("run_id", "status", "n_answers", "n_errors").collect()
+    assert ours == sorted(map(tuple, theirs)) and ours

@@ -3,6 +3,10 @@
 Everything here is row-wise, so the same function grades a batch table or a stream. Steps that are
 read more than once sit in their own projection: Catalyst then evaluates each regular expression a
 single time instead of copying it into every branch that needs it.
+
+The first step works on the options as an array. Spark ends the generated function of the steps before
+there and begins another behind it. In one, reading, joining and grading come to over 8,000 bytes of code,
+which the JVM never compiles.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -66,6 +70,7 @@ def grade(responses: DataFrame) -> DataFrame:
             "clean_response": clean_response(F.col("raw_response")),
             "correct_position": position_of(choices, F.col("correct_answer")),
             "_labels": allowed_labels(style, choices),
+            "_texts": F.when(style == "text", F.transform(choices, normalize_answer)),
         }
     )
 
@@ -82,9 +87,7 @@ def grade(responses: DataFrame) -> DataFrame:
     slot, rest = F.col("_slot"), F.col("_rest")
     same_option = normalize_answer(rest) == normalize_answer(item_at(choices, slot))
     by_label = F.when(slot.isNotNull() & ((rest == "") | same_option), slot)
-    by_text = position_of(
-        F.transform(choices, normalize_answer), normalize_answer(F.regexp_extract(text, FIRST_LINE, 1))
-    )
+    by_text = position_of(F.col("_texts"), normalize_answer(F.regexp_extract(text, FIRST_LINE, 1)))
     located = split.withColumn(
         "ai_position",
         F.when(text == "", None)
@@ -109,7 +112,7 @@ def grade(responses: DataFrame) -> DataFrame:
             .otherwise(STATUS_INCORRECT),
             "is_truncated": F.col("stop_reason").ilike(TRUNCATION_MARK),
         }
-    ).drop("_labels", "_slot", "_rest")
+    ).drop("_labels", "_texts", "_slot", "_rest")
 
 
 def grade_responses(staged: DataFrame) -> DataFrame:

@@ -502,7 +502,7 @@ for _name in ("leaderboard", "question_insights", "temperature_effect", "prompt_
 def paired_temperature_effect(spark, sf_dir):
     """Cold and hot answers joined as two streams; the hot ones arrive first, and the period is waited for."""
     base = scratch(spark)
-    derived.enriched_responses(spark, sf_dir).write.parquet(f"{base}/all")
+    derived.enriched_responses(spark, sf_dir).select(*pairs.READ).write.parquet(f"{base}/all")
     answers = spark.read.parquet(f"{base}/all")
     for part in ("temperature > 0", "temperature = 0"):
         answers.where(part).write.mode("append").parquet(f"{base}/answers")

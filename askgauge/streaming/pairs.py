@@ -15,6 +15,8 @@ from askgauge.plans.marts import DESCRIBED, PAIR_SUMS, temperature_rates
 
 PAIR = ("model_key", "question_id")
 JUDGED = ("ai_position", "ai_correct", "is_valid_format", "temperature")
+# All that is read of an answer: files that are written for the pairing alone need no more.
+READ = (*PAIR, *JUDGED, *DESCRIBED, "label_style", "created_at")
 
 
 def _side(enriched: DataFrame, hot: bool, delay: str) -> DataFrame:

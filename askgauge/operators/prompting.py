@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from askgauge.functions.metrics import ratio, round_to
 from askgauge.schemas import (
     BOOLEAN_CHOICES,
+    LABEL_STYLES,
     NO_THINKING_SUFFIX,
     OPTION_LABELS,
     RUN_COMPLETE,
@@ -120,6 +121,11 @@ def render_options(choices: Column, style: Column, mark: str = ". ") -> Column:
     return F.array_join(F.when(style == "text", dashed).otherwise(labelled), "\n")
 
 
+def option_listings(choices: Column) -> Column:
+    """``render_options`` for every style, by its name."""
+    return F.create_map(*(c for s in LABEL_STYLES for c in (F.lit(s), render_options(choices, F.lit(s)))))
+
+
 def correct_label(choices: Column, correct: Column, style: Column) -> Column:
     """Label of the correct option: a letter, a digit, or its text. NULL when it is not an option."""
     place = F.nullif(F.array_position(choices, correct), F.lit(0).cast("bigint")).cast("int")
@@ -147,20 +153,21 @@ def prompt_text(system_prompt: Column, user_prompt: Column) -> Column:
 def render_prompts(work: DataFrame) -> DataFrame:
     """Add ``choices``, ``correct_label`` and the final prompts to a work list.
 
-    A work list that carries ``choices`` keeps them: a question asked many times is best given its options
-    before it is joined to its runs.
+    A work list that carries ``choices``, or ``listings`` of them, keeps them: a question asked many times is
+    best given its options before it is joined to its runs.
     """
     style = F.col("label_style")
     if "choices" not in work.columns:
         choices = build_choices(F.col("question_id"), F.col("type"), F.col("correct_answer"), F.col("incorrect_answers"))
         work = work.withColumn("choices", choices)
+    options = render_options(F.col("choices"), style)
+    if "listings" in work.columns:
+        options = F.when(style.isin(*LABEL_STYLES), F.try_element_at("listings", style)).otherwise(options)
     return work.withColumns(
         {
             "correct_label": correct_label(F.col("choices"), F.col("correct_answer"), style),
             "system_prompt": final_system_prompt(F.col("system_prompt"), F.col("disable_thinking")),
-            "user_prompt": fill_template(
-                F.col("user_template"), F.col("question"), render_options(F.col("choices"), style)
-            ),
+            "user_prompt": fill_template(F.col("user_template"), F.col("question"), options),
         }
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from askgauge.operators.cleaning import derive_attributes
 from askgauge.operators.enrich import enrich_responses
-from askgauge.operators.prompting import build_choices, render_prompts
+from askgauge.operators.prompting import build_choices, option_listings, render_prompts
 from askgauge.operators.scoring import grade_responses
 from askgauge.operators.staging import stage_questions, stage_responses
 from askgauge.schemas import API_QUESTION, CLEAN_QUESTIONS, RAW_QUESTIONS, RESPONSES, RUN_CONFIG
@@ -147,7 +147,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     a key. A part has few attempts per run, so the window holds little whatever the table's size.
 
     The line items move once, by part: the window, the join to the questions and whatever counts per
-    question find them together. Options are put in order per question, before the join.
+    question find them together. Options are put in order and listed per question, before the join.
     """
     line_order = (
         "l_orderkey",
@@ -172,8 +172,9 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("run_order", F.col("m") * len(PROMPT_VERSIONS) + F.col("p") + 1)
     )
     choices = build_choices(F.col("question_id"), F.col("type"), F.col("correct_answer"), F.col("incorrect_answers"))
+    shown = questions(spark, sf_dir).withColumn("choices", choices).withColumn("listings", option_listings(F.col("choices")))
     asked = (
-        lines.join(questions(spark, sf_dir).withColumn("choices", choices), F.col("l_partkey") == F.col("seq"))
+        lines.join(shown, F.col("l_partkey") == F.col("seq"))
         # At most 16 runs exist by construction (4 x 4 remainders), so this side is always small.
         .join(F.broadcast(run_config(spark, sf_dir)), "run_order")
     )

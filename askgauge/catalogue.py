@@ -1,14 +1,14 @@
 """Every capability as a named query over the given tables, with its DuckDB counterpart."""
 
 import uuid
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from askgauge.functions.metrics import ratio, round_to, wilson_high, wilson_low
 from askgauge.functions.text import clean_text, tidy_spaces
 from askgauge.operators import cleaning, prompting, quality
-from askgauge.operators.enrich import answer_options
+from askgauge.operators.enrich import answer_options, enrich_responses
 from askgauge.operators.scoring import lenient_letter
 from askgauge.operators.search import TextIndex
 from askgauge.oracles import ORACLES
@@ -37,9 +37,15 @@ class Tables:
     """The evaluation tables of one source directory, each planned on first use."""
 
     def __init__(self, spark, sf_dir):
-        self.enriched = derived.enriched_responses(spark, sf_dir)
+        self.graded = derived.graded_responses(spark, sf_dir)
+        self.questions = derived.staged_questions(spark, sf_dir)
+        self.enriched = enrich_responses(self.graded, self.questions)
         self._made = {}
 
+    @cached_property
+    def question_insights(self):
+        return marts.question_insights_of(self.graded, self.questions)
+
     def __getattr__(self, name):
         if name not in self._made:
             self._made[name] = marts.MART_BUILDERS[f"mart_{name}"](self.enriched)

@@ -699,9 +699,9 @@ def insights_of(votes: DataFrame) -> DataFrame:
     return _insights(questions.join(named, F.col("question_id").eqNullSafe(F.col("_question"))))
 
 
-def _question_measures():
+def _question_measures(attributes=ATTRIBUTES):
     return [
-        *(F.any_value(c, True).alias(c) for c in ATTRIBUTES),
+        *(F.any_value(c, True).alias(c) for c in attributes),
         *_sums("n", "n_correct"),
         F.min("ballot").alias("winner"),
         F.min(F.when(~F.col("is_right"), F.col("ballot"))).alias("decoy"),
@@ -717,9 +717,38 @@ def question_insights(enriched: DataFrame) -> DataFrame:
     grouping keys because picking one of several texts would need a sort of the responses. Equal vote
     counts go to the alphabetically first answer.
     """
-    attributes = ATTRIBUTES
+    return _insights(_per_question(enriched, ATTRIBUTES))
+
+
+def question_insights_of(graded: DataFrame, questions: DataFrame) -> DataFrame:
+    """``question_insights`` of the responses that ``enrich_responses`` would join, joined last.
+
+    Counts carry the answer alone; the texts of a question meet one row per question. A question listed
+    several times would give each of its responses as often, so its counts are multiplied. Questions are
+    shuffled before one is picked per identifier, since that sorts them and a file may be one task.
+    """
+    counted = _per_question(graded, ("correct_answer",))
+    told = [c for c in ATTRIBUTES if c != "correct_answer"]
+    described = (
+        questions.select("question_id", *told)
+        .repartition("question_id")
+        .groupBy("question_id")
+        .agg(*(F.any_value(c, True).alias(c) for c in told), F.count("*").alias("copies"))
+    )
+    copies = F.col("copies")
+    joined = counted.join(described, "question_id")
+    return _insights(
+        joined.withColumns(
+            {c: F.col(c) * copies for c in ("n", "n_correct")}
+            | {c: F.col(c).withField("votes", F.col(f"{c}.votes") * copies) for c in ("winner", "decoy")}
+        )
+    )
+
+
+def _per_question(responses: DataFrame, attributes) -> DataFrame:
+    """One row of counts per question of the temperature-0 responses, with some of its attributes."""
     cells = (
-        enriched.where(F.col("temperature") == 0)
+        responses.where(F.col("temperature") == 0)
         .groupBy("question_id", *attributes, "model_key", "ai_answer", "is_valid_format")
         .agg(*_counts())
     )
@@ -746,12 +775,11 @@ def question_insights(enriched: DataFrame) -> DataFrame:
             }
         )
     )
-    questions = flagged.groupBy("question_id").agg(
-        *_question_measures(),
+    return flagged.groupBy("question_id").agg(
+        *_question_measures(attributes),
         F.count_if("counts_model").alias("n_models"),
         F.count_if(F.col("counts_model") & (F.col("model_right") > 0)).alias("n_models_correct_once"),
     )
-    return _insights(questions)
 
 
 def _insights(questions: DataFrame) -> DataFrame:

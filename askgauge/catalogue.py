@@ -46,6 +46,11 @@ class Tables:
     def question_insights(self):
         return marts.question_insights_of(self.graded, self.questions)
 
+    @cached_property
+    def scores(self):
+        """The leaderboard for reports that do not show its quantile, which costs a second scan."""
+        return marts.leaderboard(self.enriched, quantile=None)
+
     def __getattr__(self, name):
         if name not in self._made:
             self._made[name] = marts.MART_BUILDERS[f"mart_{name}"](self.enriched)
@@ -558,17 +563,17 @@ def report(name, build):
     QUERIES[name] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
 
 
-report("volumes", lambda t: reports.volumes(t.leaderboard, t.question_insights))
+report("volumes", lambda t: reports.volumes(t.scores, t.question_insights))
 report("leaderboard_selection", lambda t: reports.leaderboard_selection(t.leaderboard, models=("m0", "m2", "m3")))
-report("winner_vs_runner_up", lambda t: reports.winner_vs_runner_up(t.leaderboard))
-report("status_shares", lambda t: reports.status_shares(t.leaderboard))
-report("profile_report", lambda t: reports.profile_with_baseline(t.model_profile, t.leaderboard))
+report("winner_vs_runner_up", lambda t: reports.winner_vs_runner_up(t.scores))
+report("status_shares", lambda t: reports.status_shares(t.scores))
+report("profile_report", lambda t: reports.best_first(marts.model_profile(t.enriched, with_baseline=True)))
 report("profile_summary", lambda t: reports.profile_summary(t.model_profile))
 report("knowledge_vs_format", lambda t: reports.knowledge_vs_format(t.model_profile))
-report("format_report", lambda t: reports.format_report(t.prompt_format, t.leaderboard))
+report("format_report", lambda t: reports.format_report(t.prompt_format, t.scores))
 report("format_means", lambda t: reports.format_means(t.prompt_format))
 report("most_format_sensitive", lambda t: reports.most_format_sensitive(t.prompt_format))
-report("temperature_report", lambda t: reports.temperature_overall(t.temperature_effect, t.leaderboard))
+report("temperature_report", lambda t: reports.temperature_overall(t.temperature_effect, t.scores))
 report(
     "temperature_extremes",
     lambda t: reports.temperature_extremes(t.temperature_effect.where(F.col("difficulty") == "all")),

@@ -167,14 +167,17 @@ def run_buckets(times: DataFrame) -> DataFrame:
     return times.groupBy(*RUN, "bucket").agg(*_sums(*RUN_SUMS))
 
 
-def leaderboard(enriched: DataFrame, quantile: float = 0.95) -> DataFrame:
+def leaderboard(enriched: DataFrame, quantile: float | None = 0.95) -> DataFrame:
     """Accuracy, format discipline and speed of every run, ranked.
 
     The response-time quantile is exact and interpolated. Rows are counted per run and narrow time
     bucket; the running count over a run's few thousand buckets tells which one or two hold the values
     around the quantile. A second scan, of the run's columns and the time, counts the distinct times
-    of those buckets only. No task holds the responses or all distinct times of a run.
+    of those buckets only. No task holds the responses or all distinct times of a run. With no quantile
+    the column is left out, and with it the second scan.
     """
+    if quantile is None:
+        return _scored_runs(_reduce(enriched, *RUN))
     placed = _placed(enriched)
     counted = placed.groupBy(*RUN, "bucket").agg(*_run_measures())
     return _leaderboard(counted, placed.select(*RUN, "bucket", "response_time_s", F.lit(1).alias("n")), quantile)
@@ -251,26 +254,34 @@ def _leaderboard(counted: DataFrame, times: DataFrame, quantile: float) -> DataF
         )
         .select(*run, "totals.*", "time_below", "time_above")
     )
+    beyond = F.col("spot") - F.floor("spot")
+    p_time = F.col("time_below") * (F.lit(1.0) - beyond) + F.col("time_above") * beyond
+    # Rounded twice: an interpolated value halfway between two roundings carries double noise.
+    return _scored_runs(runs, round_to(round_to(p_time, 9), 4).alias("p95_response_time_s"))
+
+
+def _run_baseline() -> Column:
+    return round_to(ratio(F.col("baseline_sum"), F.col("baseline_n")), 4).alias("random_baseline")
 
+
+def _scored_runs(runs: DataFrame, *quantiles) -> DataFrame:
+    """The leaderboard from one row of sums per run, with its quantile if there is one."""
     n, right, valid = F.col("n"), F.col("n_correct"), F.col("n_valid")
     accuracy, baseline = ratio(right, n), ratio(F.col("baseline_sum"), F.col("baseline_n"))
-    beyond = F.col("spot") - F.floor("spot")
-    p_time = F.col("time_below") * (F.lit(1.0) - beyond) + F.col("time_above") * beyond
     return runs.select(
-        *run[:8],
+        *RUN,
         (F.col("temperature") > 0).alias("is_temperature_variant"),
         n.alias("n_questions"),
         right.alias("n_correct"),
         round_to(accuracy, 4).alias("accuracy"),
         *_ci(right, n),
-        round_to(baseline, 4).alias("random_baseline"),
+        _run_baseline(),
         round_to(chance_corrected(accuracy, baseline), 4).alias("chance_corrected_score"),
         round_to(ratio(valid, n), 4).alias("valid_format_rate"),
         round_to(ratio(right, valid), 4).alias("accuracy_when_valid"),
         round_to(ratio(F.col("n_truncated"), n), 4).alias("truncated_rate"),
         round_to(ratio(F.col("time_sum"), F.col("time_n")), 4).alias("avg_response_time_s"),
-        # Rounded twice: an interpolated value halfway between two roundings carries double noise.
-        round_to(round_to(p_time, 9), 4).alias("p95_response_time_s"),
+        *quantiles,
         round_to(ratio(F.col("token_sum"), F.col("token_n")), 2).alias("avg_completion_tokens"),
         round_to(_per_minute(right, F.col("time_sum")), 1).alias("correct_per_minute"),
         _rank_by(accuracy).alias("accuracy_rank"),
@@ -286,14 +297,16 @@ def size_class(params: Column, classes=SIZE_CLASSES) -> Column:
     return result.otherwise(F.lit(largest))
 
 
-def model_profile(enriched: DataFrame) -> DataFrame:
+def model_profile(enriched: DataFrame, with_baseline: bool = False) -> DataFrame:
     """One row per model over its temperature-0 prompts, with its best and worst prompt.
 
-    Equal accuracies are resolved in favour of the alphabetically first prompt.
+    Equal accuracies are resolved in favour of the alphabetically first prompt. ``with_baseline`` adds
+    ``random_baseline``, the leaderboard's guessing level of the model's first run, from the same counts.
     """
     model = ("model_key", "model_name", "model_publisher", "model_country", "model_params_b")
     reduced = _reduce(
-        enriched.where((F.col("temperature") == 0) & F.col("model_key").isNotNull()), *model, "prompt_version"
+        enriched.where((F.col("temperature") == 0) & F.col("model_key").isNotNull()),
+        *(RUN if with_baseline else (*model, "prompt_version")),
     )
     n_here, right_here = _over(("model_key", "prompt_version"), "n", "n_correct")
     prompt, score = F.col("prompt_version"), F.col("prompt_accuracy")
@@ -311,12 +324,13 @@ def model_profile(enriched: DataFrame) -> DataFrame:
                 "worst": named(F.struct(score.alias("score"), prompt)),
                 "highest": F.max(score).over(Window.partitionBy("model_key")),
                 "lowest": F.min(score).over(Window.partitionBy("model_key")),
+                "first_baseline": F.min_by(_run_baseline(), "prompt_version").over(Window.partitionBy("model_key")),
             }
         )
         .groupBy(*model)
         .agg(
             *_sums("n", "n_correct", "n_valid", "baseline_sum", "baseline_n", "time_sum", "time_n"),
-            *(F.any_value(c).alias(c) for c in ("best", "worst", "highest", "lowest")),
+            *(F.any_value(c).alias(c) for c in ("best", "worst", "highest", "lowest", "first_baseline")),
         )
     )
     n, right, valid = F.col("n"), F.col("n_correct"), F.col("n_valid")
@@ -339,6 +353,7 @@ def model_profile(enriched: DataFrame) -> DataFrame:
         round_to(ratio(F.col("time_sum"), F.col("time_n")), 4).alias("avg_response_time_s"),
         round_to(_per_minute(right, F.col("time_sum")), 1).alias("correct_per_minute"),
         _rank_by(accuracy).alias("accuracy_rank"),
+        *([F.col("first_baseline").alias("random_baseline")] if with_baseline else []),
     )
 
 

@@ -34,11 +34,13 @@ from askgauge.plans.marts import (
     MART_BUILDERS,
     count_responses,
     leaderboard_of,
+    question_insights_of,
     run_buckets,
     run_times,
 )
 from askgauge.schemas import CLEAN_QUESTIONS, ENRICHED_COLUMNS, GRADED_COLUMNS, MARTS
-from askgauge.sources.files import ORDER_COLUMNS, read_clean_questions, write_clean_questions
+from askgauge.settings import DROP_SHUFFLES, NO_WIDE_SORTS, settings
+from askgauge.sources.files import COMPRESSED, ORDER_COLUMNS, read_clean_questions, write_clean_questions
 
 SILVER, GOLD = "silver", "gold"
 
@@ -74,18 +76,21 @@ def evenly(rows: DataFrame, buckets: Buckets, most: float = MOST_UNEVEN) -> bool
     return total is None or largest * buckets.n <= most * total
 
 
-def save(df: DataFrame, table: str, partition_by=(), buckets: Buckets | None = None) -> None:
+def save(
+    df: DataFrame, table: str, partition_by=(), buckets: Buckets | None = None, together: bool = True
+) -> None:
     """Write a table; rows of a partitioned or bucketed one are first brought together.
 
     Rebalancing splits a large partition over several tasks and keeps tasks from writing a small file
-    into each. With buckets every task writes one bucket, a file per partition. Partition columns come
-    last in the table: ``columns_of`` gives the documented order.
+    into each. With buckets every task writes one bucket, a file per partition. Rows of few partitions
+    need not come ``together``: every task then writes a file into each, and wide rows are not moved.
+    Partition columns come last in the table: ``columns_of`` gives the documented order.
     """
     if buckets is not None:
         df = df.repartition(buckets.n, *buckets.keys)
-    elif partition_by:
+    elif partition_by and together:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").format("parquet").partitionBy(*partition_by)
+    writer = df.write.mode("overwrite").format("parquet").options(**COMPRESSED).partitionBy(*partition_by)
     if buckets is not None:
         writer = writer.bucketBy(buckets.n, *buckets.keys).sortBy(*buckets.keys)
     writer.saveAsTable(table)
@@ -159,7 +164,15 @@ def build_silver(
     answered by (run, question), each pair once: joining grades to questions, counting per question and
     ``remaining_work`` then shuffle no responses. A table whose rows would fill its buckets unevenly is
     written without them.
+
+    Grades and joined responses are written by the tasks that made them. Rows of a question that come in
+    together stay so, which makes files smaller and what is counted per question less before it moves.
     """
+    with settings(spark, DROP_SHUFFLES, NO_WIDE_SORTS):
+        return _build_silver(spark, questions, responses, silver, partition_by, graded, buckets)
+
+
+def _build_silver(spark, questions, responses, silver, partition_by, graded, buckets) -> list[str]:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {silver}")
     stage_questions(questions).createOrReplaceTempView("stg_questions")
     staged = spark.table("stg_questions")
@@ -175,12 +188,12 @@ def build_silver(
         save(staged, f"{silver}.int_questions", buckets=by_question)
         staged = spark.table(f"{silver}.int_questions")
         written.append(f"{silver}.int_questions")
-    save(columns_of(graded, GRADED_COLUMNS), scored, partition_by, by_question)
+    save(columns_of(graded, GRADED_COLUMNS), scored, partition_by, by_question, together=False)
     if buckets is not None:
         # From the table just written: the responses are not graded again for two columns.
         written.insert(0, build_answered_pairs(spark, spark.table(scored), silver, buckets))
     joined = enrich_responses(columns_of(spark.table(scored), GRADED_COLUMNS), staged)
-    save(joined, enriched, partition_by, by_question)
+    save(joined, enriched, partition_by, by_question, together=False)
     return [*written, scored, enriched]
 
 
@@ -205,25 +218,28 @@ def build(
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {gold}")
     written = build_silver(spark, questions, responses, silver, partition_by, graded, buckets)
-    staged, enriched = spark.table("stg_questions"), written[-1]
-
-    source = columns_of(spark.table(enriched), ENRICHED_COLUMNS)
-    # Five of the tables need counts only: the responses are reduced once for all of them.
-    counted = f"{silver}.int_response_counts"
-    save(count_responses(source), counted)
-    counts = spark.table(counted)
-    # The leaderboard needs distinct times: stored by range, so that those around the quantile alone are read again.
-    timed = f"{silver}.int_run_times"
-    save(run_times(source), timed, ("bucket_range",))
-    times = spark.table(timed)
-    above = {f"{silver}.int_answer_options": lambda: answer_options(staged)}
-    above |= {
-        f"{gold}.{name}": partial(make, counts if name in FROM_COUNTS else source)
-        for name, make in MART_BUILDERS.items()
-    }
-    above[f"{gold}.mart_leaderboard"] = lambda: leaderboard_of(run_buckets(times), times)
-    with ThreadPoolExecutor(parallel) as pool:
-        list(pool.map(lambda item: save(item[1](), item[0]), above.items()))
+    staged, (scored, enriched) = spark.table("stg_questions"), written[-2:]
+
+    with settings(spark, DROP_SHUFFLES):
+        source = columns_of(spark.table(enriched), ENRICHED_COLUMNS)
+        # Five of the tables need counts only: the responses are reduced once for all of them.
+        counted = f"{silver}.int_response_counts"
+        save(count_responses(source), counted)
+        counts = spark.table(counted)
+        # The leaderboard needs distinct times: stored by range, so that those around the quantile alone are read again.
+        timed = f"{silver}.int_run_times"
+        save(run_times(source), timed, ("bucket_range",))
+        times = spark.table(timed)
+        above = {f"{silver}.int_answer_options": lambda: answer_options(staged)}
+        above |= {
+            f"{gold}.{name}": partial(make, counts if name in FROM_COUNTS else source)
+            for name, make in MART_BUILDERS.items()
+        }
+        above[f"{gold}.mart_leaderboard"] = lambda: leaderboard_of(run_buckets(times), times)
+        # Counted from the grades, without the texts of the questions, which are joined to one row each.
+        above[f"{gold}.mart_question_insights"] = lambda: question_insights_of(spark.table(scored), staged)
+        with ThreadPoolExecutor(parallel) as pool:
+            list(pool.map(lambda item: save(item[1](), item[0]), above.items()))
     return [*written, counted, timed, *above]
 
 

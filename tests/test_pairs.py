@@ -12,7 +12,7 @@ from askgauge.streaming import grading, pairs
 from test_follow import same
 from test_marts import SCHEMA as JOINED
 
-SCHEMA = StructType(JOINED.fields).add("created_at", TimestampNTZType())
+SCHEMA = StructType(list(JOINED.fields)).add("created_at", TimestampNTZType())
 START = datetime.datetime(2024, 5, 1)
 BLANK = {f.name: None for f in SCHEMA} | {"label_style": "letters", "model_name": "M", "model_params_b": 1.0, "prompt_version": "v"}
 
